@@ -14,36 +14,40 @@ def _categories(values: DataFrame, limit: int) -> list[str]:
     """The distinct values, read only if there are few enough to become columns."""
     found = [r[0] for r in values.distinct().limit(limit + 1).collect()]
     if len(found) > limit:
-        raise ValueError(f"more than {limit} categories; pass categories=")
+        raise ValueError(f"more than {limit} categories; pass known=")
     return sorted(found)
 
 
+def categories(df: DataFrame, tokens: str, limit: int = MAX_CATEGORIES) -> list[str]:
+    """The distinct non-empty tokens of an array column."""
+    found = df.select(F.explode(tokens).alias("t")).where("t is not null and t <> ''")
+    return _categories(found, limit)
+
+
 def one_hot_list(
     df: DataFrame,
     tokens: str,
     prefix: str,
-    categories: Sequence[str] | None = None,
+    known: Sequence[str] | None = None,
     limit: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """One boolean ``<prefix>_<token>`` per token of an array column."""
-    if categories is None:
-        found = df.select(F.explode(tokens).alias("t")).where("t is not null and t <> ''")
-        categories = _categories(found, limit)
+    known = categories(df, tokens, limit) if known is None else known
     return df.withColumns(
-        {f"{prefix}_{c}": F.coalesce(F.array_contains(tokens, c), F.lit(False)) for c in categories}
+        {f"{prefix}_{c}": F.coalesce(F.array_contains(tokens, c), F.lit(False)) for c in known}
     )
 
 
 def one_hot(
     df: DataFrame,
     column: str,
-    categories: Sequence[str] | None = None,
+    known: Sequence | None = None,
     limit: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """One boolean ``<column>_<value>`` per value; null sets none."""
-    if categories is None:
-        categories = _categories(df.where(F.col(column).isNotNull()).select(column), limit)
-    return df.withColumns({f"{column}_{c}": F.col(column).eqNullSafe(c) for c in categories})
+    if known is None:
+        known = _categories(df.where(F.col(column).isNotNull()).select(column), limit)
+    return df.withColumns({f"{column}_{c}": F.col(column).eqNullSafe(F.lit(c)) for c in known})
 
 
 def token_counts(df: DataFrame, tokens: str, out: str = "token") -> DataFrame:
@@ -52,10 +56,10 @@ def token_counts(df: DataFrame, tokens: str, out: str = "token") -> DataFrame:
 
 
 def group_tokens(
-    df: DataFrame, key: str, tokens: str, prefix: str, categories: Sequence[str]
+    df: DataFrame, key: str, tokens: str, prefix: str, known: Sequence[str]
 ) -> DataFrame:
     """Per key, whether any of its rows holds each token."""
-    flags = one_hot_list(df, tokens, prefix, categories)
+    flags = one_hot_list(df, tokens, prefix, known)
     return flags.groupBy(key).agg(
-        *[F.max(f"{prefix}_{c}").alias(f"{prefix}_{c}") for c in categories]
+        *[F.max(f"{prefix}_{c}").alias(f"{prefix}_{c}") for c in known]
     )

@@ -77,11 +77,11 @@ def impute_median(
     ``global_fallback`` then fills what is left with the median of the filled column.
     """
     keys, names = _keys(group), [targets] if isinstance(targets, str) else list(targets)
-    (groups,) = distinct_estimate(df, keys)
+    groups, *pairs = distinct_estimate(df, keys, *[[*keys, name] for name in names])
     stats = None
     for i, name in enumerate(names):
         extras = {f"_s{i}": F.stddev_samp(F.col(name).cast("double"))} if noise else None
-        one = exact_quantiles(df, name, {f"_m{i}": 0.5}, keys, extras)
+        one = exact_quantiles(df, name, {f"_m{i}": 0.5}, keys, extras, profile=(pairs[i], groups))
         stats = one if stats is None else stats.join(one, keys)
     joined = attach_by_key(df, stats, keys, groups)
     for i, name in enumerate(names):

@@ -18,7 +18,8 @@ CHECKS = ("range", "unique", "category", "logic", "date_limit", "not_null")
 class Rule:
     """One check on a column, or on a row predicate for ``logic``.
 
-    ``params``: (lo, hi) for range, values for category, a Column for logic, a date for date_limit.
+    ``params``: (lo, hi) for range, values for category, a Column or SQL text for logic, a date for
+    date_limit.
     Ranges are open intervals unless ``inclusive``. Missing values pass range and date_limit and
     fail category and logic.
     """
@@ -51,7 +52,8 @@ class Rule:
         if self.check == "category":
             return ~is_true(c.isin(*self.params))
         if self.check == "logic":
-            return ~is_true(self.params)
+            holds = F.expr(self.params) if isinstance(self.params, str) else self.params
+            return ~is_true(holds)
         if self.check == "date_limit":
             return is_true(c.cast("date") > F.lit(self.params).cast("date"))
         if self.check == "not_null":

@@ -33,16 +33,18 @@ def exact_quantiles(
     by: Sequence[str] = (),
     extras: Mapping[str, Column] | None = None,
     distinct_limit: int = DISTINCT_LIMIT,
+    profile: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per group: the named quantiles of ``value`` plus ``extras`` aggregates.
 
     Null and NaN values are left out of the quantiles; rows with a null group key are left out.
+    ``profile`` is the (distinct pairs, groups) estimate if the caller already has it.
     """
     by, extras = list(by), dict(extras or {})
     number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
     base = df.dropna(subset=by) if by else df
     base = base.withColumn("_v", number)
-    pairs, groups = distinct_estimate(base, [*by, "_v"], by or [F.lit(1)])
+    pairs, groups = profile or distinct_estimate(base, [*by, "_v"], by or [F.lit(1)])
     extra_columns = [agg.alias(name) for name, agg in extras.items()]
     if pairs <= distinct_limit:
         wanted = F.percentile("_v", [float(q) for q in quantiles.values()])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from lodgeframe.functions import features as X
 from lodgeframe.functions.clean import clean_currency, clip, cond_assign, map_bool, parse_date, parse_numeric
 from lodgeframe.functions.dates import days_since
 from lodgeframe.functions.text import categorize_text, clean_text, keyword_flag, list_size, parse_list, printed_list
-from lodgeframe.operators.encode import one_hot_list
+from lodgeframe.operators.encode import categories, one_hot_list
 from lodgeframe.operators.impute import Noise, impute_median, impute_mode
 from lodgeframe.operators.quality import Rule, ranges
 from lodgeframe.operators.tables import (
@@ -135,9 +135,15 @@ def clean(raw: DataFrame, city: City = City()) -> DataFrame:
     return on_columns(df, FLAG_COLUMNS, map_bool)
 
 
+def verifications(df: DataFrame) -> list[str]:
+    """The kinds of host verification in the data."""
+    return categories(df.select(printed_list(F.col("host_verifications")).alias("v")), "v")
+
+
 def enrich(df: DataFrame, city: City = City()) -> DataFrame:
     """Features, renames and the final column set; no shuffle."""
     c = F.col
+    known = verifications(df) if city.verifications is None else city.verifications
     df = df.withColumns(
         {
             "bathroom_shared": keyword_flag(c("bathrooms_text"), city.shared_words),
@@ -186,7 +192,7 @@ def enrich(df: DataFrame, city: City = City()) -> DataFrame:
             "company": c("company") == 1,
         }
     )
-    df = one_hot_list(df, "_verified", "host_verif", city.verifications).drop("_verified")
+    df = one_hot_list(df, "_verified", "host_verif", known).drop("_verified")
     df = rename_columns(df, GOLD_NAMES)
     df = df.withColumn(
         "host_response_hour", keyword_flag(c("host_response_hour"), city.fast_reply_words) == 1
@@ -195,6 +201,10 @@ def enrich(df: DataFrame, city: City = City()) -> DataFrame:
 
 
 def gold(raw: DataFrame, city: City = City()) -> DataFrame:
+    """Raw rows to gold rows."""
+    if city.verifications is None:
+        # Read off the raw table, where it takes a scan and no join.
+        city = replace(city, verifications=verifications(raw))
     return raw.transform(clean, city).transform(enrich, city)
 
 
