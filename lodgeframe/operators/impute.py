@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.functions.clean import clip
-from lodgeframe.operators.quantiles import exact_quantiles, group_mode, quantile_row
+from lodgeframe.operators.quantiles import group_medians, group_mode, quantile_row
 from lodgeframe.operators.sizing import attach_by_key, distinct_estimate
 
 
@@ -70,35 +70,49 @@ def impute_median(
     group: str | Sequence[str],
     noise: Noise | None = None,
     global_fallback: bool = False,
+    source: DataFrame | None = None,
+    profile: Sequence[int] | None = None,
 ) -> DataFrame:
     """Fill nulls with the group's exact median, optionally with noise.
 
     Rows with a null group key keep what they have. All targets of one call share one join.
     ``global_fallback`` then fills what is left with the median of the filled column.
+
+    In a chain of imputations pass the table before the chain as ``source``: the statistics are
+    then read from it instead of running the earlier joins once more. ``profile`` is the group
+    count and one distinct (group, target) count per target, if already measured.
     """
     keys, names = _keys(group), [targets] if isinstance(targets, str) else list(targets)
-    groups, *pairs = distinct_estimate(df, keys, *[[*keys, name] for name in names])
-    stats = None
-    for i, name in enumerate(names):
-        extras = {f"_s{i}": F.stddev_samp(F.col(name).cast("double"))} if noise else None
-        one = exact_quantiles(df, name, {f"_m{i}": 0.5}, keys, extras, profile=(pairs[i], groups))
-        stats = one if stats is None else stats.join(one, keys)
-    joined = attach_by_key(df, stats, keys, groups)
+    base = df if source is None else source
+    profile = profile or distinct_estimate(base, keys, *[[*keys, name] for name in names])
+    spreads = {}
+    if noise is not None and noise.fixed is None:
+        spreads = {f"_s{i}": F.stddev_samp(F.col(n).cast("double")) for i, n in enumerate(names)}
+    medians = {f"_m{i}": name for i, name in enumerate(names)}
+    stats = group_medians(base, medians, keys, spreads, profile)
+    joined = attach_by_key(df, stats, keys, profile[0])
+    filled = {}
     for i, name in enumerate(names):
-        spread = _scale(F.col(f"_s{i}"), noise) if noise else None
-        joined = joined.withColumn(name, _filled(name, F.col(f"_m{i}"), spread, noise))
-    filled = joined.select(*df.columns)
+        spread = _scale(F.col(f"_s{i}"), noise) if spreads else None
+        filled[name] = _filled(name, F.col(f"_m{i}"), spread, noise)
+    out = joined.withColumns(filled).select(*df.columns)
     if global_fallback:
-        medians = {name: quantile_row(filled, name, {"m": 0.5})["m"] for name in names}
-        filled = filled.withColumns({n: F.coalesce(n, m) for n, m in medians.items()})
-    return filled
+        rest = {name: quantile_row(out, name, {"m": 0.5})["m"] for name in names}
+        out = out.withColumns({n: F.coalesce(n, m) for n, m in rest.items()})
+    return out
 
 
-def impute_mode(df: DataFrame, target: str, group: str | Sequence[str]) -> DataFrame:
-    """Fill nulls with the group's most frequent value (lowest on a tie)."""
+def impute_mode(
+    df: DataFrame,
+    target: str,
+    group: str | Sequence[str],
+    source: DataFrame | None = None,
+    groups: int | None = None,
+) -> DataFrame:
+    """Fill nulls with the group's most frequent value (lowest on a tie); ``source`` as above."""
     keys = _keys(group)
-    modes = group_mode(df, target, keys, "_mode")
-    joined = attach_by_key(df, modes, keys)
+    modes = group_mode(df if source is None else source, target, keys, "_mode")
+    joined = attach_by_key(df, modes, keys, groups)
     return joined.withColumn(target, F.coalesce(target, "_mode")).select(*df.columns)
 
 

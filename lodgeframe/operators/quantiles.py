@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeframe.operators.sizing import BROADCAST_ROWS, attach_by_key, distinct_estimate, one_row
+from lodgeframe.operators.sizing import attach_by_key, distinct_estimate, one_row
 
 DISTINCT_LIMIT = 1_000_000
 HALF_WIDTH = 1e-4
@@ -60,6 +60,36 @@ def exact_quantiles(
     return own.join(found, by, "left").select(*by, *quantiles, *extras)
 
 
+def group_medians(
+    df: DataFrame,
+    medians: Mapping[str, str],
+    by: Sequence[str],
+    extras: Mapping[str, Column] | None = None,
+    profile: Sequence[int] | None = None,
+    distinct_limit: int = DISTINCT_LIMIT,
+) -> DataFrame:
+    """Medians of several columns per group: ``medians`` maps output names to columns.
+
+    ``profile`` is the group count followed by one distinct pair count per column. As long as all
+    of them are small, one aggregate serves every column.
+    """
+    by, extras = list(by), dict(extras or {})
+    counts = profile or distinct_estimate(df, by, *[[*by, c] for c in medians.values()])
+    groups, *pairs = counts
+    base = df.dropna(subset=by)
+    if max(pairs) <= distinct_limit:
+        columns = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in medians.values()}
+        return base.groupBy(*by).agg(
+            *[F.percentile(columns[c], 0.5).alias(name) for name, c in medians.items()],
+            *[agg.alias(name) for name, agg in extras.items()],
+        )
+    out = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[a.alias(n) for n, a in extras.items()])
+    for n, (name, column) in zip(pairs, medians.items()):
+        one = exact_quantiles(df, column, {name: 0.5}, by, None, distinct_limit, (n, groups))
+        out = out.join(one, by, "left")
+    return out.drop("_n")
+
+
 def _ranked(
     base: DataFrame, quantiles: Mapping[str, float], by: list[str], groups: int
 ) -> DataFrame:
@@ -139,6 +169,3 @@ def group_mode(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "mo
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     return counted.groupBy(*by).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out))
-
-
-__all__ = ["BROADCAST_ROWS", "exact_quantiles", "quantile_row", "group_mode"]

@@ -15,11 +15,12 @@ from lodgeframe.functions.text import categorize_text, clean_text, keyword_flag,
 from lodgeframe.operators.encode import categories, one_hot_list
 from lodgeframe.operators.impute import Noise, impute_median, impute_mode
 from lodgeframe.operators.quality import Rule, ranges
+from lodgeframe.operators.sizing import distinct_estimate
 from lodgeframe.operators.tables import (
     drop_columns,
     log1p_columns,
-    on_columns,
     override_by_id,
+    present,
     rename_columns,
     translate_values,
 )
@@ -110,29 +111,46 @@ class City:
     noise_seed: int = 42
 
 
-def clean(raw: DataFrame, city: City = City()) -> DataFrame:
-    """Types and imputations. The group statistics are small tables joined back."""
+def typed(raw: DataFrame, city: City = City()) -> DataFrame:
+    """Texts to numbers and dates, with the known corrections; no shuffle."""
     df = translate_values(raw, "property_type", city.type_names)
     df = df.withColumn("bathrooms", parse_numeric(F.col("bathrooms_text")))
     for value, ids in city.bathrooms_by_id.items():
         df = override_by_id(df, "id", ids, "bathrooms", value)
-    one_room = F.col("room_type").isin("Shared room", "Private room") & F.col("bedrooms").isNull()
-    df = df.withColumn("bedrooms", cond_assign(F.col("bedrooms"), one_room, F.lit(1.0)))
     for value, ids in city.price_by_id.items():
         df = override_by_id(df, "id", ids, "price", value)
-    df = on_columns(df, ["price", "host_response_rate", "host_acceptance_rate"], clean_currency)
-    df = on_columns(df, ["host_since", "last_review", "first_review"], lambda c: parse_date(c.cast("string")))
-    df = impute_median(df, ["bedrooms", "beds"], "accommodates")
+    money = ["price", "host_response_rate", "host_acceptance_rate"]
+    dates = ["host_since", "last_review", "first_review"]
+    one_room = F.col("room_type").isin("Shared room", "Private room") & F.col("bedrooms").isNull()
+    return df.withColumns(
+        {
+            "bedrooms": cond_assign(F.col("bedrooms"), one_room, F.lit(1.0)),
+            **{c: clean_currency(F.col(c)) for c in money},
+            **{c: parse_date(F.col(c).cast("string")) for c in dates},
+        }
+    )
+
+
+def clean(raw: DataFrame, city: City = City()) -> DataFrame:
+    """Types and imputations.
+
+    All group statistics are read from the typed table, so no imputation repeats the joins of the
+    ones before it; one scan measures how large the statistics will be.
+    """
+    base = typed(raw, city)
+    size, status, reply = "accommodates", "host_is_superhost", "host_response_time"
+    acceptance, response = "host_acceptance_rate", "host_response_rate"
     noise = Noise("id", seed=city.noise_seed)
-    df = impute_median(df, "host_acceptance_rate", "host_is_superhost", noise)
-    df = impute_mode(df, "host_response_time", "host_is_superhost")
-    df = impute_median(df, "host_response_rate", ["host_is_superhost", "host_response_time"], noise)
-    df = on_columns(
-        df,
-        ["host_response_rate", "host_acceptance_rate"],
-        lambda c: clip(c, 0.0, 100.0) / F.lit(100.0),
+    counts = distinct_estimate(
+        base, [size], [size, "bedrooms"], [size, "beds"], [status], [status, acceptance]
     )
-    return on_columns(df, FLAG_COLUMNS, map_bool)
+    df = impute_median(base, ["bedrooms", "beds"], size, source=base, profile=counts[:3])
+    df = impute_median(df, acceptance, status, noise, source=base, profile=counts[3:])
+    df = impute_mode(df, reply, status, source=base, groups=counts[3])
+    timed = impute_mode(base.select(status, reply, response), reply, status, groups=counts[3])
+    df = impute_median(df, response, [status, reply], noise, source=timed)
+    rates = {c: clip(F.col(c), 0.0, 100.0) / F.lit(100.0) for c in (response, acceptance)}
+    return df.withColumns({**rates, **{c: map_bool(F.col(c)) for c in present(df, FLAG_COLUMNS)}})
 
 
 def verifications(df: DataFrame) -> list[str]:

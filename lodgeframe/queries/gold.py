@@ -259,11 +259,10 @@ LISTINGS_GOLD = f"""WITH raw AS (SELECT {LISTINGS_SQL_RAW} FROM customer JOIN na
   by_time AS (SELECT host_is_superhost, host_response_time, median(host_response_rate) AS m, stddev_samp(host_response_rate) AS s FROM b
     WHERE host_is_superhost IS NOT NULL AND host_response_time IS NOT NULL GROUP BY 1, 2),
   c AS (SELECT b.* REPLACE (
-      greatest(0, least(100, host_acceptance_rate)) / 100 AS host_acceptance_rate,
+      CASE WHEN host_acceptance_rate IS NOT NULL THEN greatest(0, least(100, host_acceptance_rate)) / 100 END AS host_acceptance_rate,
       coalesce(host_response_rate, m + {NOISE} * {draw_sql('42|host_response_rate', 'id')}) AS host_response_rate)
     FROM b LEFT JOIN by_time ON b.host_is_superhost = by_time.host_is_superhost AND b.host_response_time = by_time.host_response_time),
-  d AS (SELECT * REPLACE (CASE WHEN host_acceptance_rate IS NOT NULL THEN host_acceptance_rate END AS host_acceptance_rate,
-      CASE WHEN host_response_rate IS NOT NULL THEN greatest(0, least(100, host_response_rate)) / 100 END AS host_response_rate) FROM c),
+  d AS (SELECT * REPLACE (CASE WHEN host_response_rate IS NOT NULL THEN greatest(0, least(100, host_response_rate)) / 100 END AS host_response_rate) FROM c),
   e AS (SELECT *, CASE WHEN host_location IS NULL THEN 'Unknown' WHEN lower(host_location) LIKE '%málaga%' OR lower(host_location) LIKE '%malaga%' THEN 'Malaga'
       WHEN lower(host_location) LIKE '%spain%' OR lower(host_location) LIKE '%españa%' THEN 'Spain' WHEN lower(host_location) LIKE '%unknown%' THEN 'Unknown'
       ELSE 'International' END AS host_location_cat,
