@@ -40,26 +40,24 @@ def days_since(d: Column, reference: Column) -> Column:
 
 
 def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter by the anonymous (Meeus/Jones/Butcher) algorithm, in integer columns."""
-
-    def div(a: Column, b: int) -> Column:
-        return F.floor(a / F.lit(b)).cast("int")
-
-    y = year.cast("int")
-    golden = F.pmod(y, F.lit(19))
-    century, in_century = div(y, 100), F.pmod(y, F.lit(100))
-    leap_fix = div(century, 4)
-    century_rest = F.pmod(century, F.lit(4))
-    moon_fix = div(century - div(century + 8, 25) + 1, 3)
-    epact = F.pmod(golden * 19 + century - leap_fix - moon_fix + 15, F.lit(30))
-    sunday = F.pmod(
-        F.lit(32) + century_rest * 2 + div(in_century, 4) * 2 - epact
-        - F.pmod(in_century, F.lit(4)),
-        F.lit(7),
-    )
-    correction = div(golden + epact * 11 + sunday * 22, 451)
-    serial = epact + sunday - correction * 7 + 114
-    return F.make_date(y, div(serial, 31), F.pmod(serial, F.lit(31)) + 1)
+    """Gregorian Easter by Oudin's rule, in whole-number columns.
+
+    ``full`` is the age of the paschal moon, ``late`` its two calendar exceptions, and the
+    Sunday after it is counted from March 28.
+    """
+
+    def div(a: Column, b: int | Column) -> Column:
+        return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
+
+    y = year.cast("bigint")
+    century = div(y, 100)
+    golden = y % 19
+    moon = (century - div(century, 4) - div(century * 8 + 13, 25) + golden * 19 + 15) % 30
+    late = (moon == 29) | ((moon == 28) & (golden > 10))
+    full = moon - F.when(late, 1).otherwise(0)
+    weekday_of_moon = (y + div(y, 4) + full + 2 - century + div(century, 4)) % 7
+    march_28 = F.make_date(y.cast("int"), F.lit(3), F.lit(28))
+    return F.date_add(march_28, (full - weekday_of_moon).cast("int"))
 
 
 def good_friday(year: Column) -> Column:
@@ -68,11 +66,13 @@ def good_friday(year: Column) -> Column:
 
 def event_label(d: Column, names: EventNames = EventNames()) -> Column:
     """Season or holiday of a date; the first matching label wins."""
-    friday = good_friday(F.year(d))
     month, day = F.month(d), F.dayofmonth(d)
+    # From a week before Good Friday to the day after it: 9 to 1 days before Easter, which lies
+    # between March 22 and April 25. Other months never reach the Easter rule.
+    days_to_easter = F.datediff(easter_sunday(F.year(d)), d)
     return (
         F.when(d.isNull(), F.lit(None).cast("string"))
-        .when(d.between(F.date_sub(friday, 7), F.date_add(friday, 1)), names.easter)
+        .when(month.isin(3, 4) & days_to_easter.isin(*range(1, 10)), names.easter)
         .when((month == 8) & day.between(15, 22), names.fair)
         .when((month == 6) & (day == 23), names.midsummer)
         .when(month.between(6, 8), names.summer)

@@ -84,10 +84,14 @@ def printed_list(c: Column) -> Column:
     return F.array_distinct(F.coalesce(tokens, F.array().cast("array<string>")))
 
 
-def words(c: Column, stopwords: Sequence[str] = REVIEW_STOPWORDS, longer_than: int = 2) -> Column:
-    """Array of the a-z words of the whole text, without stopwords and short words."""
-    letters = F.regexp_replace(F.lower(c.cast("string")), r"[^a-z\s\p{Z}]", "")
-    parts = F.split(letters, r"[\s\p{Z}]+")
-    return F.filter(
-        parts, lambda w: (F.length(w) > F.lit(longer_than)) & ~w.isin(*stopwords)
-    )
+def words(c: Column) -> Column:
+    """Array of the a-z words of the whole text (symbols inside a word are dropped)."""
+    letters = F.regexp_replace(F.lower(c.cast("string")), r"[^a-z\s\p{Z}]+", "")
+    return F.split(letters, r"[\s\p{Z}]+")
+
+
+def content_word(
+    w: Column, stopwords: Sequence[str] = REVIEW_STOPWORDS, longer_than: int = 2
+) -> Column:
+    """Whether a word is long enough and not a stopword."""
+    return (F.length(w) > longer_than) & ~w.isin(*stopwords)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.functions.text import REVIEW_STOPWORDS, words
+from lodgeframe.functions.text import REVIEW_STOPWORDS, content_word, words
 from lodgeframe.operators.quantiles import exact_quantiles
 from lodgeframe.operators.tables import null_shares
 
@@ -112,18 +112,29 @@ def counts_by_year(df: DataFrame, date: str) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = 3) -> DataFrame:
-    """Pearson correlations over pairwise complete rows as (row, column, value), in one pass."""
-    cells = []
-    for a in columns:
-        for b in columns:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
-            r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    """Pearson correlations over pairwise complete rows as (row, column, value), in one pass.
+
+    Each pair is computed once. The regression sums skip incomplete pairs by themselves, and a
+    constant column gives null instead of a division error.
+    """
+    moments, cells = [], []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            low, high = min(i, j), max(i, j)
+            if i <= j:
+                y, x = (F.col(columns[k]).cast("double") for k in (low, high))
+                moments += [
+                    F.regr_sxy(y, x).alias(f"xy_{low}_{high}"),
+                    F.regr_sxx(y, x).alias(f"xx_{low}_{high}"),
+                    F.regr_syy(y, x).alias(f"yy_{low}_{high}"),
+                ]
+            xy, xx, yy = (F.col(f"{m}_{low}_{high}") for m in ("xy", "xx", "yy"))
+            r = F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy))
             value = r if digits is None else F.bround(r, digits)
             cells.append(
                 F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), value.alias("value"))
             )
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return df.agg(*moments).select(F.inline(F.array(*cells)))
 
 
 def two_sample_t(df: DataFrame, group: Column, value: Column) -> DataFrame:
@@ -185,7 +196,8 @@ def word_freq(
     df: DataFrame, text: str, top: int | None = 20, stopwords: Sequence[str] = REVIEW_STOPWORDS
 ) -> DataFrame:
     """Most frequent words of the whole texts; counted on the map side before the shuffle."""
-    found = df.select(F.explode(words(F.col(text), stopwords)).alias("word"))
+    found = df.select(F.explode(words(F.col(text))).alias("word"))
+    found = found.where(content_word(F.col("word"), stopwords))
     out = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     out = out.orderBy(F.col("n").desc(), "word")
     return out if top is None else out.limit(top)

@@ -19,8 +19,20 @@ def _bins(df: DataFrame, n: int) -> DataFrame:
     return df.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"))
 
 
-def _edge(lo: Column, hi: Column, n: int, i: Column) -> Column:
-    return F.when(i == n, hi).otherwise(lo + i * ((hi - lo) / n))
+def _ends(rows: DataFrame, x: str, lo=None, hi=None) -> tuple[float, float] | None:
+    """The two ends of the value range, read as one row; as literals they also prune the scan."""
+    first = F.min(x) if lo is None else F.max(lo)
+    last = F.max(x) if hi is None else F.max(hi)
+    row = rows.agg(first.cast("double").alias("lo"), last.cast("double").alias("hi")).first()
+    return None if row["lo"] is None or row["hi"] is None else (row["lo"], row["hi"])
+
+
+def _edges(lo: float, hi: float, n: int) -> list[float]:
+    return [lo + i * ((hi - lo) / n) for i in range(n)] + [hi]
+
+
+def _edge(edges: list[float], i: Column) -> Column:
+    return F.array(*[F.lit(e) for e in edges])[i]
 
 
 def histogram(
@@ -39,63 +51,61 @@ def histogram(
     if clip_upper is not None:
         x = F.when(x > clip_upper, F.lit(float(clip_upper))).otherwise(x)
     rows = df.select(x.alias("_x")).where("_x is not null")
-    if lo is None or hi is None:
-        ends = one_row(rows, lo=F.min("_x"), hi=F.max("_x"))
-        lo = ends["lo"] if lo is None else lo
-        hi = ends["hi"] if hi is None else hi
-    lo, hi = (c if isinstance(c, Column) else F.lit(float(c)) for c in (lo, hi))
-    lo, hi = lo.cast("double"), hi.cast("double")
-    # A single value gets a bin of width one around it, as in NumPy.
-    lo, hi = (F.when(lo == hi, c + d).otherwise(c) for c, d in ((lo, -0.5), (hi, 0.5)))
-    ends = rows.withColumn("_lo", lo).withColumn("_hi", hi).where("_x between _lo and _hi")
-    a, b = F.col("_lo"), F.col("_hi")
-    guess = F.floor((F.col("_x") - a) / (b - a) * n).cast("int")
-    placed = ends.withColumn("_g", F.least(guess, F.lit(n - 1)))
+    lo, hi = (c if c is None or isinstance(c, Column) else F.lit(float(c)) for c in (lo, hi))
+    # Without any value the bins run from 0 to 1, as in NumPy.
+    lo, hi = _ends(rows, "_x", lo, hi) or (0.0, 1.0)
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    edges = _edges(lo, hi, n)
+    guess = F.least(F.floor((F.col("_x") - lo) / (hi - lo) * n).cast("int"), F.lit(n - 1))
+    placed = rows.where(F.col("_x").between(lo, hi)).select("_x", guess.alias("_g"))
     g = F.col("_g")
     # The quotient may land next to an edge; the edges themselves decide.
     exact = (
-        F.when(F.col("_x") < _edge(a, b, n, g), g - 1)
-        .when((F.col("_x") >= _edge(a, b, n, g + 1)) & (g < n - 1), g + 1)
+        F.when(F.col("_x") < _edge(edges, g), g - 1)
+        .when((F.col("_x") >= _edge(edges, g + 1)) & (g < n - 1), g + 1)
         .otherwise(g)
     )
     counts = placed.groupBy(exact.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = _bins(df, n).withColumn("_lo", lo).withColumn("_hi", hi)
-    left, right = _edge(a, b, n, F.col("bin")), _edge(a, b, n, F.col("bin") + 1)
     # Both sides hold at most n rows.
-    return frame.join(F.broadcast(counts), "bin", "left").select(
-        "bin", left.alias("left"), right.alias("right"), F.coalesce("n", F.lit(0)).alias("n")
+    return _bins(df, n).join(F.broadcast(counts), "bin", "left").select(
+        "bin",
+        _edge(edges, F.col("bin")).alias("left"),
+        _edge(edges, F.col("bin") + 1).alias("right"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
-def cut_equal(df: DataFrame, value: str, n: int, ends: Column | None = None) -> DataFrame:
-    """Add ``bin`` (0-based) of ``n`` equal right-closed intervals, the lowest value included."""
-    ends = one_row(df, lo=F.min(value), hi=F.max(value)) if ends is None else ends
-    rows = df.withColumn("_lo", ends["lo"].cast("double")).withColumn("_hi", ends["hi"].cast("double"))
-    x, lo, hi = F.col(value).cast("double"), F.col("_lo"), F.col("_hi")
-    guess = F.greatest(F.ceil(F.try_divide(x - lo, hi - lo) * n).cast("int"), F.lit(1))
-    rows = rows.withColumn("_g", F.when(x.isNotNull(), F.coalesce(guess, F.lit(1))))
+def _cut(df: DataFrame, value: str, lo: float, hi: float, n: int) -> DataFrame:
+    edges, x = _edges(lo, hi, n), F.col(value).cast("double")
+    if lo == hi:
+        return df.withColumn("bin", F.when(x.isNotNull(), F.lit((n - 1) // 2)))
+    guess = F.greatest(F.ceil((x - lo) / (hi - lo) * n).cast("int"), F.lit(1)) - 1
     g = F.col("_g")
     exact = (
-        F.when((x <= _edge(lo, hi, n, g - 1)) & (g > 1), g - 2)
-        .when((x > _edge(lo, hi, n, g)) & (g < n), g)
-        .otherwise(g - 1)
+        F.when((x <= _edge(edges, g)) & (g > 0), g - 1)
+        .when((x > _edge(edges, g + 1)) & (g < n - 1), g + 1)
+        .otherwise(g)
     )
-    return rows.withColumn("bin", exact).drop("_lo", "_hi", "_g")
+    return df.withColumn("_g", F.when(x.isNotNull(), guess)).withColumn("bin", exact).drop("_g")
+
+
+def cut_equal(df: DataFrame, value: str, n: int) -> DataFrame:
+    """Add ``bin`` (0-based) of ``n`` equal right-closed intervals, the lowest value included."""
+    return _cut(df, value, *(_ends(df, value) or (0.0, 1.0)), n)
 
 
 def cut_equal_median(df: DataFrame, by_value: str, value: str, n: int = 10) -> DataFrame:
     """Median of ``value`` per equal-width interval of ``by_value``; empty intervals give 0."""
-    ends = one_row(df, lo=F.min(by_value), hi=F.max(by_value))
-    rows = cut_equal(df, by_value, n, ends).where("bin is not null")
+    lo, hi = _ends(df, by_value) or (0.0, 1.0)
+    edges = _edges(lo, hi, n)
+    rows = _cut(df.select(by_value, value), by_value, lo, hi, n)
     medians = exact_quantiles(rows, value, {"median": 0.5}, ["bin"], {"n": F.count(F.lit(1))})
-    frame = _bins(df, n)
-    i = F.col("bin")
-    frame = frame.withColumn("_lo", ends["lo"].cast("double")).withColumn("_hi", ends["hi"].cast("double"))
     # Both sides hold at most n rows.
-    return frame.join(F.broadcast(medians), "bin", "left").select(
+    return _bins(df, n).join(F.broadcast(medians), "bin", "left").select(
         "bin",
-        _edge(F.col("_lo"), F.col("_hi"), n, i).alias("left"),
-        _edge(F.col("_lo"), F.col("_hi"), n, i + 1).alias("right"),
+        _edge(edges, F.col("bin")).alias("left"),
+        _edge(edges, F.col("bin") + 1).alias("right"),
         F.coalesce("median", F.lit(0.0)).alias("median"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )

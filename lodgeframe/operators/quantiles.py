@@ -1,12 +1,13 @@
 """Exact quantiles with linear interpolation, for any group size.
 
-A cheap profile (distinct sketches, one scan) picks the plan:
+A cheap profile (distinct sketches, one scan) picks among three plans with the same result:
 
-* few distinct (group, value) pairs: Spark's own exact ``percentile``, whose state is then bounded;
-* many: a mergeable sketch brackets every wanted rank per group, everything below a bracket
-  collapses to one counter, and only the values inside the bracket are ranked.
+* few distinct (group, value) pairs: Spark's own exact ``percentile``, whose state is then small;
+* a bounded number: pairs are counted, and running counts per group give the ranks;
+* any number: a mergeable sketch brackets every wanted rank per group, one aggregate counts what
+  lies below each bracket, and only the values inside a bracket are counted and ranked.
 
-Both give the same numbers; the second keeps no group in one task.
+In the last plan no group meets in one task; a bracket holds about 0.02 % of its group.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeframe.operators.sizing import attach_by_key, distinct_estimate, one_row
+from lodgeframe.operators.sizing import attach_by_key, distinct_estimate
 
-DISTINCT_LIMIT = 1_000_000
+STATE_LIMIT = 20_000
+PAIR_LIMIT = 2_000_000
 HALF_WIDTH = 1e-4
 ACCURACY = 100_000
 # Below this many rows a group's bracket is the whole group; above it the sketch's rank error
@@ -26,14 +28,19 @@ ACCURACY = 100_000
 WHOLE_GROUP_ROWS = int(10 / HALF_WIDTH)
 
 
+def _number(c: str) -> Column:
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     quantiles: Mapping[str, float],
     by: Sequence[str] = (),
     extras: Mapping[str, Column] | None = None,
-    distinct_limit: int = DISTINCT_LIMIT,
     profile: tuple[int, int] | None = None,
+    state_limit: int = STATE_LIMIT,
+    pair_limit: int = PAIR_LIMIT,
 ) -> DataFrame:
     """One row per group: the named quantiles of ``value`` plus ``extras`` aggregates.
 
@@ -41,124 +48,190 @@ def exact_quantiles(
     ``profile`` is the (distinct pairs, groups) estimate if the caller already has it.
     """
     by, extras = list(by), dict(extras or {})
-    number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
-    base = df.dropna(subset=by) if by else df
-    base = base.withColumn("_v", number)
+    base = (df.dropna(subset=by) if by else df).withColumn("_v", _number(value))
     pairs, groups = profile or distinct_estimate(base, [*by, "_v"], by or [F.lit(1)])
     extra_columns = [agg.alias(name) for name, agg in extras.items()]
-    if pairs <= distinct_limit:
+    if pairs <= state_limit:
         wanted = F.percentile("_v", [float(q) for q in quantiles.values()])
         out = base.groupBy(*by).agg(wanted.alias("_q"), *extra_columns)
         named = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
         return out.select(*by, *named, *extras)
-    found = _ranked(base.select(*by, "_v").where("_v is not null"), quantiles, by, groups)
-    if not by:
-        picked = one_row(found, **{name: F.max(name) for name in quantiles})
-        own = df.agg(F.count(F.lit(1)).alias("_n"), *extra_columns)
-        return own.select(*[picked[name].alias(name) for name in quantiles], *extras)
-    own = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *extra_columns)
-    return own.join(found, by, "left").select(*by, *quantiles, *extras)
+    known = base.select(*by, "_v").where("_v is not null")
+    find = _by_counts if pairs <= pair_limit else _by_brackets
+    found = find(known, quantiles, by, groups)
+    if not extras and by:
+        # Groups without any value keep their row, as with the built-in aggregate.
+        own = base.select(*by).distinct()
+    else:
+        own = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *extra_columns)
+    if by:
+        return own.join(found, by, "left").select(*by, *quantiles, *extras)
+    picked = found.select(F.struct(*quantiles).alias("q")).scalar()
+    return own.select(*[picked[name].alias(name) for name in quantiles], *extras)
 
 
-def group_medians(
-    df: DataFrame,
-    medians: Mapping[str, str],
-    by: Sequence[str],
-    extras: Mapping[str, Column] | None = None,
-    profile: Sequence[int] | None = None,
-    distinct_limit: int = DISTINCT_LIMIT,
-) -> DataFrame:
-    """Medians of several columns per group: ``medians`` maps output names to columns.
+def _position(n: Column, q: float) -> tuple[Column, Column]:
+    """0-based rank below the quantile and the distance from it to the next rank."""
+    position = (n - 1) * F.lit(float(q))
+    return F.floor(position), position - F.floor(position)
 
-    ``profile`` is the group count followed by one distinct pair count per column. As long as all
-    of them are small, one aggregate serves every column.
-    """
-    by, extras = list(by), dict(extras or {})
-    counts = profile or distinct_estimate(df, by, *[[*by, c] for c in medians.values()])
-    groups, *pairs = counts
-    base = df.dropna(subset=by)
-    if max(pairs) <= distinct_limit:
-        columns = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in medians.values()}
-        return base.groupBy(*by).agg(
-            *[F.percentile(columns[c], 0.5).alias(name) for name, c in medians.items()],
-            *[agg.alias(name) for name, agg in extras.items()],
-        )
-    out = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[a.alias(n) for n, a in extras.items()])
-    for n, (name, column) in zip(pairs, medians.items()):
-        one = exact_quantiles(df, column, {name: 0.5}, by, None, distinct_limit, (n, groups))
-        out = out.join(one, by, "left")
-    return out.drop("_n")
+
+def _between(a: Column, b: Column, part: Column) -> Column:
+    return a + F.coalesce(b - a, F.lit(0.0)) * part
 
 
-def _ranked(
+def _by_counts(
+    base: DataFrame, quantiles: Mapping[str, float], by: list[str], groups: int
+) -> DataFrame:
+    """Ranks from running counts of the distinct values of each group."""
+    cells = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    whole = Window.partitionBy(*(by or [F.lit(1)]))
+    running = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumns(
+        {"_seen": F.sum("_m").over(running), "_n": F.sum("_m").over(whole)}
+    )
+    picks = []
+    for i, q in enumerate(quantiles.values()):
+        rank, part = _position(F.col("_n"), q)
+        picks += [
+            F.min(F.when(F.col("_seen") > rank, F.col("_v"))).alias(f"_a{i}"),
+            F.min(F.when(F.col("_seen") > rank + 1, F.col("_v"))).alias(f"_b{i}"),
+            F.max(part).alias(f"_p{i}"),
+        ]
+    out = cells.groupBy(*by).agg(*picks)
+    named = [
+        _between(F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_p{i}")).alias(name)
+        for i, name in enumerate(quantiles)
+    ]
+    return out.select(*by, *named)
+
+
+def _by_brackets(
     base: DataFrame, quantiles: Mapping[str, float], by: list[str], groups: int
 ) -> DataFrame:
-    edges: list[float] = []
+    """Ranks counted only inside brackets around the wanted quantiles."""
+    marks: list[float] = []
     for q in quantiles.values():
-        edges += [max(q - HALF_WIDTH, 0.0), min(q + HALF_WIDTH, 1.0)]
+        marks += [max(q - HALF_WIDTH, 0.0), min(q + HALF_WIDTH, 1.0)]
     sketch = base.groupBy(*by).agg(
         F.count("_v").alias("_n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-        F.percentile_approx("_v", edges, ACCURACY).alias("_edges"),
+        F.percentile_approx("_v", marks, ACCURACY).alias("_marks"),
     )
     whole = F.col("_n") < WHOLE_GROUP_ROWS
     targets = []
     for i, (name, q) in enumerate(quantiles.items()):
-        position = (F.col("_n") - 1) * F.lit(float(q))
+        rank, part = _position(F.col("_n"), q)
         targets.append(
             F.struct(
                 F.lit(name).alias("_name"),
-                F.when(whole, F.col("_min")).otherwise(F.col("_edges")[2 * i]).alias("_lo"),
-                F.when(whole, F.col("_max")).otherwise(F.col("_edges")[2 * i + 1]).alias("_hi"),
-                F.floor(position).alias("_rank"),
-                (position - F.floor(position)).alias("_part"),
+                F.when(whole, F.col("_min")).otherwise(F.col("_marks")[2 * i]).alias("_lo"),
+                F.when(whole, F.col("_max")).otherwise(F.col("_marks")[2 * i + 1]).alias("_hi"),
+                rank.alias("_rank"),
+                part.alias("_part"),
             )
         )
     sketch = sketch.select(*by, F.array(*targets).alias("_targets"))
     if by:
         rows = attach_by_key(base, sketch, by, groups, "inner")
     else:
-        rows = base.withColumn("_targets", sketch.select("_targets").scalar())
-    rows = rows.select(*by, "_v", F.inline("_targets")).where("_v <= _hi")
-    inside = F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_cell")
-    cells = rows.groupBy(*by, "_name", inside).agg(
-        F.count(F.lit(1)).alias("_m"), F.max("_rank").alias("_rank"), F.max("_part").alias("_part")
+        # One row of a few numbers; as literals they also reach the scan as a range filter.
+        found = sketch.first()
+        if found["_targets"] is None or found["_targets"][0]["_lo"] is None:
+            return sketch.select(*[F.lit(None).cast("double").alias(n) for n in quantiles])
+        rows = base.withColumn(
+            "_targets",
+            F.array(*[
+                F.struct(*[F.lit(v).alias(k) for k, v in target.asDict().items()])
+                for target in found["_targets"]
+            ]),
+        )
+        span = F.lit(False)
+        for target in found["_targets"]:
+            span = span | F.col("_v").between(target["_lo"], target["_hi"])
+    names = list(quantiles)
+    below = rows.groupBy(*by).agg(
+        *[F.count_if(F.col("_v") < F.col("_targets")[i]["_lo"]).alias(n) for i, n in enumerate(names)]
+    )
+    below = below.select(
+        *by,
+        F.inline(F.array(*[F.struct(F.lit(n).alias("_name"), F.col(n).alias("_below")) for n in names])),
+    )
+    inside = rows if by else rows.where(span)
+    cells = (
+        inside.select(*by, "_v", F.inline("_targets"))
+        .where("_v between _lo and _hi")
+        .groupBy(*by, "_name", "_v")
+        .agg(
+            F.count(F.lit(1)).alias("_m"),
+            F.max("_rank").alias("_rank"),
+            F.max("_part").alias("_part"),
+        )
     )
-    order = (
+    running = (
         Window.partitionBy(*by, "_name")
-        .orderBy(F.col("_cell").asc_nulls_first())
+        .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cells = cells.withColumn("_seen", F.sum("_m").over(order))
-    picked = cells.groupBy(*by, "_name").agg(
-        F.min(F.when(F.col("_seen") > F.col("_rank"), F.col("_cell"))).alias("_a"),
-        F.min(F.when(F.col("_seen") > F.col("_rank") + 1, F.col("_cell"))).alias("_b"),
+    cells = cells.withColumn("_inside", F.sum("_m").over(running))
+    # The counts below hold one row per group and quantile.
+    keys = [*by, "_name"]
+    side = below if by and groups > PAIR_LIMIT // len(names) else F.broadcast(below)
+    seen = F.col("_below") + F.col("_inside")
+    picked = cells.join(side, keys).groupBy(*keys).agg(
+        F.min(F.when(seen > F.col("_rank"), F.col("_v"))).alias("_a"),
+        F.min(F.when(seen > F.col("_rank") + 1, F.col("_v"))).alias("_b"),
         F.max("_part").alias("_part"),
-        F.max(F.col("_cell").isNull() & (F.col("_seen") > F.col("_rank"))).alias("_missed_low"),
+        F.max(F.col("_below") > F.col("_rank")).alias("_late"),
     )
     missed = (
-        F.col("_missed_low")
-        | F.col("_a").isNull()
-        | ((F.col("_part") > 0) & F.col("_b").isNull())
+        F.col("_late") | F.col("_a").isNull() | ((F.col("_part") > 0) & F.col("_b").isNull())
     )
-    between = F.col("_a") + F.coalesce(F.col("_b") - F.col("_a"), F.lit(0.0)) * F.col("_part")
-    answer = F.when(missed, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
-    picked = picked.withColumn("_answer", answer.otherwise(between))
+    stop = F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double")
+    answer = F.when(missed, stop).otherwise(_between(F.col("_a"), F.col("_b"), F.col("_part")))
+    picked = picked.withColumn("_answer", answer)
     return picked.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_name") == n, F.col("_answer"))).alias(n) for n in quantiles]
+        *[F.max(F.when(F.col("_name") == n, F.col("_answer"))).alias(n) for n in names]
     )
 
 
+def group_medians(
+    df: DataFrame,
+    medians: Mapping[str, str],
+    by: Sequence[str],
+    extras: Mapping[str, Column] | None = None,
+    profile: Sequence[int] | None = None,
+    state_limit: int = STATE_LIMIT,
+) -> DataFrame:
+    """Medians of several columns per group: ``medians`` maps output names to columns.
+
+    ``profile`` is the group count followed by one distinct pair count per column. As long as all
+    of them are small, one aggregate serves every column.
+    """
+    by, extras = list(by), dict(extras or {})
+    counts = profile or distinct_estimate(df, by, *[[*by, c] for c in medians.values()])
+    groups, *pairs = counts
+    base = df.dropna(subset=by)
+    extra_columns = [agg.alias(name) for name, agg in extras.items()]
+    if max(pairs) <= state_limit:
+        columns = [F.percentile(_number(c), 0.5).alias(name) for name, c in medians.items()]
+        return base.groupBy(*by).agg(*columns, *extra_columns)
+    out = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *extra_columns)
+    for n, (name, column) in zip(pairs, medians.items()):
+        one = exact_quantiles(df, column, {name: 0.5}, by, None, (n, groups), state_limit)
+        out = out.join(one, by, "left")
+    return out.drop("_n")
+
+
 def quantile_row(
     df: DataFrame,
     value: str,
     quantiles: Mapping[str, float],
     extras: Mapping[str, Column] | None = None,
-    distinct_limit: int = DISTINCT_LIMIT,
 ) -> Column:
     """The global quantiles (and extras) as one struct column, read by a scalar subquery."""
-    table = exact_quantiles(df, value, quantiles, (), extras, distinct_limit)
+    table = exact_quantiles(df, value, quantiles, (), extras)
     return table.select(F.struct(*table.columns).alias("one_row")).scalar()
 
 
@@ -168,4 +241,5 @@ def group_mode(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "mo
     Counting per (group, value) first keeps a hot group spread over all its values.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    return counted.groupBy(*by).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out))
+    order = F.struct(-F.col("_n"), F.col(value))
+    return counted.groupBy(*by).agg(F.min_by(value, order).alias(out))

@@ -106,8 +106,8 @@ def quantiles(t: Tables) -> DataFrame:
     + " FROM lineitem GROUP BY l_returnflag",
 )
 def quantiles_by_bracket(t: Tables) -> DataFrame:
-    """The plan for unbounded groups, chosen by force."""
-    table = exact_quantiles(t.lineitem, "l_extendedprice", WANTED, ["l_returnflag"], distinct_limit=0)
+    """The plan for groups of any size, chosen by force."""
+    table = exact_quantiles(t.lineitem, "l_extendedprice", WANTED, ["l_returnflag"], pair_limit=0, state_limit=0)
     return table.select("l_returnflag", *[r6(c).alias(c) for c in WANTED])
 
 
