@@ -25,8 +25,31 @@ def _rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     return df.withColumns({c: F.bround(F.col(c), d) for c, d in digits.items()})
 
 
+# Digits of the bin edges shown on the listings report.
+EDGE_DIGITS = {"price_hist": 1, "price_log_hist": 2, "geo_trend": 1}
+
+
 def build(sections: Mapping[str, Callable[[DataFrame], DataFrame]], df: DataFrame) -> dict[str, DataFrame]:
-    return {name: section(df) for name, section in sections.items()}
+    """All sections as shown, bin edges rounded; the sections themselves keep exact edges."""
+    out = {name: section(df) for name, section in sections.items()}
+    for name, digits in EDGE_DIGITS.items():
+        if name in out:
+            out[name] = _rounded(out[name], {"left": digits, "right": digits})
+    return out
+
+
+def payload(sections: Mapping[str, DataFrame]) -> DataFrame:
+    """One JSON text per section: the rows of a report are few, each section is one small group."""
+    parts = [
+        df.agg(F.to_json(F.collect_list(F.struct("*"))).alias("content")).select(
+            F.lit(name).alias("section"), "content"
+        )
+        for name, df in sections.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def size(df: DataFrame) -> DataFrame:
@@ -63,20 +86,14 @@ CORRELATED = ("price", "dist_center_km", "num_amenities", "trust_score")
 
 LISTINGS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "meta": size,
-    "price_hist": lambda df: _rounded(
-        D.histogram(df, "price", 40, clip_upper=500), {"left": 1, "right": 1}
-    ),
-    "price_log_hist": lambda df: _rounded(
-        D.histogram(df, "price_log", 30), {"left": 2, "right": 2}
-    ),
+    "price_hist": lambda df: D.histogram(df, "price", 40, clip_upper=500),
+    "price_log_hist": lambda df: D.histogram(df, "price_log", 30),
     "price_stats": price_stats,
     "host_near": lambda df: flag_split(df, "host_near", "Local", "Remote/Other"),
     "center": lambda df: flag_split(df, "neighbourhood_center", "Center", "Periphery"),
     "location": lambda df: A.value_counts(df, "host_location_cat"),
     "long_stay": long_stay_share,
-    "geo_trend": lambda df: _rounded(
-        D.cut_equal_median(df, "dist_center_km", "price", 10), {"left": 1, "right": 1}
-    ),
+    "geo_trend": lambda df: D.cut_equal_median(df, "dist_center_km", "price", 10),
     "areas": areas,
     "room_type": lambda df: A.value_counts(df, "room_type"),
     "host_segment": lambda df: A.value_counts(df, "host_segment", share=True),

@@ -10,7 +10,7 @@ from lodgeframe.plans import calendar, listings, reports, reviews
 from lodgeframe.queries.daily import EASTER, LABEL
 from lodgeframe.queries.distributions import edges_sql
 from lodgeframe.queries.groups import draw_sql
-from lodgeframe.queries.registry import Tables, query, text
+from lodgeframe.queries.registry import Tables, query, r6, text
 from lodgeframe.queries.texts import CLEAN_SQL, words_sql
 from lodgeframe.session import scratch_path
 from lodgeframe.sources.tables import read_stage, write_stage
@@ -382,9 +382,9 @@ GOLD_COLUMNS = (*LISTING_REST, *LISTING_DOUBLES, *LISTING_DATES, *LISTING_LOGS,
 LISTINGS_SECTIONS = {
     "meta": f"SELECT count(*) AS n_rows, {len(GOLD_COLUMNS)} AS n_cols FROM gold",
     "price_hist": edges_sql("WITH x AS (SELECT least(price, 500) AS v FROM gold WHERE price IS NOT NULL)", 40, "min(v)", "max(v)",
-                            "round_even(a, 1)", "round_even(b, 1)"),
+                            "round(a, 6)", "round(b, 6)"),
     "price_log_hist": edges_sql("WITH x AS (SELECT price_log AS v FROM gold WHERE price_log IS NOT NULL)", 30, "min(v)", "max(v)",
-                                "round_even(a, 2)", "round_even(b, 2)"),
+                                "round(a, 6)", "round(b, 6)"),
     "price_stats": "SELECT round_even(median(price), 2) AS median, round_even(avg(price), 2) AS mean FROM gold",
     "host_near": """SELECT 'Local' AS label, count(*) FILTER (host_near) AS n FROM gold
       UNION ALL SELECT 'Remote/Other', count(*) FILTER (NOT host_near) FROM gold""",
@@ -392,7 +392,7 @@ LISTINGS_SECTIONS = {
       UNION ALL SELECT 'Periphery', count(*) FILTER (neighbourhood_center = 0) FROM gold""",
     "location": "SELECT host_location_cat, count(*) AS n FROM gold GROUP BY 1",
     "long_stay": "SELECT round_even(avg(CAST(long_stay AS INT)) * 100, 2) AS long_stay_pct FROM gold",
-    "geo_trend": """SELECT bin, round_even(a, 1) AS "left", round_even(b, 1) AS "right", coalesce(median(price), 0) AS median, count(gold.id) AS n FROM (
+    "geo_trend": """SELECT bin, round(a, 6) AS "left", round(b, 6) AS "right", coalesce(median(price), 0) AS median, count(gold.id) AS n FROM (
         SELECT CAST(i AS INT) AS bin, lo + i * ((hi - lo) / 10) AS a, CASE WHEN i = 9 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 10) END AS b
         FROM (SELECT min(dist_center_km) AS lo, max(dist_center_km) AS hi FROM gold), range(10) r(i))
       LEFT JOIN gold ON dist_center_km <= b AND (dist_center_km > a OR (bin = 0 AND dist_center_km = a)) GROUP BY bin, a, b""",
@@ -430,7 +430,9 @@ def staged(t: Tables, report: str) -> DataFrame:
 
 
 def _shown(df: DataFrame) -> DataFrame:
-    return df.withColumns({f.name: text(f.name) for f in df.schema.fields if f.dataType.typeName() == "date"})
+    dates = {f.name: text(f.name) for f in df.schema.fields if f.dataType.typeName() == "date"}
+    edges = {c: r6(c) for c in ("left", "right") if c in df.columns}
+    return df.withColumns({**dates, **edges})
 
 
 def _register(report: str, section: str) -> None:

@@ -82,12 +82,8 @@ def semi_join(t: Tables) -> DataFrame:
 
 @query(
     "anti_join_diff",
-    """SELECT doc_id, side FROM (
-      (SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents EXCEPT SELECT CAST(doc_id * 2 AS VARCHAR) FROM labels)
-      CROSS JOIN (SELECT 'left' AS side))
-    UNION ALL SELECT doc_id, side FROM (
-      (SELECT CAST(doc_id * 2 AS VARCHAR) AS doc_id FROM labels EXCEPT SELECT CAST(doc_id AS VARCHAR) FROM documents)
-      CROSS JOIN (SELECT 'right' AS side))""",
+    """SELECT doc_id, 'left' AS side FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents EXCEPT SELECT CAST(doc_id * 2 AS VARCHAR) FROM labels)
+    UNION ALL SELECT doc_id, 'right' FROM (SELECT CAST(doc_id * 2 AS VARCHAR) AS doc_id FROM labels EXCEPT SELECT CAST(doc_id AS VARCHAR) FROM documents)""",
 )
 def anti_join_diff(t: Tables) -> DataFrame:
     padded = F.concat(F.lit("  "), (F.col("doc_id") * 2).cast("string"), F.lit(" "))

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+KINDS = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+}
+
+
 def _schema(**fields: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields.items()))
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in fields.items()])
 
 
 def _texts(names: str) -> dict[str, str]:

@@ -19,6 +19,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+EXACT = False
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
 }
@@ -57,7 +58,7 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]
         a, b = ours[column], theirs[column]
         for i, (x, y) in enumerate(zip(a, b)):
             same = x == y or (pd.isna(x) and pd.isna(y))
-            if not same and isinstance(x, float) and isinstance(y, (int, float)):
+            if not same and not EXACT and isinstance(x, float) and isinstance(y, (int, float)):
                 same = abs(x - y) <= 1e-9 * max(1.0, abs(x))
             if not same:
                 found.append(f"{column}[{i}]: {x!r} / {y!r} of {ours.iloc[i].to_dict()}")
@@ -68,8 +69,11 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--exact", action="store_true", help="no tolerance on doubles")
     parser.add_argument("names", nargs="*")
     options = parser.parse_args()
+    global EXACT
+    EXACT = options.exact
     from __spark_entry__ import oracle_sql, queries
     from tests.conftest import local_session
 
