@@ -49,7 +49,7 @@ def exact_quantiles(
     """
     by, extras = list(by), dict(extras or {})
     base = (df.dropna(subset=by) if by else df).withColumn("_v", _number(value))
-    pairs, groups = profile or distinct_estimate(base, [*by, "_v"], by or [F.lit(1)])
+    pairs, groups = profile or distinct_estimate(base, [*by, "_v"], by)
     extra_columns = [agg.alias(name) for name, agg in extras.items()]
     if pairs <= state_limit:
         wanted = F.percentile("_v", [float(q) for q in quantiles.values()])

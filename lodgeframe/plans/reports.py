@@ -39,13 +39,18 @@ def build(sections: Mapping[str, Callable[[DataFrame], DataFrame]], df: DataFram
 
 
 def payload(sections: Mapping[str, DataFrame]) -> DataFrame:
-    """One JSON text per section: the rows of a report are few, each section is one small group."""
-    parts = [
-        df.agg(F.to_json(F.collect_list(F.struct("*"))).alias("content")).select(
-            F.lit(name).alias("section"), "content"
+    """One JSON text per section, rows in the section's order.
+
+    Sections are aggregates: at most a row per day, bin, category or listed rank.
+    """
+    parts = []
+    for name, df in sections.items():
+        placed = df.select(
+            F.struct(F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row")).alias("r")
         )
-        for name, df in sections.items()
-    ]
+        placed = placed.agg(F.array_sort(F.collect_list("r")).alias("rows"))
+        content = F.to_json(F.transform("rows", lambda r: r["row"]))
+        parts.append(placed.select(F.lit(name).alias("section"), content.alias("content")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -32,16 +32,17 @@ def build_session(app: str = "lodgeframe", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without any such folder gets one of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="lodgeframe-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lodgeframe-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -87,6 +87,29 @@ def test_shared_dir_and_checkpoint(spark):
     assert rows(df, "id") == rows(df, "id") and "Range" not in df._jdf.queryExecution().toString()
 
 
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_local_sessions_get_a_folder_of_their_own():
+    from types import SimpleNamespace
+
+    unset = SimpleNamespace(get=lambda key, default: default)
+    local = SimpleNamespace(conf=unset, sparkContext=_Context("local[2]"))
+    assert shared_dir(local) == shared_dir(local) == local.sparkContext.folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=unset, sparkContext=_Context("yarn")))
+    named = SimpleNamespace(get=lambda key, default: "hdfs:///shared/")
+    assert shared_dir(SimpleNamespace(conf=named, sparkContext=None)) == "hdfs:///shared"
+
+
 def test_stream_equals_batch(spark, tmp_path):
     source, days = str(tmp_path / "in"), [f"2026-04-{d:02d}" for d in range(1, 21)]
     raw = spark.createDataFrame(
