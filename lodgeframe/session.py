@@ -8,11 +8,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "lodgeframe", master: str | None = None, **conf: str) -> SparkSession:
+PARTITION_BYTES = 200 * 1024**2
+MOST_PARTITIONS = 20_000
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions for a shuffle of that size: about 200 MB each, within what a driver can track.
+
+    Adaptive execution merges the surplus of smaller shuffles but never adds partitions, so the
+    number should fit the largest shuffle of a job.
+    """
+    return min(max(200, -(-shuffled_bytes // PARTITION_BYTES)), MOST_PARTITIONS)
+
+
+def build_session(
+    app: str = "lodgeframe",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with adaptive execution on and UTC days.
 
-    Shuffle partition counts are left to the cluster's own settings, because the right number
-    follows from the data volume; pass ``**{"spark.sql.shuffle.partitions": ...}`` to set one.
+    ``shuffled_bytes`` is the expected size of the largest shuffle; without it the partition
+    count stays as the cluster (or ``conf``) sets it.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -22,8 +40,10 @@ def build_session(app: str = "lodgeframe", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        **conf,
     }
+    if shuffled_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))
+    settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

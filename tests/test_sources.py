@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.operators.quality import Rule
 from lodgeframe.plans import calendar, listings, reviews
-from lodgeframe.session import checkpointed, scratch_path, shared_dir
+from lodgeframe.session import checkpointed, scratch_path, shared_dir, shuffle_partitions
 from lodgeframe.sources import schemas, sinks, tables
 from lodgeframe.streaming.publish import publish_stream
 from tests.helpers import rows
@@ -87,6 +87,12 @@ def test_shared_dir_and_checkpoint(spark):
     assert rows(df, "id") == rows(df, "id") and "Range" not in df._jdf.queryExecution().toString()
 
 
+def test_shuffle_partitions():
+    tb = 1024**4
+    assert shuffle_partitions(0) == 200 and shuffle_partitions(tb) == 5243
+    assert shuffle_partitions(100 * tb) == 20_000
+
+
 class _Context:
     def __init__(self, master):
         self.master, self.folder = master, None
