@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import compression, url_filter
+from lodgeframe.llm import compression, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -95,3 +95,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     unwanted = pages.where(url_filter.url_host(F.col("url")).rlike(UNWANTED_HOSTS))
     return url_filter.judge_urls(pages, unwanted, URL_RULES)
+
+
+@query("op9_simhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
