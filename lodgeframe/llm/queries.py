@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import compression, simhash, url_filter
+from lodgeframe.llm import compression, decontaminate, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -101,3 +101,50 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_OP10_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP10_SQL = f"""
+WITH items AS (SELECT item_id, {_OP10_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(list_slice(w, q, q + n - 1), ' ') AS words
+    FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS q
+          FROM items WHERE len(w) > 0)
+),
+docs AS (SELECT doc_id, {_OP10_WORDS} AS w FROM documents),
+runs AS (
+    SELECT doc_id, n, q, array_to_string(list_slice(w, q, q + n - 1), ' ') AS words
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS q
+          FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+),
+found AS (SELECT r.doc_id, r.q, r.n, w.item_id FROM runs r JOIN windows w USING (n, words)),
+hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(q, q + n)) AS p FROM (SELECT DISTINCT doc_id, q, n FROM found))
+    GROUP BY doc_id
+),
+listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(l.n_items, 0) AS n_items, sha256(coalesce(l.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= coalesce(len(d.w), 0) AS contaminated
+FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN listed l USING (doc_id)
+"""
+
+
+@query("op10_decontaminate", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(documents, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
