@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import compression, decontaminate, simhash, url_filter
+from lodgeframe.llm import bpe, compression, decontaminate, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -148,3 +148,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def vocabulary(name: str) -> str:
+    """The place of a file of the installed vocabulary package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    encoded = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(spark, F.col("text"), path).alias("t"))
+    decoded = encoded.select("doc_id", "t.ids", bpe.decode(spark, F.col("t.ids"), F.col("t.ends"), path).alias("bytes"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
+    )
