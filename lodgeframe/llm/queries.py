@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, compression, decontaminate, simhash, url_filter
+from lodgeframe.llm import bpe, compression, decontaminate, language, simhash, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -168,3 +168,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = language.fit(documents.where(~language.held_out(F.col("doc_id"))))
+    found = documents.select("doc_id", language.language(spark, F.col("text"), samples).alias("p"))
+    return found.select(
+        "doc_id",
+        language.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("p.lang").alias("lang_pred"),
+        F.col("p.score").alias("score"),
+    )
