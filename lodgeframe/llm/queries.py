@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, compression, decontaminate, language, simhash, url_filter
+from lodgeframe.llm import bpe, compression, decontaminate, language, simhash, tokenfile, url_filter, warc
+from lodgeframe.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -181,3 +182,46 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p.lang").alias("lang_pred"),
         F.col("p.score").alias("score"),
     )
+
+
+OP5_SQL = """
+WITH marks AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS d,
+           min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages
+),
+bits AS (
+    SELECT *, array_to_string(list_transform(range(1, 41),
+        lambda i: lpad(bin(strpos('0123456789abcdef', substr(d, i, 1)) - 1), 4, '0')), '') AS b
+    FROM marks
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(1, 6), lambda k: CAST(substr(b, CAST(5 * i + k AS INTEGER), 1) AS INTEGER) << (5 - k)))::INTEGER, 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM bits
+"""
+
+
+@query("op5_warc", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "warc")
+    manifest = warc.write_warc(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), base)
+    return warc.read_warc(manifest, base).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query("op7_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "tokens")
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = tokenfile.write_tokens(documents, base, vocabulary("byte_bpe_50k.json"))
+    return tokenfile.read_tokens(manifest, base).select(
+        F.col("key").alias("doc_id"),
+        "start",
+        F.size("ids").cast("long").alias("n_tokens"),
+        tokenfile.ids_crc32(F.col("ids")).alias("ids_crc32"),
+    )
