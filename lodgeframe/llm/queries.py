@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, compression, decontaminate, language, simhash, tokenfile, url_filter, warc
+from lodgeframe.llm import bpe, compression, decontaminate, language, pii, simhash, tokenfile, url_filter, warc
 from lodgeframe.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -225,3 +225,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         tokenfile.ids_crc32(F.col("ids")).alias("ids_crc32"),
     )
+
+
+@query("op4_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.span_texts(pii.BASE), 256).alias("base_sha256"),
+        pii.span_texts((*pii.BASE, pii.FOUND)).alias("spans"),
+    )

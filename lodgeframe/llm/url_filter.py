@@ -91,6 +91,12 @@ def bloom_blocks(urls: DataFrame, url: str, blocks: int) -> DataFrame:
     return placed.groupBy("_block").agg(*(F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(WORDS)))
 
 
+def bloom_hit(value: Column, blocks: int) -> tuple[Column, Column]:
+    """The block to join the filter on, and whether the joined block has all bits of the value."""
+    block, *masks = _place(value, blocks)
+    return block, reduce(lambda a, b: a & b, (F.col(f"_w{i}").bitwiseAND(m) == m for i, m in enumerate(masks)))
+
+
 def judge_urls(
     df: DataFrame,
     listed: DataFrame,
@@ -113,9 +119,8 @@ def judge_urls(
     host, path = url_host(F.coalesce(F.col(url), F.lit(""))), url_path(F.coalesce(F.col(url), F.lit("")))
     parts = df.select(F.col(key), host.alias("host"), path.alias("path"), canonical(F.col(url)).alias("_name"))
     ruled = parts.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    block, *masks = _place(F.col("_name"), blocks)
+    block, hit = bloom_hit(F.col("_name"), blocks)
     probed = ruled.withColumn("_block", F.when(F.col("rule").isNull() & F.col("_name").isNotNull(), block))
-    hit = reduce(lambda a, b: a & b, (F.col(f"_w{i}").bitwiseAND(m) == m for i, m in enumerate(masks)))
     marked = probed.join(bloom, "_block", "left").withColumn("_maybe", F.coalesce(hit, F.lit(False)))
     kept = [key, "host", "path", "rule"]
     misses = marked.where(~F.col("_maybe")).select(*kept, F.lit(False).alias("listed"))
