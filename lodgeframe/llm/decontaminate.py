@@ -146,9 +146,9 @@ def contamination(
     shingle: int = SHINGLE,
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """(key, n_words, n_hit, items, contaminated), one row for each row of ``df``.
+    """(key, row_hash, n_words, n_hit, items, contaminated), one row for each row of ``df``.
 
-    A word is hit inside any occurrence of a window; contaminated: some are, and at least one in twenty.
+    ``row_hash`` is the hash of the text, which tells rows that repeat a key apart. A word is hit inside any occurrence of a window; contaminated: some are, and at least one in twenty.
     ``items``: sorted ids, as text, of the items with occurring windows. Null texts have no words; items
     without words have no windows; items without an id hit words but are not listed. Repeated rows are
     returned each. Other columns are not carried. Two passes over the texts, no text is shuffled.
@@ -187,6 +187,7 @@ def contamination(
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return probed.select(
         F.col("k").alias(key),
+        F.col("r").alias("row_hash"),
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

@@ -264,9 +264,12 @@ def mask(df: DataFrame, key: str = "doc_id", text: str = "text", **scoring) -> D
     All columns stay, rows without spans are unchanged.
     """
     found = find_pii(df, key, text, **scoring)
+
+    def named(kind: str) -> Callable[[Column], Column]:
+        return lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("stop"), F.lit(kind.upper()).alias("kind"))
+
     spans = F.sort_array(F.concat(*(
-        F.transform(F.col(k), lambda s, k=k: F.struct(s["start"].alias("start"), (-s["end"]).alias("stop"), F.lit(k.upper()).alias("kind")))
-        for k in (*BASE, FOUND)
+        F.transform(F.col(k), named(k)) for k in (*BASE, FOUND)
     )))
     hits = found.where(" OR ".join(f"size({k}) > 0" for k in (*BASE, FOUND))).select(
         F.col(key).alias("_k"), F.col("r").alias("_r"), spans.alias("_spans")

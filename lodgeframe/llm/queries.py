@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import bpe, compression, decontaminate, language, pii, simhash, tokenfile, url_filter, warc
+from lodgeframe.llm import (
+    bpe,
+    compression,
+    decontaminate,
+    htmlmain,
+    language,
+    pii,
+    simhash,
+    tokenfile,
+    url_filter,
+    warc,
+)
 from lodgeframe.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -160,9 +171,8 @@ def vocabulary(name: str) -> str:
 
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary("byte_bpe_multi_50k.tiktoken")
-    encoded = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(spark, F.col("text"), path).alias("t"))
-    decoded = encoded.select("doc_id", "t.ids", bpe.decode(spark, F.col("t.ids"), F.col("t.ends"), path).alias("bytes"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = bpe.round_trip(documents, vocabulary("byte_bpe_multi_50k.tiktoken")).drop("text")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -236,3 +246,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_texts(pii.BASE), 256).alias("base_sha256"),
         pii.span_texts((*pii.BASE, pii.FOUND)).alias("spans"),
     )
+
+
+@query("op6_html_main")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmlmain.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
