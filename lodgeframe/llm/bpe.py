@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import base64
 import heapq
-from array import array
 from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from lodgeframe.llm.pretoken import pretokens
 from lodgeframe.llm.wordspan import batches
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 250_000
 _SHORT = 64  # bytes up to which rescanning all pairs beats a heap
 
 
@@ -86,26 +85,36 @@ class PieceCache(dict):
     def __init__(self, encode: Callable[[str], list[int]], most: int = CACHE_ENTRIES) -> None:
         super().__init__()
         self.encode, self.most = encode, most
-        self.ids, self.starts = array("i"), array("q", [0])
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.ids, self.used = np.zeros(1 << 16, dtype=np.int32), 0
+        self.starts = np.zeros(1 << 14, dtype=np.int64)
 
     def __missing__(self, piece: str) -> int:
-        place = self[piece] = len(self)
-        self.ids.extend(self.encode(piece))
-        self.starts.append(len(self.ids))
+        new, place = self.encode(piece), len(self)
+        end = self.used + len(new)
+        if end > len(self.ids):
+            self.ids = np.resize(self.ids, max(2 * len(self.ids), end))
+        if place + 1 >= len(self.starts):
+            self.starts = np.resize(self.starts, 2 * len(self.starts))
+        self.ids[self.used : end] = new
+        self.starts[place + 1] = self.used = end
+        self[piece] = place
         return place
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of ids of each."""
         if len(self) > self.most:
-            self.clear()
-            self.ids, self.starts = array("i"), array("q", [0])
+            self._empty()
         pieces, counts = pretokens(texts)
         place = np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        starts = np.array(self.starts, dtype=np.int64)
-        sizes = starts[place + 1] - starts[place]
+        first = self.starts[place]
+        sizes = self.starts[place + 1] - first
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        ids = np.array(self.ids, dtype=np.int32)[np.repeat(starts[place] - (ends - sizes), sizes) + np.arange(total)]
+        ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return ids, np.diff(bounds)
 
@@ -119,50 +128,54 @@ def cached(name: str, encode: Callable[[], Callable[[str], list[int]]]) -> Piece
     return _CACHES[name]
 
 
-def encode(spark: SparkSession, text: Column, path: str) -> Column:
-    """A struct of every whole text: ``ids``, and ``ends``, the byte offset at which each token ends.
+def _with(df: DataFrame, added: str) -> tuple[DataFrame, T.StructType]:
+    """``df`` without columns of the added names, and its schema with them."""
+    fields = T.StructType.fromDDL(added).fields
+    kept = df.drop(*(f.name for f in fields))
+    return kept, T.StructType([*kept.schema.fields, *fields])
 
-    No special tokens are known: their strings are ordinary text. Null is encoded as the empty text.
-    The rank file is read once by the caller and broadcast; its size is that of the vocabulary.
-    """
-    ranks = read_ranks(path)
-    shared = spark.sparkContext.broadcast(ranks)
-
-    @F.pandas_udf("ids array<int>, ends array<int>")
-    def of(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        cache = cached(f"ranks {path}", lambda: lambda piece: merge(piece.encode("utf-8", "surrogatepass"), known))
-        length = np.zeros(max(known.values()) + 1, dtype=np.int32)
-        length[list(known.values())] = [len(token) for token in known]
-        for texts in series:
-            ids_of: list[np.ndarray] = []
-            ends_of: list[np.ndarray] = []
-            for group in batches(texts):
-                ids, counts = cache.encode_texts([t or "" for t in group])
-                cuts = np.cumsum(counts)[:-1]
-                parts = np.split(ids, cuts)
-                ids_of += parts
-                ends_of += [np.cumsum(length[p], dtype=np.int32) for p in parts]
-            yield pd.DataFrame({"ids": ids_of, "ends": ends_of})
-
-    return of(text)
-
-
-def decode(spark: SparkSession, ids: Column, ends: Column, path: str) -> Column:
-    """The bytes of the ids, each token copied to its place by the kept offsets. Null ids give null."""
-    shared = spark.sparkContext.broadcast(read_ranks(path))
-
-    @F.pandas_udf("binary")
-    def of(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        tokens = sorted(shared.value.items(), key=lambda item: item[1])
-        flat = np.frombuffer(b"".join(token for token, _ in tokens), dtype=np.uint8)
-        at = np.zeros(tokens[-1][1] + 1 if tokens else 1, dtype=np.int64)
-        sizes = np.cumsum([0, *(len(token) for token, _ in tokens)])
-        at[[rank for _, rank in tokens]] = sizes[:-1]
-        for ids, ends in pairs:
-            yield pd.Series([_bytes(i, e, flat, at) for i, e in zip(ids, ends)], dtype="object")
-
-    return of(ids, ends)
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), values)
+
+
+def _encoded(batch: pa.RecordBatch, text: str, cache: PieceCache, length: np.ndarray) -> Iterator[pa.RecordBatch]:
+    at = 0
+    for group in batches(batch.column(text).to_pylist()):
+        ids, counts = cache.encode_texts([t or "" for t in group])
+        sizes = length[ids].astype(np.int64)
+        ends = np.cumsum(sizes)
+        before = np.concatenate(([0], ends))[np.cumsum(counts) - counts]
+        ends = (ends - np.repeat(before, counts)).astype(np.int32)
+        part = batch.slice(at, len(group))
+        at += len(group)
+        yield pa.RecordBatch.from_arrays(
+            [*part.columns, _lists(ids, counts), _lists(ends, counts)], names=[*part.schema.names, "ids", "ends"]
+        )
+
+
+def _lengths(ranks: dict[bytes, int]) -> np.ndarray:
+    length = np.zeros(max(ranks.values(), default=0) + 1, dtype=np.int32)
+    length[list(ranks.values())] = [len(token) for token in ranks]
+    return length
+
+
+def _decoded(batch: pa.RecordBatch, flat: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    def lists(name: str) -> Iterator[np.ndarray | None]:
+        column = batch.column(name)
+        return (None if x is None else x.values.to_numpy() for x in column)
+
+    out = [_bytes(i, e, flat, at) for i, e in zip(lists("ids"), lists("ends"))]
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "bytes"])
+
+
+def _places(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens in a row, and where each id's begin."""
+    flat = np.frombuffer(b"".join(ranks), dtype=np.uint8)
+    at = np.zeros(max(ranks.values(), default=0) + 1, dtype=np.int64)
+    sizes = np.array([len(token) for token in ranks], dtype=np.int64)
+    at[list(ranks.values())] = np.cumsum(sizes) - sizes
+    return flat, at
 
 
 def _bytes(ids: np.ndarray | None, ends: np.ndarray | None, flat: np.ndarray, at: np.ndarray) -> bytes | None:
@@ -172,3 +185,53 @@ def _bytes(ids: np.ndarray | None, ends: np.ndarray | None, flat: np.ndarray, at
         return b""
     sizes = np.diff(ends, prepend=0)
     return flat[np.repeat(at[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]))].tobytes()
+
+
+def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Adds ``ids`` of every whole text, and ``ends``, the byte offset at which each token ends.
+
+    No special tokens are known: their strings are ordinary text. Null is encoded as the empty text. All
+    rows and other columns stay; columns of the added names are replaced. The rank file is read once by the
+    caller and broadcast; its size is that of the vocabulary.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    kept, schema = _with(df, "ids array<int>, ends array<int>")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, length = _merger(path, shared.value), _lengths(shared.value)
+        for part in parts:
+            yield from _encoded(part, text, cache, length)
+
+    return kept.mapInArrow(run, schema)
+
+
+def decode(df: DataFrame, path: str) -> DataFrame:
+    """Adds ``bytes``: the tokens of ``ids``, each copied to the place that ``ends`` kept. Null ids give null."""
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    kept, schema = _with(df, "bytes binary")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, at = _places(shared.value)
+        for part in parts:
+            yield _decoded(part, flat, at)
+
+    return kept.mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``decode(encode(df))`` in one pass of the workers, about a million characters at a time."""
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    kept, schema = _with(df, "ids array<int>, ends array<int>, bytes binary")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, length = _merger(path, shared.value), _lengths(shared.value)
+        flat, at = _places(shared.value)
+        for part in parts:
+            for encoded in _encoded(part, text, cache, length):
+                yield _decoded(encoded, flat, at)
+
+    return kept.mapInArrow(run, schema)
+
+
+def _merger(path: str, ranks: dict[bytes, int]) -> PieceCache:
+    return cached(f"ranks {path}", lambda: lambda piece: merge(piece.encode("utf-8", "surrogatepass"), ranks))

@@ -120,6 +120,8 @@ def _symbols(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """All pre-tokens in order, and their number in each text. Texts together are the slices, nothing is lost."""
+    if not texts:
+        return [], np.zeros(0, dtype=np.int64)
     joined = "\0".join(texts) + "\0"  # where a text ends is known by place, not by this character
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     ends = np.cumsum([len(t) + 1 for t in texts]) - 1
