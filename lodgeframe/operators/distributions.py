@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lodgeframe.functions.clean import is_true
 from lodgeframe.operators.ordered import with_running_sum
-from lodgeframe.operators.quantiles import exact_quantiles, quantile_row
-from lodgeframe.operators.sizing import attach_by_key, one_row
+from lodgeframe.operators.quantiles import exact_quantiles, number, quantile_row
+from lodgeframe.operators.sizing import SALT, one_row, spread_join
 
 QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
 
@@ -19,20 +19,26 @@ def _bins(df: DataFrame, n: int) -> DataFrame:
     return df.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"))
 
 
-def _ends(rows: DataFrame, x: str, lo=None, hi=None) -> tuple[float, float] | None:
-    """The two ends of the value range, read as one row; as literals they also prune the scan."""
-    first = F.min(x) if lo is None else F.max(lo)
-    last = F.max(x) if hi is None else F.max(hi)
-    row = rows.agg(first.cast("double").alias("lo"), last.cast("double").alias("hi")).first()
-    return None if row["lo"] is None or row["hi"] is None else (row["lo"], row["hi"])
+def _ends(
+    rows: DataFrame, x: str, lo: Column | None = None, hi: Column | None = None, widen: bool = False
+) -> Column:
+    """The two ends of the value range as one struct, from a one-row subquery.
 
-
-def _edges(lo: float, hi: float, n: int) -> list[float]:
-    return [lo + i * ((hi - lo) / n) for i in range(n)] + [hi]
+    0 and 1 without any value and, with ``widen``, half a unit around a single value, both as in NumPy.
+    """
+    found = rows.agg(
+        (F.min(x) if lo is None else F.max(lo)).cast("double").alias("lo"),
+        (F.max(x) if hi is None else F.max(hi)).cast("double").alias("hi"),
+    )
+    known = F.col("lo").isNotNull() & F.col("hi").isNotNull()
+    found = found.select(F.when(known, F.col("lo")).otherwise(0.0).alias("lo"), F.when(known, F.col("hi")).otherwise(1.0).alias("hi"))
+    room = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(0.0) if widen else F.lit(0.0)
+    return found.select(F.struct((F.col("lo") - room).alias("lo"), (F.col("hi") + room).alias("hi")).alias("ends")).scalar()
 
 
-def _edge(edges: list[float], i: Column) -> Column:
-    return F.array(*[F.lit(e) for e in edges])[i]
+def _edge(lo: Column, hi: Column, n: int, i: Column) -> Column:
+    """The edge number ``i`` of ``n`` equal bins; the last one is the end itself."""
+    return F.when(i >= n, hi).otherwise(lo + i * ((hi - lo) / n))
 
 
 def histogram(
@@ -43,69 +49,70 @@ def histogram(
     hi: Column | float | None = None,
     clip_upper: float | None = None,
 ) -> DataFrame:
-    """Counts in ``n`` equal bins: left-closed, the last one closed; outside values are dropped.
+    """Counts in ``n`` equal bins: left-closed, the last one closed; outside values, null and NaN are dropped.
 
     Bounds default to the smallest and largest value. Empty bins are listed with 0.
     """
-    x = F.col(value).cast("double")
+    x = number(value)
     if clip_upper is not None:
         x = F.when(x > clip_upper, F.lit(float(clip_upper))).otherwise(x)
     rows = df.select(x.alias("_x")).where("_x is not null")
     lo, hi = (c if c is None or isinstance(c, Column) else F.lit(float(c)) for c in (lo, hi))
-    # Without any value the bins run from 0 to 1, as in NumPy.
-    lo, hi = _ends(rows, "_x", lo, hi) or (0.0, 1.0)
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    edges = _edges(lo, hi, n)
-    guess = F.least(F.floor((F.col("_x") - lo) / (hi - lo) * n).cast("int"), F.lit(n - 1))
-    placed = rows.where(F.col("_x").between(lo, hi)).select("_x", guess.alias("_g"))
-    g = F.col("_g")
+    ends = _ends(rows, "_x", lo, hi, widen=True)
+    bounded = rows.withColumn("_e", ends)
+    lo_, hi_, g = F.col("_e.lo"), F.col("_e.hi"), F.col("_g")
+    guess = F.least(F.floor((F.col("_x") - lo_) / (hi_ - lo_) * n).cast("int"), F.lit(n - 1))
+    placed = bounded.where(F.col("_x").between(lo_, hi_)).withColumn("_g", guess)
     # The quotient may land next to an edge; the edges themselves decide.
     exact = (
-        F.when(F.col("_x") < _edge(edges, g), g - 1)
-        .when((F.col("_x") >= _edge(edges, g + 1)) & (g < n - 1), g + 1)
+        F.when(F.col("_x") < _edge(lo_, hi_, n, g), g - 1)
+        .when((F.col("_x") >= _edge(lo_, hi_, n, g + 1)) & (g < n - 1), g + 1)
         .otherwise(g)
     )
     counts = placed.groupBy(exact.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # Both sides hold at most n rows.
-    return _bins(df, n).join(F.broadcast(counts), "bin", "left").select(
+    return _bins(df, n).withColumn("_e", ends).join(F.broadcast(counts), "bin", "left").select(
         "bin",
-        _edge(edges, F.col("bin")).alias("left"),
-        _edge(edges, F.col("bin") + 1).alias("right"),
+        _edge(lo_, hi_, n, F.col("bin")).alias("left"),
+        _edge(lo_, hi_, n, F.col("bin") + 1).alias("right"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
-def _cut(df: DataFrame, value: str, lo: float, hi: float, n: int) -> DataFrame:
-    edges, x = _edges(lo, hi, n), F.col(value).cast("double")
-    if lo == hi:
-        return df.withColumn("bin", F.when(x.isNotNull(), F.lit((n - 1) // 2)))
-    guess = F.greatest(F.ceil((x - lo) / (hi - lo) * n).cast("int"), F.lit(1)) - 1
-    g = F.col("_g")
+def _cut(df: DataFrame, value: str, ends: Column, n: int) -> DataFrame:
+    bounded = df.withColumns({"_x": number(value), "_e": ends})
+    lo_, hi_, x_, g = F.col("_e.lo"), F.col("_e.hi"), F.col("_x"), F.col("_g")
+    guess = F.greatest(F.ceil((x_ - lo_) / (hi_ - lo_) * n).cast("int"), F.lit(1)) - 1
     exact = (
-        F.when((x <= _edge(edges, g)) & (g > 0), g - 1)
-        .when((x > _edge(edges, g + 1)) & (g < n - 1), g + 1)
+        F.when(lo_ == hi_, F.lit((n - 1) // 2))
+        .when((x_ <= _edge(lo_, hi_, n, g)) & (g > 0), g - 1)
+        .when((x_ > _edge(lo_, hi_, n, g + 1)) & (g < n - 1), g + 1)
         .otherwise(g)
     )
-    return df.withColumn("_g", F.when(x.isNotNull(), guess)).withColumn("bin", exact).drop("_g")
+    placed = bounded.withColumn("_g", F.when(x_.isNotNull() & (lo_ < hi_), guess))
+    return placed.withColumn("bin", F.when(x_.isNotNull(), exact)).drop("_x", "_e", "_g")
+
+
+def _known(df: DataFrame, value: str) -> Column:
+    return _ends(df.select(number(value).alias("_x")), "_x")
 
 
 def cut_equal(df: DataFrame, value: str, n: int) -> DataFrame:
-    """Add ``bin`` (0-based) of ``n`` equal right-closed intervals, the lowest value included."""
-    return _cut(df, value, *(_ends(df, value) or (0.0, 1.0)), n)
+    """Add ``bin`` (0-based) of ``n`` equal right-closed intervals, the lowest value included; null for null and NaN."""
+    return _cut(df, value, _known(df, value), n)
 
 
 def cut_equal_median(df: DataFrame, by_value: str, value: str, n: int = 10) -> DataFrame:
     """Median of ``value`` per equal-width interval of ``by_value``; empty intervals give 0."""
-    lo, hi = _ends(df, by_value) or (0.0, 1.0)
-    edges = _edges(lo, hi, n)
-    rows = _cut(df.select(by_value, value), by_value, lo, hi, n)
+    ends = _known(df, by_value)
+    rows = _cut(df.select(by_value, value), by_value, ends, n)
     medians = exact_quantiles(rows, value, {"median": 0.5}, ["bin"], {"n": F.count(F.lit(1))})
     # Both sides hold at most n rows.
-    return _bins(df, n).join(F.broadcast(medians), "bin", "left").select(
+    lo, hi = F.col("_e.lo"), F.col("_e.hi")
+    return _bins(df, n).withColumn("_e", ends).join(F.broadcast(medians), "bin", "left").select(
         "bin",
-        _edge(edges, F.col("bin")).alias("left"),
-        _edge(edges, F.col("bin") + 1).alias("right"),
+        _edge(lo, hi, n, F.col("bin")).alias("left"),
+        _edge(lo, hi, n, F.col("bin") + 1).alias("right"),
         F.coalesce("median", F.lit(0.0)).alias("median"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
@@ -124,15 +131,16 @@ def qcut(df: DataFrame, value: str, labels: Sequence[str], out: str = "segment")
     parts = len(labels)
     names = {f"b{i}": i / parts for i in range(1, parts)}
     bounds = quantile_row(df, value, names)
-    chain = F.when(F.col(value).isNull(), F.lit(None).cast("string"))
+    x = number(value)
+    chain = F.when(x.isNull(), F.lit(None).cast("string"))
     for name, label in zip(names, labels):
-        chain = chain.when(F.col(value) <= bounds[name], label)
+        chain = chain.when(x <= bounds[name], label)
     return df.withColumn(out, chain.otherwise(F.lit(labels[-1])))
 
 
 def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max, overall or per group."""
-    x = F.col(value).cast("double")
+    """count, mean, std, min, exact quartiles and max, overall or per group; NaN is no value."""
+    x = number(value)
     extras = {
         "count": F.count(x),
         "mean": F.avg(x),
@@ -163,22 +171,32 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     fences = quartiles.withColumn("_low", F.col("q1") - reach).withColumn(
         "_high", F.col("q3") + reach
     )
-    rows = attach_by_key(df.select(by, value), fences, [by], how="inner")
-    x = F.col(value)
+    # Equal values are counted first; a hot group is dealt over several tasks before it is summed up.
+    counted = df.select(by, number(value).alias("_x")).groupBy(by, "_x").agg(F.count(F.lit(1)).alias("_m"))
+    rows = spread_join(counted, fences, [by], ["_x"])
+    x, m = F.col("_x"), F.col("_m")
     inside = x.between(F.col("_low"), F.col("_high"))
-    return rows.groupBy(by).agg(
+    parts = rows.groupBy(by, SALT).agg(
         *[F.max(q).alias(q) for q in QUARTILES],
         F.min(F.when(inside, x)).alias("whisker_low"),
         F.max(F.when(inside, x)).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
-        F.count(x).alias("n"),
+        F.sum(F.when(~inside, m).otherwise(0)).alias("n_outliers"),
+        F.sum(F.when(x.isNotNull(), m).otherwise(0)).alias("n"),
+    )
+    return parts.groupBy(by).agg(
+        *[F.max(q).alias(q) for q in QUARTILES],
+        F.min("whisker_low").alias("whisker_low"),
+        F.max("whisker_high").alias("whisker_high"),
+        F.sum("n_outliers").alias("n_outliers"),
+        F.sum("n").alias("n"),
     )
 
 
 def zscore_outliers(df: DataFrame, value: str, limit: float = 3.0) -> DataFrame:
-    """Rows more than ``limit`` population deviations from the mean, with their z."""
-    m = one_row(df, mean=F.avg(value), sd=F.stddev_pop(value))
-    z = F.try_divide(F.col(value) - m["mean"], m["sd"])
+    """Rows more than ``limit`` population deviations from the mean, with their z; NaN is no value."""
+    x = number(value)
+    m = one_row(df, mean=F.avg(x), sd=F.stddev_pop(x))
+    z = F.try_divide(x - m["mean"], m["sd"])
     return df.withColumn("z", z).where(F.abs("z") > limit)
 
 

@@ -7,21 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 200
 
+def _categories(values: DataFrame) -> list[str]:
+    """The distinct values; they become columns, so their number is that of the wanted columns."""
+    return sorted(r[0] for r in values.distinct().collect())
 
-def _categories(values: DataFrame, limit: int) -> list[str]:
-    """The distinct values, read only if there are few enough to become columns."""
-    found = [r[0] for r in values.distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories; pass known=")
-    return sorted(found)
 
-
-def categories(df: DataFrame, tokens: str, limit: int = MAX_CATEGORIES) -> list[str]:
+def categories(df: DataFrame, tokens: str) -> list[str]:
     """The distinct non-empty tokens of an array column."""
     found = df.select(F.explode(tokens).alias("t")).where("t is not null and t <> ''")
-    return _categories(found, limit)
+    return _categories(found)
 
 
 def one_hot_list(
@@ -29,10 +24,9 @@ def one_hot_list(
     tokens: str,
     prefix: str,
     known: Sequence[str] | None = None,
-    limit: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """One boolean ``<prefix>_<token>`` per token of an array column."""
-    known = categories(df, tokens, limit) if known is None else known
+    known = categories(df, tokens) if known is None else known
     return df.withColumns(
         {f"{prefix}_{c}": F.coalesce(F.array_contains(tokens, c), F.lit(False)) for c in known}
     )
@@ -42,11 +36,10 @@ def one_hot(
     df: DataFrame,
     column: str,
     known: Sequence | None = None,
-    limit: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """One boolean ``<column>_<value>`` per value; null sets none."""
     if known is None:
-        known = _categories(df.where(F.col(column).isNotNull()).select(column), limit)
+        known = _categories(df.where(F.col(column).isNotNull()).select(column))
     return df.withColumns({f"{column}_{c}": F.col(column).eqNullSafe(F.lit(c)) for c in known})
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.functions.clean import clip
 from lodgeframe.operators.quantiles import group_medians, group_mode, quantile_row
-from lodgeframe.operators.sizing import attach_by_key, distinct_estimate
+from lodgeframe.operators.sizing import attach_by_key
 
 
 @dataclass(frozen=True)
@@ -71,7 +71,6 @@ def impute_median(
     noise: Noise | None = None,
     global_fallback: bool = False,
     source: DataFrame | None = None,
-    profile: Sequence[int] | None = None,
 ) -> DataFrame:
     """Fill nulls with the group's exact median, optionally with noise.
 
@@ -79,18 +78,16 @@ def impute_median(
     ``global_fallback`` then fills what is left with the median of the filled column.
 
     In a chain of imputations pass the table before the chain as ``source``: the statistics are
-    then read from it instead of running the earlier joins once more. ``profile`` is the group
-    count and one distinct (group, target) count per target, if already measured.
+    then read from it instead of running the earlier joins once more.
     """
     keys, names = _keys(group), [targets] if isinstance(targets, str) else list(targets)
     base = df if source is None else source
-    profile = profile or distinct_estimate(base, keys, *[[*keys, name] for name in names])
     spreads = {}
     if noise is not None and noise.fixed is None:
         spreads = {f"_s{i}": F.stddev_samp(F.col(n).cast("double")) for i, n in enumerate(names)}
     medians = {f"_m{i}": name for i, name in enumerate(names)}
-    stats = group_medians(base, medians, keys, spreads, profile)
-    joined = attach_by_key(df, stats, keys, profile[0])
+    stats = group_medians(base, medians, keys, spreads)
+    joined = attach_by_key(df, stats, keys)
     filled = {}
     for i, name in enumerate(names):
         spread = _scale(F.col(f"_s{i}"), noise) if spreads else None
@@ -107,12 +104,11 @@ def impute_mode(
     target: str,
     group: str | Sequence[str],
     source: DataFrame | None = None,
-    groups: int | None = None,
 ) -> DataFrame:
     """Fill nulls with the group's most frequent value (lowest on a tie); ``source`` as above."""
     keys = _keys(group)
     modes = group_mode(df if source is None else source, target, keys, "_mode")
-    joined = attach_by_key(df, modes, keys, groups)
+    joined = attach_by_key(df, modes, keys)
     return joined.withColumn(target, F.coalesce(target, "_mode")).select(*df.columns)
 
 

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.functions.dates import good_friday
-from lodgeframe.operators.sizing import attach_by_key, checked_broadcast
+from lodgeframe.operators.sizing import attach_by_key
 
 
 def lookup_join(df: DataFrame, dimension: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Left join to a dimension, broadcast only if its size allows."""
-    return df.join(checked_broadcast(dimension), key, "left")
+    """Left join to a dimension; Spark broadcasts it if its size in bytes allows."""
+    return df.join(dimension, key, "left")
 
 
 def agg_join_back(
@@ -86,4 +86,4 @@ def interval_join(df: DataFrame, date: str, windows: DataFrame) -> DataFrame:
     days = windows.select(
         F.explode(F.sequence("start", "end")).alias(date), F.col("label").alias("event")
     )
-    return df.join(checked_broadcast(days), date)
+    return df.join(days, date)

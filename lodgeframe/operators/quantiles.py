@@ -1,13 +1,9 @@
-"""Exact quantiles with linear interpolation, for any group size.
+"""Exact quantiles with linear interpolation: one plan for any number of groups, rows and values.
 
-A cheap profile (distinct sketches, one scan) picks among three plans with the same result:
-
-* few distinct (group, value) pairs: Spark's own exact ``percentile``, whose state is then small;
-* a bounded number: pairs are counted, and running counts per group give the ranks;
-* any number: a mergeable sketch brackets every wanted rank per group, one aggregate counts what
-  lies below each bracket, and only the values inside a bracket are counted and ranked.
-
-In the last plan no group meets in one task; a bracket holds about 0.02 % of its group.
+Equal values of a group are counted first (combined before the shuffle). The counted values are put in
+order over (group, value) in slices of even size, so that a hot group spans many slices and no task grows
+with it. Running counts inside a slice, and what a group has in earlier slices (a table with at most two
+rows for each slice), give every rank.
 """
 
 from __future__ import annotations
@@ -17,57 +13,47 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeframe.operators.sizing import attach_by_key, distinct_estimate
+from lodgeframe.operators.ordered import SLICE, sliced
 
-STATE_LIMIT = 20_000
-PAIR_LIMIT = 2_000_000
-HALF_WIDTH = 1e-4
-ACCURACY = 100_000
-# Below this many rows a group's bracket is the whole group; above it the sketch's rank error
-# (1 / ACCURACY) is a tenth of the half width, so the bracket is sure to hold the wanted ranks.
-WHOLE_GROUP_ROWS = int(10 / HALF_WIDTH)
+_NAME = "_column"
 
 
-def _number(c: str) -> Column:
-    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+def number(c: str | Column) -> Column:
+    """The value as a double, with NaN as null."""
+    return F.nanvl((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(None).cast("double"))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    quantiles: Mapping[str, float],
-    by: Sequence[str] = (),
-    extras: Mapping[str, Column] | None = None,
-    profile: tuple[int, int] | None = None,
-    state_limit: int = STATE_LIMIT,
-    pair_limit: int = PAIR_LIMIT,
-) -> DataFrame:
-    """One row per group: the named quantiles of ``value`` plus ``extras`` aggregates.
-
-    Null and NaN values are left out of the quantiles; rows with a null group key are left out.
-    ``profile`` is the (distinct pairs, groups) estimate if the caller already has it.
-    """
-    by, extras = list(by), dict(extras or {})
-    base = (df.dropna(subset=by) if by else df).withColumn("_v", _number(value))
-    pairs, groups = profile or distinct_estimate(base, [*by, "_v"], by)
-    extra_columns = [agg.alias(name) for name, agg in extras.items()]
-    if pairs <= state_limit:
-        wanted = F.percentile("_v", [float(q) for q in quantiles.values()])
-        out = base.groupBy(*by).agg(wanted.alias("_q"), *extra_columns)
-        named = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
-        return out.select(*by, *named, *extras)
-    known = base.select(*by, "_v").where("_v is not null")
-    find = _by_counts if pairs <= pair_limit else _by_brackets
-    found = find(known, quantiles, by, groups)
-    if not extras and by:
-        # Groups without any value keep their row, as with the built-in aggregate.
-        own = base.select(*by).distinct()
-    else:
-        own = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *extra_columns)
-    if by:
-        return own.join(found, by, "left").select(*by, *quantiles, *extras)
-    picked = found.select(F.struct(*quantiles).alias("q")).scalar()
-    return own.select(*[picked[name].alias(name) for name in quantiles], *extras)
+def _ranked(cells: DataFrame, by: list[str]) -> DataFrame:
+    """Counted values (``_v``, ``_m``) with ``_seen``, the rows of the group up to and with the value, and ``_n``."""
+    rows = sliced(cells, [*by, "_v"])
+    inside = Window.partitionBy(SLICE, *by)
+    running = inside.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({"_seen": F.sum("_m").over(running), "_n": F.sum("_m").over(inside)})
+    parts = rows.groupBy(SLICE, *by).agg(F.max("_n").alias("_part"))
+    # Only the first and the last group of a slice can go on in another one.
+    key = F.struct(*by) if by else F.lit(0)
+    ends = parts.groupBy(SLICE).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    cut = (
+        parts.join(ends, SLICE)
+        .where((key == F.col("_first")) | (key == F.col("_last")))
+        .select(SLICE, *by, "_part")
+    )
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    earlier = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.select(
+        SLICE,
+        *by,
+        F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_earlier"),
+        F.sum("_part").over(group).alias("_total"),
+    )
+    joined = rows.join(carried, [SLICE, *by], "left")
+    return joined.select(
+        *by,
+        "_v",
+        "_m",
+        (F.col("_seen") + F.coalesce("_earlier", F.lit(0))).alias("_seen"),
+        F.coalesce("_total", "_n").alias("_n"),
+    )
 
 
 def _position(n: Column, q: float) -> tuple[Column, Column]:
@@ -80,25 +66,22 @@ def _between(a: Column, b: Column, part: Column) -> Column:
     return a + F.coalesce(b - a, F.lit(0.0)) * part
 
 
-def _by_counts(
-    base: DataFrame, quantiles: Mapping[str, float], by: list[str], groups: int
-) -> DataFrame:
-    """Ranks from running counts of the distinct values of each group."""
-    cells = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_m"))
-    whole = Window.partitionBy(*(by or [F.lit(1)]))
-    running = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = cells.withColumns(
-        {"_seen": F.sum("_m").over(running), "_n": F.sum("_m").over(whole)}
-    )
-    picks = []
+def _picked(values: DataFrame, quantiles: Mapping[str, float], by: list[str]) -> DataFrame:
+    """The quantiles of ``_v`` per group. Only the few rows that hold a wanted rank are grouped again."""
+    cells = values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    ranked = _ranked(cells, by)
+    first = F.col("_seen") - F.col("_m")
+    wanted, picks = F.lit(False), []
     for i, q in enumerate(quantiles.values()):
         rank, part = _position(F.col("_n"), q)
+        here, next_ = (first <= rank) & (F.col("_seen") > rank), (first <= rank + 1) & (F.col("_seen") > rank + 1)
+        wanted = wanted | here | next_
         picks += [
-            F.min(F.when(F.col("_seen") > rank, F.col("_v"))).alias(f"_a{i}"),
-            F.min(F.when(F.col("_seen") > rank + 1, F.col("_v"))).alias(f"_b{i}"),
+            F.max(F.when(here, F.col("_v"))).alias(f"_a{i}"),
+            F.max(F.when(next_, F.col("_v"))).alias(f"_b{i}"),
             F.max(part).alias(f"_p{i}"),
         ]
-    out = cells.groupBy(*by).agg(*picks)
+    out = ranked.where(wanted).groupBy(*by).agg(*picks)
     named = [
         _between(F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_p{i}")).alias(name)
         for i, name in enumerate(quantiles)
@@ -106,94 +89,28 @@ def _by_counts(
     return out.select(*by, *named)
 
 
-def _by_brackets(
-    base: DataFrame, quantiles: Mapping[str, float], by: list[str], groups: int
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    quantiles: Mapping[str, float],
+    by: Sequence[str] = (),
+    extras: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Ranks counted only inside brackets around the wanted quantiles."""
-    marks: list[float] = []
-    for q in quantiles.values():
-        marks += [max(q - HALF_WIDTH, 0.0), min(q + HALF_WIDTH, 1.0)]
-    sketch = base.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", marks, ACCURACY).alias("_marks"),
+    """One row per group: the named quantiles of ``value`` plus ``extras`` aggregates.
+
+    Null and NaN values are left out of the quantiles; rows with a null group key are left out.
+    Groups without any value keep their row, with null quantiles.
+    """
+    by, extras = list(by), dict(extras or {})
+    base = df.dropna(subset=by) if by else df
+    own = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, agg in extras.items()]
     )
-    whole = F.col("_n") < WHOLE_GROUP_ROWS
-    targets = []
-    for i, (name, q) in enumerate(quantiles.items()):
-        rank, part = _position(F.col("_n"), q)
-        targets.append(
-            F.struct(
-                F.lit(name).alias("_name"),
-                F.when(whole, F.col("_min")).otherwise(F.col("_marks")[2 * i]).alias("_lo"),
-                F.when(whole, F.col("_max")).otherwise(F.col("_marks")[2 * i + 1]).alias("_hi"),
-                rank.alias("_rank"),
-                part.alias("_part"),
-            )
-        )
-    sketch = sketch.select(*by, F.array(*targets).alias("_targets"))
+    found = _picked(base.select(*by, number(value).alias("_v")).where("_v is not null"), quantiles, by)
     if by:
-        rows = attach_by_key(base, sketch, by, groups, "inner")
-    else:
-        # One row of a few numbers; as literals they also reach the scan as a range filter.
-        found = sketch.first()
-        if found["_targets"] is None or found["_targets"][0]["_lo"] is None:
-            return sketch.select(*[F.lit(None).cast("double").alias(n) for n in quantiles])
-        rows = base.withColumn(
-            "_targets",
-            F.array(*[
-                F.struct(*[F.lit(v).alias(k) for k, v in target.asDict().items()])
-                for target in found["_targets"]
-            ]),
-        )
-        span = F.lit(False)
-        for target in found["_targets"]:
-            span = span | F.col("_v").between(target["_lo"], target["_hi"])
-    names = list(quantiles)
-    below = rows.groupBy(*by).agg(
-        *[F.count_if(F.col("_v") < F.col("_targets")[i]["_lo"]).alias(n) for i, n in enumerate(names)]
-    )
-    below = below.select(
-        *by,
-        F.inline(F.array(*[F.struct(F.lit(n).alias("_name"), F.col(n).alias("_below")) for n in names])),
-    )
-    inside = rows if by else rows.where(span)
-    cells = (
-        inside.select(*by, "_v", F.inline("_targets"))
-        .where("_v between _lo and _hi")
-        .groupBy(*by, "_name", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_m"),
-            F.max("_rank").alias("_rank"),
-            F.max("_part").alias("_part"),
-        )
-    )
-    running = (
-        Window.partitionBy(*by, "_name")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    cells = cells.withColumn("_inside", F.sum("_m").over(running))
-    # The counts below hold one row per group and quantile.
-    keys = [*by, "_name"]
-    side = below if by and groups > PAIR_LIMIT // len(names) else F.broadcast(below)
-    seen = F.col("_below") + F.col("_inside")
-    picked = cells.join(side, keys).groupBy(*keys).agg(
-        F.min(F.when(seen > F.col("_rank"), F.col("_v"))).alias("_a"),
-        F.min(F.when(seen > F.col("_rank") + 1, F.col("_v"))).alias("_b"),
-        F.max("_part").alias("_part"),
-        F.max(F.col("_below") > F.col("_rank")).alias("_late"),
-    )
-    missed = (
-        F.col("_late") | F.col("_a").isNull() | ((F.col("_part") > 0) & F.col("_b").isNull())
-    )
-    stop = F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double")
-    answer = F.when(missed, stop).otherwise(_between(F.col("_a"), F.col("_b"), F.col("_part")))
-    picked = picked.withColumn("_answer", answer)
-    return picked.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_name") == n, F.col("_answer"))).alias(n) for n in names]
-    )
+        return own.join(found, by, "left").select(*by, *quantiles, *extras)
+    picked = found.select(F.struct(*quantiles).alias("q")).scalar()
+    return own.select(*[picked[name].alias(name) for name in quantiles], *extras)
 
 
 def group_medians(
@@ -201,27 +118,27 @@ def group_medians(
     medians: Mapping[str, str],
     by: Sequence[str],
     extras: Mapping[str, Column] | None = None,
-    profile: Sequence[int] | None = None,
-    state_limit: int = STATE_LIMIT,
 ) -> DataFrame:
     """Medians of several columns per group: ``medians`` maps output names to columns.
 
-    ``profile`` is the group count followed by one distinct pair count per column. As long as all
-    of them are small, one aggregate serves every column.
+    The columns are stacked, so all of them take one pass.
     """
     by, extras = list(by), dict(extras or {})
-    counts = profile or distinct_estimate(df, by, *[[*by, c] for c in medians.values()])
-    groups, *pairs = counts
     base = df.dropna(subset=by)
-    extra_columns = [agg.alias(name) for name, agg in extras.items()]
-    if max(pairs) <= state_limit:
-        columns = [F.percentile(_number(c), 0.5).alias(name) for name, c in medians.items()]
-        return base.groupBy(*by).agg(*columns, *extra_columns)
-    out = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *extra_columns)
-    for n, (name, column) in zip(pairs, medians.items()):
-        one = exact_quantiles(df, column, {name: 0.5}, by, None, (n, groups), state_limit)
-        out = out.join(one, by, "left")
-    return out.drop("_n")
+    own = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, agg in extras.items()]
+    )
+    stacked = base.select(
+        *by,
+        F.inline(
+            F.array(*[F.struct(F.lit(name).alias(_NAME), number(c).alias("_v")) for name, c in medians.items()])
+        ),
+    ).where("_v is not null")
+    found = _picked(stacked, {"_median": 0.5}, [*by, _NAME])
+    wide = found.groupBy(*by).agg(
+        *[F.max(F.when(F.col(_NAME) == name, F.col("_median"))).alias(name) for name in medians]
+    )
+    return own.join(wide, by, "left").select(*by, *medians, *extras)
 
 
 def quantile_row(

@@ -1,7 +1,8 @@
-"""Size checks that decide how a small table meets a large one.
+"""How a small table meets a large one.
 
-Nothing is broadcast on trust: a side is only hinted after its row count was found to be below a
-bound. Beyond the bound the join stays a shuffle join, where adaptive execution splits hot keys.
+Joins carry no hints: Spark broadcasts a side by its size in bytes, planned or measured at run time, and
+splits hot keys of shuffle joins. Where an aggregate on the join key follows, which rules that split out,
+``spread_join`` deals every key over a fixed number of tasks instead.
 """
 
 from __future__ import annotations
@@ -11,47 +12,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+SALT = "_salt"
+SALTS = 32
 
 
-def distinct_estimate(df: DataFrame, *key_sets: Sequence[str | Column]) -> list[int]:
-    """Estimated distinct counts of several key sets from one map-side combined scan.
-
-    No keys at all mean one group.
-    """
-    sketches = [
-        F.approx_count_distinct(F.xxhash64(*keys)).alias(f"d{i}") if keys else F.lit(1).alias(f"d{i}")
-        for i, keys in enumerate(key_sets)
-    ]
-    return [int(n) for n in df.agg(*sketches).first()]
-
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether the table holds no more than ``rows`` rows; reads no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if its size allows, else unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def attach_by_key(detail: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Bring a one-row-per-key table back to the detail rows; null keys match nothing."""
+    return detail.join(table, list(keys), how)
 
 
-def attach_by_key(
-    detail: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    groups: int | None = None,
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+def spread_join(
+    detail: DataFrame, table: DataFrame, keys: Sequence[str], over: Sequence[str], salts: int = SALTS
 ) -> DataFrame:
-    """Bring a one-row-per-key table back to the detail rows; null keys match nothing.
+    """An inner join with a one-row-per-key table that deals each key over ``salts`` tasks by the ``over`` columns.
 
-    ``groups`` is the key count if the caller already measured it.
+    The column ``SALT`` stays: aggregate by the keys and it first, then by the keys.
     """
-    if groups is None:
-        (groups,) = distinct_estimate(detail, keys)
-    side = F.broadcast(table) if groups <= max_rows else table
-    return detail.join(side, list(keys), how)
+    dealt = detail.withColumn(SALT, F.pmod(F.xxhash64(*over), F.lit(salts)).cast("int"))
+    copies = table.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*keys, SALT])
 
 
 def one_row(df: DataFrame, **aggregates: Column) -> Column:

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.functions.clean import every_of, is_true
 from lodgeframe.operators.quantiles import quantile_row
-from lodgeframe.operators.sizing import checked_broadcast, one_row
-
-# Longer id lists are joined instead of being written into the expression.
-LITERAL_IDS = 1_000
+from lodgeframe.operators.sizing import one_row
 
 
 def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -35,13 +32,10 @@ def override_by_id(
 ) -> DataFrame:
     """Set a column to a constant for the listed ids (a list, or a table with the id column)."""
     if not isinstance(ids, DataFrame):
-        if len(ids) <= LITERAL_IDS:
-            hit = is_true(F.col(id_column).isin(*ids))
-            return df.withColumn(target, F.when(hit, F.lit(value)).otherwise(F.col(target)))
         kind = df.schema[id_column].dataType
         ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"{id_column} {kind.simpleString()}")
     marks = ids.select(id_column).distinct().withColumn("_hit", F.lit(True))
-    joined = df.join(checked_broadcast(marks), id_column, "left")
+    joined = df.join(marks, id_column, "left")
     changed = F.when(F.col("_hit"), F.lit(value)).otherwise(F.col(target))
     return joined.withColumn(target, changed).select(*df.columns)
 
@@ -156,9 +150,16 @@ def row_failures(df: DataFrame, masks: Mapping[str, Column], keep: Sequence[str]
     return df.select(*keep, names.alias("failures")).where(F.size("failures") > 0)
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """256 bits of a row: equal rows and no others share it. Lengths and nulls are part of it."""
+    parts = [F.to_json(F.struct(F.col(c).alias("v"))) for c in columns]
+    return F.unhex(F.sha2(F.concat_ws("\n", *parts), 256))
+
+
 def dedup_exact(df: DataFrame) -> DataFrame:
-    """Drop repeated rows."""
-    return df.dropDuplicates()
+    """Drop repeated rows. A digest is the shuffle key, so that long texts are not compared."""
+    kept = df.groupBy(_digest(df.columns).alias("_d")).agg(F.any_value(F.struct(*df.columns)).alias("_row"))
+    return kept.select("_row.*")
 
 
 def dedup_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -170,7 +171,7 @@ def dedup_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct rows and surplus rows over the columns (all unless given)."""
-    counted = df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.groupBy(_digest(columns or df.columns)).agg(F.count(F.lit(1)).alias("_n"))
     return counted.agg(
         F.sum("_n").alias("n_rows"),
         F.count(F.lit(1)).alias("n_distinct"),

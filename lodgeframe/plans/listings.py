@@ -15,7 +15,6 @@ from lodgeframe.functions.text import categorize_text, clean_text, keyword_flag,
 from lodgeframe.operators.encode import categories, one_hot_list
 from lodgeframe.operators.impute import Noise, impute_median, impute_mode
 from lodgeframe.operators.quality import Rule, ranges
-from lodgeframe.operators.sizing import distinct_estimate
 from lodgeframe.operators.tables import (
     drop_columns,
     log1p_columns,
@@ -135,23 +134,17 @@ def clean(raw: DataFrame, city: City = City()) -> DataFrame:
     """Types and imputations.
 
     All group statistics are read from the typed table, so no imputation repeats the joins of the
-    ones before it; one scan measures how large the statistics will be.
+    ones before it.
     """
     base = typed(raw, city)
     size, status, reply = "accommodates", "host_is_superhost", "host_response_time"
     acceptance, response = "host_acceptance_rate", "host_response_rate"
     noise = Noise("id", seed=city.noise_seed)
-    # Filling the reply times merges the missing ones into groups that exist already, so the
-    # counts with the times as they are bound the later ones from above.
-    counts = distinct_estimate(
-        base, [size], [size, "bedrooms"], [size, "beds"], [status], [status, acceptance],
-        [status, reply], [status, reply, response],
-    )
-    df = impute_median(base, ["bedrooms", "beds"], size, source=base, profile=counts[:3])
-    df = impute_median(df, acceptance, status, noise, source=base, profile=counts[3:5])
-    df = impute_mode(df, reply, status, source=base, groups=counts[3])
-    timed = impute_mode(base.select(status, reply, response), reply, status, groups=counts[3])
-    df = impute_median(df, response, [status, reply], noise, source=timed, profile=counts[5:])
+    df = impute_median(base, ["bedrooms", "beds"], size, source=base)
+    df = impute_median(df, acceptance, status, noise, source=base)
+    df = impute_mode(df, reply, status, source=base)
+    timed = impute_mode(base.select(status, reply, response), reply, status)
+    df = impute_median(df, response, [status, reply], noise, source=timed)
     rates = {c: clip(F.col(c), 0.0, 100.0) / F.lit(100.0) for c in (response, acceptance)}
     return df.withColumns({**rates, **{c: map_bool(F.col(c)) for c in present(df, FLAG_COLUMNS)}})
 

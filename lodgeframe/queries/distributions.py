@@ -11,6 +11,18 @@ from lodgeframe.operators.quantiles import exact_quantiles, quantile_row
 from lodgeframe.operators.tables import trim_quantile
 from lodgeframe.queries.registry import Tables, query, r6
 
+# The line items with NaN for the price of every eleventh order and the quantity of every thirteenth;
+# the SQL side has null there, which must come to the same.
+HOLED = """(SELECT * REPLACE (CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice,
+  CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_quantity END AS l_quantity) FROM lineitem)"""
+
+
+def holed(t: Tables) -> DataFrame:
+    def hole(column: str, every: int):
+        return F.when(F.col("l_orderkey") % every == 0, F.lit(float("nan"))).otherwise(F.col(column))
+
+    return t.lineitem.withColumns({"l_extendedprice": hole("l_extendedprice", 11), "l_quantity": hole("l_quantity", 13)})
+
 
 def edges_sql(rows: str, n: int, lo: str, hi: str, left: str = "a", right: str = "b") -> str:
     """Counts per listed interval [a, b), the last one closed, by comparing with the edges."""
@@ -23,11 +35,11 @@ def edges_sql(rows: str, n: int, lo: str, hi: str, left: str = "a", right: str =
 
 @query(
     "histogram",
-    edges_sql("WITH x AS (SELECT least(l_extendedprice, 80000) AS v FROM lineitem)", 40, "min(v)", "max(v)",
+    edges_sql("WITH x AS (SELECT least(l_extendedprice, 80000) AS v FROM lineitem WHERE l_orderkey % 11 <> 0)", 40, "min(v)", "max(v)",
               "round(a, 6)", "round(b, 6)"),
 )
 def histogram(t: Tables) -> DataFrame:
-    table = D.histogram(t.lineitem, "l_extendedprice", 40, clip_upper=80000)
+    table = D.histogram(holed(t), "l_extendedprice", 40, clip_upper=80000)
     return table.select("bin", r6("left").alias("left"), r6("right").alias("right"), "n")
 
 
@@ -44,15 +56,15 @@ def histogram_p95(t: Tables) -> DataFrame:
 
 @query(
     "cut_equal_median",
-    """WITH s AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem),
+    f"""WITH h AS {HOLED}, s AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM h),
     e AS (SELECT CAST(i AS INT) AS bin, lo + i * ((hi - lo) / 10) AS a,
       CASE WHEN i = 9 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 10) END AS b FROM s, range(10) r(i))
     SELECT bin, round(a, 6) AS "left", round(b, 6) AS "right", round(coalesce(median(l_extendedprice), 0), 6) AS median,
-      count(l_extendedprice) AS n FROM e LEFT JOIN lineitem ON l_quantity <= b AND (l_quantity > a OR (bin = 0 AND l_quantity = a))
+      count(l_quantity) AS n FROM e LEFT JOIN h ON l_quantity <= b AND (l_quantity > a OR (bin = 0 AND l_quantity = a))
     GROUP BY bin, a, b""",
 )
 def cut_equal_median(t: Tables) -> DataFrame:
-    table = D.cut_equal_median(t.lineitem, "l_quantity", "l_extendedprice", 10)
+    table = D.cut_equal_median(holed(t), "l_quantity", "l_extendedprice", 10)
     return table.select("bin", *[r6(c).alias(c) for c in ("left", "right", "median")], "n")
 
 
@@ -106,27 +118,27 @@ def quantiles(t: Tables) -> DataFrame:
     + " FROM lineitem GROUP BY l_returnflag",
 )
 def quantiles_by_bracket(t: Tables) -> DataFrame:
-    """The plan for groups of any size, chosen by force."""
-    table = exact_quantiles(t.lineitem, "l_extendedprice", WANTED, ["l_returnflag"], pair_limit=0, state_limit=0)
+    """Quantiles of few large groups, which span many slices."""
+    table = exact_quantiles(t.lineitem, "l_extendedprice", WANTED, ["l_returnflag"])
     return table.select("l_returnflag", *[r6(c).alias(c) for c in WANTED])
 
 
 DESCRIBED = ("mean", "std", "min", "p25", "p50", "p75", "max")
-DESCRIBE_SQL = """count(v) AS "count", round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS "min",
+DESCRIBE_SQL = f"""count(v) AS "count", round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS "min",
   round(quantile_cont(v, 0.25), 4) AS p25, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.75), 4) AS p75,
-  round(max(v), 4) AS "max" FROM (SELECT l_extendedprice AS v, * FROM lineitem)"""
+  round(max(v), 4) AS "max" FROM (SELECT l_extendedprice AS v, * FROM {HOLED})"""
 
 
 @query("describe", "SELECT " + DESCRIBE_SQL)
 def describe(t: Tables) -> DataFrame:
-    table = D.describe(t.lineitem, "l_extendedprice")
+    table = D.describe(holed(t), "l_extendedprice")
     return table.select("count", *[F.round(c, 4).alias(c) for c in DESCRIBED])
 
 
 @query("describe_by", "SELECT l_returnflag, l_linestatus, " + DESCRIBE_SQL + " GROUP BY l_returnflag, l_linestatus")
 def describe_by(t: Tables) -> DataFrame:
     keys = ["l_returnflag", "l_linestatus"]
-    table = D.describe(t.lineitem, "l_extendedprice", keys)
+    table = D.describe(holed(t), "l_extendedprice", keys)
     return table.select(*keys, "count", *[F.round(c, 4).alias(c) for c in DESCRIBED])
 
 
@@ -142,12 +154,12 @@ def trim(t: Tables) -> DataFrame:
 
 @query(
     "zscore_outliers",
-    """WITH s AS (SELECT avg(v) AS m, stddev_pop(v) AS sd FROM (SELECT l_extendedprice * l_quantity AS v FROM lineitem))
-    SELECT l_orderkey, l_linenumber, round((l_extendedprice * l_quantity - m) / sd, 6) AS z FROM lineitem, s
+    f"""WITH h AS {HOLED}, s AS (SELECT avg(v) AS m, stddev_pop(v) AS sd FROM (SELECT l_extendedprice * l_quantity AS v FROM h))
+    SELECT l_orderkey, l_linenumber, round((l_extendedprice * l_quantity - m) / sd, 6) AS z FROM h, s
     WHERE abs((l_extendedprice * l_quantity - m) / sd) > 3""",
 )
 def zscore_outliers(t: Tables) -> DataFrame:
-    df = t.lineitem.withColumn("v", F.col("l_extendedprice") * F.col("l_quantity"))
+    df = holed(t).withColumn("v", F.col("l_extendedprice") * F.col("l_quantity"))
     return D.zscore_outliers(df, "v").select("l_orderkey", "l_linenumber", r6("z").alias("z"))
 
 
@@ -214,7 +226,8 @@ CORRELATION_INPUT = [
     ),
 )
 def corr_matrix(t: Tables) -> DataFrame:
-    table = A.corr_matrix(t.lineitem.selectExpr(*CORRELATION_INPUT), CORRELATED, digits=None)
+    with_nan = [c.replace("THEN NULL", "THEN double('NaN')") for c in CORRELATION_INPUT]
+    table = A.corr_matrix(t.lineitem.selectExpr(*with_nan), CORRELATED, digits=None)
     return table.select("row", "column", r6("value").alias("value"))
 
 

@@ -9,16 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 PARTITION_BYTES = 200 * 1024**2
-MOST_PARTITIONS = 20_000
 
 
 def shuffle_partitions(shuffled_bytes: int) -> int:
-    """Partitions for a shuffle of that size: about 200 MB each, within what a driver can track.
+    """Partitions for a shuffle of that size: about 200 MB each, 200 at least.
 
     Adaptive execution merges the surplus of smaller shuffles but never adds partitions, so the
     number should fit the largest shuffle of a job.
     """
-    return min(max(200, -(-shuffled_bytes // PARTITION_BYTES)), MOST_PARTITIONS)
+    return max(200, -(-shuffled_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -40,6 +39,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffled_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))

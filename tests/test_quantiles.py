@@ -11,11 +11,6 @@ from lodgeframe.operators import quantiles as Q
 from tests.helpers import rows
 
 WANTED = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q95": 0.95, "q100": 1.0}
-PLANS = {
-    "built-in": {},
-    "counts": {"state_limit": 0},
-    "brackets": {"state_limit": 0, "pair_limit": 0},
-}
 
 
 def expected(frame: pd.DataFrame) -> dict:
@@ -43,10 +38,9 @@ def skewed(spark, tmp_path_factory):
     return frame, spark.read.parquet(path).union(extra)
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_groups_match_numpy_with_a_hot_group(skewed, plan):
+def test_groups_match_numpy_with_a_hot_group(skewed):
     frame, df = skewed
-    table = Q.exact_quantiles(df.repartition(7), "v", WANTED, ["k"], **PLANS[plan])
+    table = Q.exact_quantiles(df.repartition(7), "v", WANTED, ["k"])
     got, want = {r[0]: r[1:] for r in rows(table)}, expected(frame)
     assert set(got) == set(want)
     for key, numbers in want.items():
@@ -56,41 +50,50 @@ def test_groups_match_numpy_with_a_hot_group(skewed, plan):
             np.testing.assert_allclose(got[key], numbers, rtol=1e-12)
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_global_and_extras(skewed, plan):
+def test_global_and_extras(skewed):
     frame, df = skewed
-    table = Q.exact_quantiles(df, "v", WANTED, extras={"n": F.count(F.lit(1))}, **PLANS[plan])
+    table = Q.exact_quantiles(df, "v", WANTED, extras={"n": F.count(F.lit(1))})
     (row,) = rows(table)
     np.testing.assert_allclose(row[:-1], np.quantile(frame["v"].dropna(), list(WANTED.values())), rtol=1e-12)
     assert row[-1] == len(frame) + 1
 
 
-@pytest.mark.parametrize("plan", PLANS)
-def test_no_values_give_null(spark, plan):
+def test_no_values_give_null(spark):
     df = spark.createDataFrame([("a", None)], "k string, v double")
-    assert rows(Q.exact_quantiles(df, "v", {"m": 0.5}, **PLANS[plan])) == [(None,)]
-    assert rows(Q.exact_quantiles(df, "v", {"m": 0.5}, ["k"], **PLANS[plan])) == [("a", None)]
+    assert rows(Q.exact_quantiles(df, "v", {"m": 0.5})) == [(None,)]
+    assert rows(Q.exact_quantiles(df, "v", {"m": 0.5}, ["k"])) == [("a", None)]
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.floats(-1e6, 1e6)), min_size=1, max_size=30), st.floats(0, 1))
-def test_plans_agree(spark, data, q):
+def test_any_quantile(spark, data, q):
     df = spark.createDataFrame(data, "k string, v double")
     frame = pd.DataFrame(data, columns=["k", "v"])
     want = {k: np.quantile(g["v"], q) for k, g in frame.groupby("k")}
-    for limits in PLANS.values():
-        got = dict(rows(Q.exact_quantiles(df, "v", {"x": q}, ["k"], **limits)))
-        assert got == pytest.approx(want, rel=1e-9, abs=1e-9)
+    got = dict(rows(Q.exact_quantiles(df, "v", {"x": q}, ["k"])))
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-9)
 
 
-def test_group_medians_share_one_aggregate_or_not(spark):
+def test_group_medians_share_one_pass(spark):
     df = spark.createDataFrame([("a", 1.0, 9.0), ("a", 3.0, None), ("b", None, 4.0), (None, 7.0, 7.0)], "k string, x double, y double")
-    for limits in ({}, {"state_limit": 0}):
-        table = Q.group_medians(df, {"mx": "x", "my": "y"}, ["k"], {"n": F.count(F.lit(1))}, **limits)
-        assert rows(table.select("k", "mx", "my", "n"), "k") == [("a", 2.0, 9.0, 2), ("b", None, 4.0, 1)]
+    table = Q.group_medians(df, {"mx": "x", "my": "y"}, ["k"], {"n": F.count(F.lit(1))})
+    assert rows(table.select("k", "mx", "my", "n"), "k") == [("a", 2.0, 9.0, 2), ("b", None, 4.0, 1)]
 
 
 def test_mode_takes_the_lowest_on_a_tie(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, "a"), (2, None), (3, "z")], "k int, v string")
     assert rows(Q.group_mode(df, "v", ["k"]), "k") == [(1, "a"), (3, "z")]
     assert rows(Q.group_mode(df, "v")) == [("a",)]
+
+
+def test_slices_that_cut_groups(spark):
+    """Many slices: groups inside one, over two and over many of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rng = np.random.default_rng(3)
+        frame = pd.DataFrame({"k": rng.choice(["a", "b", "c", "d"], 6000, p=[0.9, 0.05, 0.04, 0.01]), "v": rng.normal(size=6000)})
+        got = {r[0]: r[1:] for r in rows(Q.exact_quantiles(spark.createDataFrame(frame).repartition(11), "v", WANTED, ["k"]))}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for key, numbers in expected(frame).items():
+        np.testing.assert_allclose(got[key], numbers, rtol=1e-12)

@@ -90,7 +90,7 @@ def test_shared_dir_and_checkpoint(spark):
 def test_shuffle_partitions():
     tb = 1024**4
     assert shuffle_partitions(0) == 200 and shuffle_partitions(tb) == 5243
-    assert shuffle_partitions(100 * tb) == 20_000
+    assert shuffle_partitions(100 * tb) == 524_288
 
 
 class _Context:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodgeframe.operators import encode as E
 from lodgeframe.operators import lookups as L
 from lodgeframe.operators import tables as O
-from lodgeframe.operators.sizing import attach_by_key, checked_broadcast
+from lodgeframe.operators.sizing import SALT, attach_by_key, spread_join
 from lodgeframe.functions.text import printed_list
 from tests.helpers import plan, rows
 
@@ -110,13 +110,13 @@ def test_event_windows_overlap(spark):
     ]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small, large = spark.range(10).toDF("k"), spark.range(1_000).toDF("k")
-    assert "broadcast" in plan(large.join(checked_broadcast(small, 10), "k")).split("== Analyzed")[0].lower()
-    assert checked_broadcast(large, 10) is large
-    joined = attach_by_key(large, large.groupBy("k").count(), ["k"], max_rows=10)
-    assert "strategy=broadcast" not in plan(joined)
-    assert joined.count() == 1_000
+def test_joins_carry_no_hint_and_hot_keys_are_dealt(spark):
+    large = spark.range(1_000).select((F.col("id") % 3).alias("k"), "id")
+    table = large.groupBy("k").agg(F.count("*").alias("n"))
+    assert "strategy=broadcast" not in plan(attach_by_key(large, table, ["k"]))
+    spread = spread_join(large, table, ["k"], ["id"], salts=8)
+    assert spread.count() == 1_000
+    assert spread.where("k = 0").select(SALT).distinct().count() == 8
 
 
 def test_one_hot(spark):
@@ -127,7 +127,7 @@ def test_one_hot(spark):
     assert rows(got.drop("tags"), "id") == [(1, True, True), (2, False, False), (3, False, False), (4, False, True)]
     assert rows(E.token_counts(df, "tags"), "token") == [("email", 1), ("phone", 2)]
     assert rows(E.group_tokens(df.withColumn("g", F.lit(1)), "g", "tags", "v", ["phone"])) == [(1, True)]
-    with pytest.raises(ValueError, match="more than 1"):
-        E.one_hot_list(df, "tags", "v", limit=1)
+    many = spark.range(450).select(F.array(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("tags"))
+    assert len(E.one_hot_list(many, "tags", "v").columns) == 451
     kinds = spark.createDataFrame([("a",), (None,)], "k string")
     assert rows(E.one_hot(kinds, "k"), "k_a") == [(None, False), ("a", True)]
