@@ -18,15 +18,18 @@ SLICE = "_slice"
 
 
 def sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The rows with the number of their slice; slices follow one another in ``order``."""
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in order])
+    """The rows with the number of their slice; slices follow one another in ``order``, nulls first."""
+    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order])
     return checkpointed(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
 def with_previous(
     df: DataFrame, entity: str, order: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """Add ``prev``: a struct of ``columns`` from the entity's previous row, null on its first."""
+    """Add ``prev``: a struct of ``columns`` from the entity's previous row, null on its first.
+
+    Nulls in ``order`` come first. Rows without an entity have no previous row.
+    """
     rows = sliced(df, [entity, *order])
     inside = Window.partitionBy(SLICE, entity).orderBy(*order)
     rows = rows.withColumn("_before", F.lag(F.struct(*columns)).over(inside))
@@ -41,9 +44,12 @@ def with_previous(
         rows.join(F.broadcast(carried), SLICE, "left")
         .withColumn(
             "prev",
-            F.coalesce(
-                "_before",
-                F.when(F.col(f"_carry.{entity}") == F.col(entity), F.col("_carry._last")),
+            F.when(
+                F.col(entity).isNotNull(),
+                F.coalesce(
+                    "_before",
+                    F.when(F.col(f"_carry.{entity}") == F.col(entity), F.col("_carry._last")),
+                ),
             ),
         )
         .drop(SLICE, "_before", "_carry")

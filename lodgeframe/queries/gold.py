@@ -12,8 +12,6 @@ from lodgeframe.queries.distributions import edges_sql
 from lodgeframe.queries.groups import draw_sql
 from lodgeframe.queries.registry import Tables, query, r6, text
 from lodgeframe.queries.texts import CLEAN_SQL, words_sql
-from lodgeframe.session import scratch_path
-from lodgeframe.sources.tables import read_stage, write_stage
 
 # ---- calendar ---------------------------------------------------------------------------------
 
@@ -418,17 +416,6 @@ REPORTS = {
 }
 
 
-_STAGED: dict[tuple[str, str, str], str] = {}
-
-
-def staged(t: Tables, report: str) -> DataFrame:
-    """The gold table written once per session and source, as reports read finished tables."""
-    key = (t.spark.sparkContext.applicationId, t.path, report)
-    if key not in _STAGED:
-        _STAGED[key] = write_stage(REPORTS[report][0](t), scratch_path(t.spark, f"{report}-gold"))
-    return read_stage(t.spark, _STAGED[key])
-
-
 def _shown(df: DataFrame) -> DataFrame:
     dates = {f.name: text(f.name) for f in df.schema.fields if f.dataType.typeName() == "date"}
     edges = {c: r6(c) for c in ("left", "right") if c in df.columns}
@@ -443,7 +430,7 @@ def _register(report: str, section: str) -> None:
 
     @query(f"report_{report}_{section}", head + body)
     def run(t: Tables) -> DataFrame:
-        return _shown(sections[section](staged(t, report)))
+        return _shown(sections[section](REPORTS[report][0](t)))
 
 
 for _report, (_, _sections, _, _) in REPORTS.items():

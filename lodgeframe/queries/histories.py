@@ -22,11 +22,16 @@ from lodgeframe.streaming.publish import publish_stream
     "change_flags",
     """SELECT event_id, coalesce(event_type <> lag(event_type) OVER w, true) AS event_type_changed,
       coalesce(k <> lag(k) OVER w, true) AS k_changed
-    FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 5 AS k FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    FROM (SELECT event_id, event_type, CASE WHEN event_id % 17 <> 0 THEN ts END AS ts,
+        -- rows without a user have no history, so each is a group of its own
+        CASE WHEN event_id % 13 <> 0 THEN CAST(user_id AS VARCHAR) ELSE 'none ' || event_id END AS user_key,
+        CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 5 AS k FROM events)
+    WINDOW w AS (PARTITION BY user_key ORDER BY ts NULLS FIRST, event_id)""",
 )
 def changes(t: Tables) -> DataFrame:
     df = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint") % 5)
-    df = df.select("event_id", "ts", "user_id", "event_type", "k")
+    ts, user = F.when(F.col("event_id") % 17 != 0, F.col("ts")), F.when(F.col("event_id") % 13 != 0, F.col("user_id"))
+    df = df.select("event_id", ts.alias("ts"), user.alias("user_id"), "event_type", "k")
     flags = change_flags(df, "user_id", ["ts", "event_id"], ["event_type", "k"])
     return flags.select("event_id", "event_type_changed", "k_changed")
 
@@ -156,12 +161,16 @@ def sink_roundtrip(t: Tables) -> DataFrame:
     return decoded.select("r.*")
 
 
-@query("sink_peek")
+@query(
+    "sink_peek",
+    "SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id, event_type, value FROM events ORDER BY event_id LIMIT 10",
+)
 def sink_peek(t: Tables) -> DataFrame:
-    """The first ten records of the file sink (which ten is up to the storage)."""
+    """The first ten records of the file sink by id."""
     path = scratch_path(t.spark, "records")
-    write_records(t.events, path, "json")
-    return peek_records(t.spark, path, payload_columns(t.events).schema, 10)
+    df = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    write_records(df, path, "json")
+    return peek_records(t.spark, path, payload_columns(df).schema, 10, order=["event_id"])
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,13 +136,18 @@ def peek_records(
     n: int = 10,
     sink: str = "json",
     servers: str | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """The first ``n`` published records, decoded."""
+    """``n`` published records, decoded: the first in ``order``, else those that the storage gives first."""
+
+    def first(df: DataFrame) -> DataFrame:
+        return (df.orderBy(*order) if order else df).limit(n)
+
     if sink == "parquet":
-        return spark.read.parquet(target).limit(n)
+        return first(spark.read.parquet(target))
     if sink == "json":
         raw = spark.read.text(target)
-        return raw.limit(n).select(F.from_json("value", schema).alias("r")).select("r.*")
+        return first(raw.select(F.from_json("value", schema).alias("r")).select("r.*"))
     options = {"kafka.bootstrap.servers": servers, "subscribe": target, "startingOffsets": "earliest"}
     raw = spark.read.format("kafka").options(**options).load().limit(n)
     if isinstance(schema, str) and schema.lstrip().startswith("{"):

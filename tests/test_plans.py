@@ -47,17 +47,17 @@ def test_counts_combine_before_the_shuffle(tables):
 
 def test_registry():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"sink_peek"}
+    assert set(QUERIES) - set(oracle_sql()) == set()
 
 
 def test_report_payloads(spark, tables):
     import json
 
     from lodgeframe.plans import reports
-    from lodgeframe.queries.gold import staged
+    from lodgeframe.queries.gold import REPORTS
 
     for name, sections in (("listings", reports.LISTINGS), ("calendar", reports.CALENDAR), ("reviews", reports.REVIEWS)):
-        parts = {r["section"]: json.loads(r["content"]) for r in reports.payload(reports.build(sections, staged(tables, name))).collect()}
+        parts = {r["section"]: json.loads(r["content"]) for r in reports.payload(reports.build(sections, REPORTS[name][0](tables))).collect()}
         assert set(parts) == set(sections) and all(parts.values())
         for column, digits in (("price_hist", 1), ("price_log_hist", 2)):
             assert all(round(b["left"], digits) == b["left"] for b in parts.get(column, []))
