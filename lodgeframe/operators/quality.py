@@ -69,10 +69,10 @@ def ranges(columns: Sequence[str], lo: float | None, hi: float | None, message:
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule_id, variable, check_kind, message, n_violations), one row per rule.
 
-    All row rules share one aggregate over one scan. Uniqueness counts rows per key first, so a
-    key that fills a third of the table is already one number per task when it is shuffled.
+    All row rules share one aggregate over one scan, all unique rules another. Uniqueness counts rows
+    per key first, so a key that fills a third of the table is already one number per task when it is shuffled.
     """
-    cells, tables = [], []
+    cells, keys, heads, tables = [], [], {}, []
     for i, rule in enumerate(rules):
         head = [
             F.lit(i).alias("rule_id"),
@@ -81,13 +81,17 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.lit(rule.message).alias("message"),
         ]
         if rule.check == "unique":
-            surplus = df.groupBy(rule.column).agg((F.count(F.lit(1)) - 1).alias("_s"))
-            broken = F.coalesce(F.sum("_s"), F.lit(0)).alias("n_violations")
-            tables.append(surplus.agg(broken).select(*head, "n_violations"))
+            keys.append(F.struct(F.lit(i).alias("_rule"), F.col(rule.column).cast("string").alias("_key")))
+            heads[i] = head
         else:
             cells.append(F.struct(*head, F.count_if(rule.violation()).alias("n_violations")))
     if cells:
         tables.insert(0, df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
+    if keys:
+        counted = df.select(F.inline(F.array(*keys))).groupBy("_rule", "_key").agg((F.count(F.lit(1)) - 1).alias("_s"))
+        sums = [F.coalesce(F.sum(F.when(F.col("_rule") == i, F.col("_s"))), F.lit(0)).alias(f"_n{i}") for i in heads]
+        rows = F.array(*[F.struct(*head, F.col(f"_n{i}").alias("n_violations")) for i, head in heads.items()])
+        tables.append(counted.agg(*sums).select(F.inline(rows)))
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table)

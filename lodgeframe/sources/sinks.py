@@ -86,12 +86,18 @@ def json_values(df: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def avro_values(df: DataFrame, record: str) -> DataFrame:
-    """One Avro binary per row."""
+def avro_values(df: DataFrame, record: str, schema_id: int | None = None) -> DataFrame:
+    """One Avro binary per row; with ``schema_id`` framed for consumers that look schemas up by number.
+
+    Fixed values: the frame is a zero byte and the number in four bytes, high byte first.
+    """
     from pyspark.sql.avro.functions import to_avro
 
     rows = payload_columns(df)
-    return rows.select(to_avro(F.struct("*"), avro_schema(df, record)).alias("value"))
+    value = to_avro(F.struct("*"), avro_schema(df, record))
+    if schema_id is not None:
+        value = F.concat(F.lit(b"\0" + schema_id.to_bytes(4, "big")), value)
+    return rows.select(value.alias("value"))
 
 
 def has_source(spark: SparkSession, name: str) -> bool:
@@ -111,6 +117,7 @@ def write_records(
     record: str = "record",
     servers: str | None = None,
     mode: str = "append",
+    schema_id: int | None = None,
 ) -> None:
     """Publish rows: ``json`` or ``parquet`` files below a path, or ``kafka`` (Avro) to a topic."""
     if sink == "json":
@@ -122,7 +129,7 @@ def write_records(
         absent = [s for s in ("kafka", "avro") if not has_source(spark, s)]
         if absent or not servers:
             raise RuntimeError(f"topic sink needs servers and the sources {absent or ''}")
-        values = avro_values(df, record)
+        values = avro_values(df, record, schema_id)
         options = {"kafka.bootstrap.servers": servers, "topic": target, **TOPIC_OPTIONS}
         values.write.format("kafka").options(**options).save()
     else:

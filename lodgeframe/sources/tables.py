@@ -10,15 +10,21 @@ from pyspark.sql import types as T
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multiline: bool = True,
+    infer: bool = False,
 ) -> DataFrame:
     """UTF-8 CSV with a header and quoted text that may span lines.
 
     Columns are found by header name, as files order them freely: the header is read as text and
     then cast to the schema. Quoted line breaks keep a file whole, so ship such data as many files;
-    pass ``multiline=False`` where texts hold none, and files are split.
+    pass ``multiline=False`` where texts hold none, and files are split. Without a schema all columns are
+    text, or with ``infer`` of the type that their values have, which takes one more pass.
     """
-    reader = spark.read.options(header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8")
+    infer = infer and schema is None
+    reader = spark.read.options(header=True, multiLine=multiline, inferSchema=infer, quote='"', escape='"', encoding="UTF-8")
     table = reader.csv(path)
     return table if schema is None else conform(table, schema)
 
