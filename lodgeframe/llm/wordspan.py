@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -25,7 +26,12 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 _PIECE = 1 << 20
-_FORTH, _BACK = _powers(int(_BASE), _PIECE + 256), _powers(_inverse(int(_BASE)), _PIECE + 256)
+
+
+@cache
+def _both_powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse for a piece; made where words are hashed only."""
+    return _powers(int(_BASE), _PIECE + 256), _powers(_inverse(int(_BASE)), _PIECE + 256)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -57,7 +63,7 @@ class Words:
             to = max(at + 1, int(np.searchsorted(self.ends, low + _PIECE, side="right")))
             starts, ends = self.starts[at:to] - low, self.ends[at:to] - low
             n = int(ends[-1]) + 1
-            forth, back = (p if len(p) >= n else _powers(int(p[1]), n) for p in (_FORTH, _BACK))
+            forth, back = (p if len(p) >= n else _powers(int(p[1]), n) for p in _both_powers())
             sums = np.zeros(n, dtype=np.uint64)
             np.cumsum((self.data[low : low + n - 1].astype(np.uint64) + np.uint64(1)) * forth[: n - 1], out=sums[1:])
             out[at:to] = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
