@@ -24,15 +24,22 @@ def subtree_hashes(page: Column) -> Column:
     return of(page)
 
 
-def recurring(subtrees: DataFrame, least_pages: int = 5, least_share: float = 0.005) -> DataFrame:
-    """(host, hash) of the subtrees on at least ``least_pages`` pages and ``least_share`` of the pages of a host.
+PAGE = 0  # stands for the page itself among its subtrees, so that one count gives pages and subtrees
 
-    Both counts are combined before the shuffle, so a host with a third of all pages is no hot task.
+
+def site_templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.005) -> DataFrame:
+    """(site, removed): the subtrees on at least ``least_pages`` pages and ``least_share`` of the pages of a site.
+
+    ``pages`` has site and hashes. Counts are combined before the shuffle, so a site with a third of all pages
+    is no hot task. Of a site at most (mean subtrees a page / ``least_share``) can recur, however many pages
+    it has; that bounds the array.
     """
-    pages = subtrees.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = subtrees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    enough = counts.where(F.col("n") >= least_pages).join(pages, "host")
-    return enough.where(F.col("n") >= F.col("pages") * least_share).select("host", "hash")
+    each = pages.select("site", F.explode(F.array_append("hashes", F.lit(PAGE).cast("bigint"))).alias("hash"))
+    counts = each.groupBy("site", "hash").agg(F.count("*").alias("n"))
+    often = checkpointed(counts.where((F.col("n") >= least_pages) | (F.col("hash") == PAGE)))
+    total = often.where(F.col("hash") == PAGE).select("site", F.col("n").alias("pages"))
+    enough = often.where(F.col("hash") != PAGE).join(total, "site").where(F.col("n") >= F.col("pages") * least_share)
+    return enough.groupBy("site").agg(F.collect_list("hash").alias("removed"))
 
 
 def extract(
@@ -49,32 +56,31 @@ def extract(
     pages, except in an article or main element, which mirrors and quotations may share. Of what is left, the
     article (else main, else the whole page) gives the text, without elements that are page parts by their
     kind, role or class. Null pages have an empty text; pages without a host have no template. Repeated rows
-    are extracted each. Other columns are not carried. Pages are parsed twice and shuffled once, by key.
+    are extracted each. Other columns are not carried. Pages are parsed twice and shuffled once, to the
+    templates of their host; adaptive execution splits a hot host there.
     """
-    rows = df.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(page), F.lit("")).alias("p"))
-    rows = rows.withColumn("r", F.xxhash64("u", "p"))
     host = url_host(F.coalesce("u", F.lit("")))
-    subtrees = checkpointed(rows.select("k", "r", host.alias("host"), subtree_hashes(F.col("p")).alias("hashes")))
-    named = subtrees.where(F.col("host") != "")
-    template = checkpointed(recurring(named, least_pages, least_share))
-    hits = (
-        named.select("k", "r", "host", F.explode("hashes").alias("hash"))
-        .join(template, ["host", "hash"])
-        .groupBy("k", "r")
-        .agg(F.collect_set("hash").alias("removed"))
-        .withColumnsRenamed({"k": "k2", "r": "r2"})
-    )
-    joined = rows.join(hits, F.col("k").eqNullSafe(F.col("k2")) & (F.col("r") == F.col("r2")), "left")
+    rows = df.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(page), F.lit("")).alias("p"))
+    rows = rows.withColumn("site", F.when(host != "", F.xxhash64(host)))
+    named = rows.where("site IS NOT NULL").select("site", subtree_hashes(F.col("p")).alias("hashes"))
+    templates = site_templates(named, least_pages, least_share).withColumnRenamed("site", "s")
+    # pages without a host are dealt by their content, where no template is looked up
+    joined = rows.join(templates, F.coalesce("site", F.xxhash64("p")) == F.col("s"), "left")
 
     @F.pandas_udf("string")
-    def text(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for pages, removed in pairs:
+    def text(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        of, gone = None, frozenset()  # pages of a site mostly follow one another
+        for pages, sites, removed in parts:
             out = []
-            for p, gone in zip(pages, removed):
+            for p, site, hashes in zip(pages, sites, removed):
                 root = parse(p)
-                if gone is not None:
-                    mark(root)
-                out.append(main_text(root, frozenset(() if gone is None else gone.tolist())))
+                if hashes is None or pd.isna(site):
+                    out.append(main_text(root))
+                    continue
+                if site != of:
+                    of, gone = site, frozenset(hashes.tolist())
+                mark(root)
+                out.append(main_text(root, gone))
             yield pd.Series(out, dtype="object")
 
-    return joined.select(F.col("k").alias(key), F.col("u").alias("url"), text("p", "removed").alias("text"))
+    return joined.select(F.col("k").alias(key), F.col("u").alias("url"), text("p", "site", "removed").alias("text"))
