@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.url_filter import bloom_blocks, bloom_hit
 from lodgeframe.session import checkpointed
 
 # The base patterns. Possessive repeats and the conditions at the start find the same matches
@@ -174,17 +173,22 @@ def occurrences(df: DataFrame, key: str, text: str, reach: int = 80) -> DataFram
     )
 
 
-def slot_counts(df: DataFrame, text: str, wanted: DataFrame, blocks: int = 1 << 14) -> DataFrame:
+def slot_counts(df: DataFrame, text: str, wanted: DataFrame, bits: int = 7 << 17) -> DataFrame:
     """(pattern, seen): how many words of the corpus stand in each wanted pattern's slot.
 
-    A Bloom filter of bounded size (``blocks`` * 36 bytes, broadcast) keeps nearly all words from the shuffle.
+    A bit table of fixed size (``bits`` / 7 bytes, in the plan) keeps nearly all other slots from the count;
+    what passes by chance goes with the join. However many patterns there are, only its bytes come to the driver.
     """
-    bloom = F.broadcast(bloom_blocks(wanted, "pattern", blocks))
+    place = F.pmod(F.col("pattern"), F.lit(bits)).cast("int")
+    byte, bit = F.floor(place / 7).cast("int"), place % 7
+    table = bytearray(bits // 7)
+    for at, value in wanted.groupBy(byte).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), bit))).collect():
+        table[at] = value
+    held = F.ascii(F.substring(F.lit(bytes(table)), byte + 1, F.lit(1)).cast("string"))
     words = df.select(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), _BLANK).alias("w"))
     slots = words.select(F.explode(_slots("w")).alias("pattern"))
-    block, hit = bloom_hit(F.col("pattern"), blocks)
-    near = slots.withColumn("_block", block).join(bloom, "_block").where(hit).groupBy("pattern").agg(F.count("*").alias("seen"))
-    return near.join(wanted, "pattern", "left_semi")
+    near = slots.where(F.call_function("shiftright", held, bit).bitwiseAND(F.lit(1)) == 1)
+    return near.groupBy("pattern").agg(F.count("*").alias("seen")).join(wanted, "pattern", "left_semi")
 
 
 def known_identifiers(
@@ -218,7 +222,10 @@ def known_identifiers(
             F.greatest(F.max("seen"), F.sum("n")).alias("slots"),
         )
         share = F.col("filled") / F.col("slots")
-        held = filled.where((F.col("different") >= support) & (share >= pattern_share)).select("pattern", share.alias("share"))
+        # written, so that the next join can split a pattern with very many slots
+        held = checkpointed(
+            filled.where((F.col("different") >= support) & (share >= pattern_share)).select("pattern", share.alias("share"))
+        )
         known = checkpointed(
             edges.where("NOT seed").join(held, "pattern").groupBy("value")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("share"), F.lit(0.99)))))).alias("score"))
