@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodgeframe.llm.held import held
 from lodgeframe.llm.pretoken import LETTER, code_point_classes
 from lodgeframe.llm.wordspan import batches
 
@@ -176,16 +177,6 @@ class Parser:
         return names, np.where(known, np.clip(score, 0, 1), 0.0)
 
 
-_PARSERS: dict[Samples, Parser] = {}  # of this worker
-
-
-def _parser(samples: Samples) -> Parser:
-    if samples not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[samples] = Parser(samples)
-    return _PARSERS[samples]
-
-
 def language(spark: SparkSession, text: Column, samples: Samples) -> Column:
     """A struct of every whole text: ``lang`` (``und`` for null and for texts without a letter) and ``score``.
 
@@ -196,7 +187,7 @@ def language(spark: SparkSession, text: Column, samples: Samples) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def of(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        parser = _parser(shared.value)
+        parser = held(shared.value, lambda: Parser(shared.value))
         for texts in series:
             names: list[str] = []
             scores: list[float] = []
@@ -206,7 +197,8 @@ def language(spark: SparkSession, text: Column, samples: Samples) -> Column:
                 scores += sure.tolist()
             yield pd.DataFrame({"lang": pd.Series(names, dtype="object"), "score": pd.Series(scores, dtype="float64")})
 
-    return of(text)
+    # else a filter on the result would run it once more
+    return of.asNondeterministic()(text)
 
 
 def held_out(key: Column) -> Column:
