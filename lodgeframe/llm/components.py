@@ -18,8 +18,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every linked node, root being the smallest node that can be reached.
 
     Links have no direction; loops and nulls are ignored, repeats are harmless. Every round is a
-    minimum per node (combined before the shuffle) and a join on it, so a hub's links can be split;
-    rounds are written to the checkpoint folder to cut the lineage. An empty table gives no rows.
+    minimum per node (combined before the shuffle) and a join on it. Minima and rounds are written to the
+    checkpoint folder: that cuts the lineage, and a join of written tables can split a hub's links.
+    An empty table gives no rows.
     """
     left, right = F.least(a, b), F.greatest(a, b)
     pairs = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
@@ -35,7 +36,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
-    smaller = edges.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
+    smaller = checkpointed(edges.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")))
     tied = edges.join(smaller, edges["a"] == smaller["u"], "left")
     return tied.select(F.coalesce("m", "a").alias("a"), "b").distinct()
 

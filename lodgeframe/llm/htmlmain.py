@@ -63,7 +63,8 @@ def extract(
     rows = df.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(page), F.lit("")).alias("p"))
     rows = rows.withColumn("site", F.when(host != "", F.xxhash64(host)))
     named = rows.where("site IS NOT NULL").select("site", subtree_hashes(F.col("p")).alias("hashes"))
-    templates = site_templates(named, least_pages, least_share).withColumnRenamed("site", "s")
+    # written, so that the join deals out both sides itself, and can split a hot host
+    templates = checkpointed(site_templates(named, least_pages, least_share)).withColumnRenamed("site", "s")
     # pages without a host are dealt by their content, where no template is looked up
     joined = rows.join(templates, F.coalesce("site", F.xxhash64("p")) == F.col("s"), "left")
 

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgeframe.session import checkpointed
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 WORDS = 4  # 64-bit words of a block
@@ -114,7 +116,8 @@ def judge_urls(
     Null and malformed URLs, an empty list: nothing is listed, so ``allow``. Repeated rows are judged each;
     other columns of ``df`` are not carried.
     """
-    wanted = listed.select(canonical(F.col(listed_url)).alias("_name")).where("_name IS NOT NULL").distinct()
+    # written, so that the exact join deals out both sides itself, and can split a hot URL
+    wanted = checkpointed(listed.select(canonical(F.col(listed_url)).alias("_name")).where("_name IS NOT NULL").distinct())
     bloom = F.broadcast(bloom_blocks(wanted, "_name", blocks))
     host, path = url_host(F.coalesce(F.col(url), F.lit(""))), url_path(F.coalesce(F.col(url), F.lit("")))
     parts = df.select(F.col(key), host.alias("host"), path.alias("path"), canonical(F.col(url)).alias("_name"))

@@ -119,7 +119,9 @@ def write_warc(
     )
     marks = checkpointed(full.select("key", F.sha1("payload").alias("d"), F.octet_length("payload").cast("long").alias("n")))
     named = marks.where(F.col("key").isNotNull() & (F.col("n") >= least_bytes))
-    firsts = named.groupBy("d").agg(F.min("key").alias("first"), F.count("*").alias("c")).where("c > 1").select("d", "first")
+    # written, so that the join deals out both sides itself, and can split a hot payload
+    counted = named.groupBy("d").agg(F.min("key").alias("first"), F.count("*").alias("c"))
+    firsts = checkpointed(counted.where("c > 1").select("d", "first"))
     markers = named.select("key", "d").join(firsts, "d").where("key > first").distinct()
     rows = full.withColumns(
         {"first_digest": F.lit(None).cast("string"), "first": F.lit(None).cast("long"), "least": F.lit(least_bytes)}
@@ -127,7 +129,7 @@ def write_warc(
         markers.select("key", F.col("d").alias("first_digest"), "first"), allowMissingColumns=True
     )
     bounds = range_bounds(marks, "key", "n", shard_bytes)
-    dealt = rows.withColumn("shard", shard_of(F.col("key"), bounds)).repartition(len(bounds) + 1, "shard")
+    dealt = rows.withColumn("shard", shard_of(F.col("key"), bounds)).repartitionById(len(bounds) + 1, F.col("shard"))
     ordered = dealt.sortWithinPartitions("shard", "key", F.col("first_digest").isNull(), "url", F.xxhash64("payload"))
     return write_shards(ordered, base, ".warc.gz", WarcFile, roll_bytes)
 
