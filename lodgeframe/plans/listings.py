@@ -23,6 +23,7 @@ from lodgeframe.operators.tables import (
     rename_columns,
     translate_values,
 )
+from lodgeframe.session import checkpointed
 
 # Source columns holding 't'/'f'.
 FLAG_COLUMNS = (
@@ -133,17 +134,18 @@ def typed(raw: DataFrame, city: City = City()) -> DataFrame:
 def clean(raw: DataFrame, city: City = City()) -> DataFrame:
     """Types and imputations.
 
-    All group statistics are read from the typed table, so no imputation repeats the joins of the
-    ones before it.
+    All group statistics are read from one typed copy of the few columns they need, so the raw table is
+    parsed once for them and once for the result.
     """
     base = typed(raw, city)
     size, status, reply = "accommodates", "host_is_superhost", "host_response_time"
     acceptance, response = "host_acceptance_rate", "host_response_rate"
     noise = Noise("id", seed=city.noise_seed)
-    df = impute_median(base, ["bedrooms", "beds"], size, source=base)
-    df = impute_median(df, acceptance, status, noise, source=base)
-    df = impute_mode(df, reply, status, source=base)
-    timed = impute_mode(base.select(status, reply, response), reply, status)
+    known = checkpointed(base.select(size, "bedrooms", "beds", status, acceptance, reply, response))
+    df = impute_median(base, ["bedrooms", "beds"], size, source=known)
+    df = impute_median(df, acceptance, status, noise, source=known)
+    df = impute_mode(df, reply, status, source=known)
+    timed = impute_mode(known.select(status, reply, response), reply, status)
     df = impute_median(df, response, [status, reply], noise, source=timed)
     rates = {c: clip(F.col(c), 0.0, 100.0) / F.lit(100.0) for c in (response, acceptance)}
     return df.withColumns({**rates, **{c: map_bool(F.col(c)) for c in present(df, FLAG_COLUMNS)}})
