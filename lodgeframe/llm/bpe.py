@@ -5,17 +5,18 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Callable, Iterator
-from itertools import pairwise
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lodgeframe.llm.held import held
 from lodgeframe.llm.pretoken import pretokens
 from lodgeframe.llm.wordspan import batches
 
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 400_000
 _SHORT = 64  # bytes up to which rescanning all pairs beats a heap
 
 
@@ -79,53 +80,56 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
-class PieceCache(dict):
-    """Place of each known pre-token in one flat array of ids; a new one is encoded by ``encode``."""
+class PieceCache:
+    """Ids of the pre-tokens seen so far, in one flat array; new ones of a batch are encoded together.
 
-    def __init__(self, encode: Callable[[str], list[int]], most: int = CACHE_ENTRIES) -> None:
-        super().__init__()
+    When more than ``most`` are held, those met once go, and then all but the half met most.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = CACHE_ENTRIES) -> None:
         self.encode, self.most = encode, most
-        self._empty()
-
-    def _empty(self) -> None:
-        self.clear()
-        self.ids, self.used = np.zeros(1 << 16, dtype=np.int32), 0
-        self.starts = np.zeros(1 << 14, dtype=np.int64)
-
-    def __missing__(self, piece: str) -> int:
-        new, place = self.encode(piece), len(self)
-        end = self.used + len(new)
-        if end > len(self.ids):
-            self.ids = np.resize(self.ids, max(2 * len(self.ids), end))
-        if place + 1 >= len(self.starts):
-            self.starts = np.resize(self.starts, 2 * len(self.starts))
-        self.ids[self.used : end] = new
-        self.starts[place + 1] = self.used = end
-        self[piece] = place
-        return place
+        self._set([], np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+
+    def _set(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray, hits: np.ndarray) -> None:
+        self.places = dict(zip(pieces, range(len(pieces))))
+        self.ids, self.sizes, self.hits = ids, sizes, hits
+
+    def _shrink(self) -> None:
+        kept = np.flatnonzero(self.hits > 1)
+        if len(kept) > self.most // 2:
+            kept = np.sort(kept[np.argsort(-self.hits[kept], kind="stable")[: self.most // 2]])
+        wanted = np.zeros(len(self.sizes), dtype=bool)
+        wanted[kept] = True
+        pieces = [piece for piece, keep in zip(self.places, wanted.tolist()) if keep]
+        self._set(pieces, self.ids[np.repeat(wanted, self.sizes)], self.sizes[kept], np.ones(len(kept), dtype=np.int64))
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of ids of each."""
-        if len(self) > self.most:
-            self._empty()
+        if len(self.places) > self.most:
+            self._shrink()
         pieces, counts = pretokens(texts)
-        place = np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        first = self.starts[place]
-        sizes = self.starts[place + 1] - first
+        place = np.fromiter(map(self.places.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        unseen = np.flatnonzero(place < 0).tolist()
+        if unseen:
+            new = list(dict.fromkeys([pieces[i] for i in unseen]))
+            lists = self.encode(new)
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            self.ids = np.concatenate((self.ids, np.array(list(chain.from_iterable(lists)), dtype=np.int32)))
+            self.sizes = np.concatenate((self.sizes, np.array(list(map(len, lists)), dtype=np.int64)))
+            self.hits = np.concatenate((self.hits, np.zeros(len(new), dtype=np.int64)))
+            place[unseen] = [self.places[pieces[i]] for i in unseen]
+        self.hits += np.bincount(place, minlength=len(self.hits))
+        sizes = self.sizes[place]
         ends = np.cumsum(sizes)
+        first = (np.cumsum(self.sizes) - self.sizes)[place]
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return ids, np.diff(bounds)
 
 
-_CACHES: dict[str, PieceCache] = {}  # of this worker; a worker serves many tasks
-
-
-def cached(name: str, encode: Callable[[], Callable[[str], list[int]]]) -> PieceCache:
-    if name not in _CACHES:
-        _CACHES[name] = PieceCache(encode())
-    return _CACHES[name]
+def cached(name: str, encode: Callable[[], Callable[[list[str]], list[list[int]]]]) -> PieceCache:
+    return held(name, lambda: PieceCache(encode()))
 
 
 def _with(df: DataFrame, added: str) -> tuple[DataFrame, T.StructType]:
@@ -234,4 +238,4 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def _merger(path: str, ranks: dict[bytes, int]) -> PieceCache:
-    return cached(f"ranks {path}", lambda: lambda piece: merge(piece.encode("utf-8", "surrogatepass"), ranks))
+    return cached(f"ranks {path}", lambda: lambda new: [merge(p.encode("utf-8", "surrogatepass"), ranks) for p in new])

@@ -131,8 +131,28 @@ def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
     before = np.concatenate((np.array([FRESH], dtype=np.uint8), states[:-1]))
     begin = begins[before, symbols]
     starts = np.flatnonzero(begin)
-    stops = np.append(starts[1:], len(points))
     real = symbols[starts] != S_END
-    starts, stops = starts[real], stops[real]
-    counts = np.diff(np.searchsorted(starts, np.concatenate(([0], ends))))
-    return [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())], counts
+    counts = np.diff(np.searchsorted(starts[real], np.concatenate(([0], ends))))
+    return _cut(joined, points, begin, symbols == S_END), counts
+
+
+def _cut(joined: str, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[str]:
+    """The slices that begin where marked, without ends of texts.
+
+    A private code point that no text has is put between them, then all are split at once.
+    """
+    kept = ~end
+    first = begin & kept
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return []
+    used = set(points[points >= 0xF0000].tolist())
+    mark = next((c for c in range(0x10FFFD, 0xF0000, -1) if c not in used), None)
+    if mark is None:
+        stops = np.append(np.flatnonzero(begin)[1:], len(points))[first[begin]]
+        return [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+    first[starts[0]] = False  # nothing stands before the first slice
+    place = np.cumsum(first[kept]) + np.arange(int(kept.sum()))
+    out = np.full(int(place[-1]) + 1, mark, dtype=np.uint32)
+    out[place] = points[kept]
+    return out.tobytes().decode("utf-32-le", "surrogatepass").split(chr(mark))

@@ -229,12 +229,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "tokens")
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = tokenfile.write_tokens(documents, base, vocabulary("byte_bpe_50k.json"))
-    return tokenfile.read_tokens(manifest, base).select(
-        F.col("key").alias("doc_id"),
-        "start",
-        F.size("ids").cast("long").alias("n_tokens"),
-        tokenfile.ids_crc32(F.col("ids")).alias("ids_crc32"),
-    )
+    found = tokenfile.read_tokens(manifest, base, with_ids=False)
+    return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 @query("op4_pii")

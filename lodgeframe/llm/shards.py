@@ -70,13 +70,14 @@ def write_shards(
     suffix: str,
     open_writer: Callable[[object, int, int], Writer],
     roll_bytes: int,
+    prepare: Callable[[pd.DataFrame], Iterator[pd.DataFrame]] | None = None,
 ) -> DataFrame:
     """Writes the rows of each ``shard`` in the order they have in their partition, and commits.
 
     Every task writes under names of its own; a row for each finished file goes into a Parquet manifest,
     whose commit decides which attempt counts. Then the listed files get their final names; renaming again
     after a lost executor does nothing. Files of attempts that did not count go with the temporary folder.
-    Returns the manifest.
+    ``prepare`` may turn a frame of rows into smaller ones with what the writer needs. Returns the manifest.
     """
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,7 +90,7 @@ def write_shards(
             temp = f"_tmp/{at[0]:06d}-{at[1]:05d}-{attempt}"
             done.append((*at, temp, f"part-{at[0]:06d}-{at[1]:05d}{suffix}", writer.records, writer.units, writer.size()))
 
-        for frame in frames:
+        for frame in frames if prepare is None else (part for frame in frames for part in prepare(frame)):
             for row in frame.itertuples(index=False):
                 if writer is not None and (row.shard != at[0] or writer.size() >= roll_bytes):
                     finish()
@@ -99,8 +100,9 @@ def write_shards(
                     stream = fs.open_output_stream(f"{root}/_tmp/{at[0]:06d}-{at[1]:05d}-{attempt}", compression=None)
                     writer = open_writer(stream, *at)
                 writer.add(row)
-            yield pd.DataFrame(done, columns=[c.split()[0] for c in MANIFEST.split(", ")])
-            done = []
+            if done:
+                yield pd.DataFrame(done, columns=[c.split()[0] for c in MANIFEST.split(", ")])
+                done = []
         if writer is not None:
             finish()
             yield pd.DataFrame(done, columns=[c.split()[0] for c in MANIFEST.split(", ")])

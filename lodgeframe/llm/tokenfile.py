@@ -5,14 +5,16 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeframe.llm.bpe import cached
 from lodgeframe.llm.shards import range_bounds, read_shards, shard_of, write_shards
+from lodgeframe.llm.wordspan import batches
 from lodgeframe.session import checkpointed
 
 MAGIC = b"PFOR0001"
@@ -42,8 +44,10 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
         packed: list[bytes] = [b""] * rows
         for width in np.unique(widths):
             of = np.flatnonzero(widths == width)
-            bits = ((deltas[of][:, :, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
-            for row, data in zip(of, np.packbits(bits.reshape(len(of), -1), axis=1, bitorder="little")):
+            kind = "<u2" if width <= 16 else "<u4"
+            wide = np.unpackbits(deltas[of].astype(kind).view(np.uint8), axis=1, bitorder="little")
+            bits = wide.reshape(len(of), n, -1)[:, :, :width].reshape(len(of), -1)
+            for row, data in zip(of, np.packbits(bits, axis=1, bitorder="little")):
                 packed[row] = data.tobytes()
         high = deltas >> widths[:, None].astype(np.uint32)
         for row in range(rows):
@@ -60,8 +64,10 @@ def unpack_block(data: memoryview, n: int) -> np.ndarray:
     high = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
     at += 6 * exceptions
     size = (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little", count=n * width)
-    out = bits.reshape(n, width).astype(np.int64) @ (1 << np.arange(width, dtype=np.int64)) if width else np.zeros(n, np.int64)
+    kind = "<u2" if width <= 16 else "<u4"
+    wide = np.zeros((n, 16 if width <= 16 else 32), dtype=np.uint8)
+    wide[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little", count=n * width).reshape(n, width)
+    out = np.packbits(wide, axis=1, bitorder="little").view(kind)[:, 0].astype(np.int64)
     out[places] += high.astype(np.int64) << width
     return out + low
 
@@ -69,8 +75,8 @@ def unpack_block(data: memoryview, n: int) -> np.ndarray:
 class TokenFile:
     """MAGIC, the blocks, then: keys and lengths of the documents, block starts, and a tail that says where they are."""
 
-    def __init__(self, stream, encode: Callable[[str], np.ndarray], percentile: int = PERCENTILE) -> None:
-        self.stream, self.encode, self.percentile = stream, encode, percentile
+    def __init__(self, stream, percentile: int = PERCENTILE) -> None:
+        self.stream, self.percentile = stream, percentile
         self.records = self.units = 0
         self._held: list[np.ndarray] = []
         self._waiting = 0
@@ -81,7 +87,7 @@ class TokenFile:
         stream.write(MAGIC)
 
     def add(self, row) -> None:
-        ids = self.encode(row.text)
+        ids = row.ids
         self._keys.append(-(1 << 63) if pd.isna(row.key) else int(row.key))
         self._lengths.append(len(ids))
         self.records += 1
@@ -137,16 +143,20 @@ def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
         yield (None if key == -(1 << 63) else key), ids[:length]
 
 
-def library_encoder(path: str) -> Callable[[str], list[int]]:
-    """Ids of one pre-token by the tokenizers library."""
-    from tokenizers import Tokenizer
+def library_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of many pre-tokens by the model of the tokenizers library."""
+    model, alphabet = _library(path)[0].model, _byte_letters()
+    mark = "\U0010fffd"  # between pre-tokens, so that all are spelled in byte letters at once
 
-    tokenizer = Tokenizer.from_file(path)
-    model, alphabet = tokenizer.model, _byte_letters()
+    def letters(text: str) -> str:
+        return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(alphabet)
 
-    def encode(piece: str) -> list[int]:
-        letters = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(alphabet)
-        return [token.id for token in model.tokenize(letters)]
+    def encode(pieces: list[str]) -> list[list[int]]:
+        spelled = letters(mark.join(pieces)).split(letters(mark))
+        if len(spelled) != len(pieces):  # the mark is in a text
+            spelled = [letters(piece) for piece in pieces]
+        tokenize = model.tokenize
+        return [[token.id for token in tokenize(word)] for word in spelled]
 
     return encode
 
@@ -158,29 +168,41 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
-def text_encoder(path: str, end_id: int) -> Callable[[str | None], np.ndarray]:
-    """Ids of a whole text as the library gives them, and ``end_id``.
+def frame_encoder(path: str, end_id: int) -> Callable[[pd.DataFrame], Iterator[pd.DataFrame]]:
+    """Frames of about a million characters of ``text`` with ``ids``: those of the library, and ``end_id``.
 
-    Pre-tokens are encoded by the library once for each worker. Texts with the string of an added token are
-    encoded by the library as they are.
+    Pre-tokens are encoded by the library and remembered. Texts with the string of an added token are encoded
+    by the library as they are.
     """
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(path)
-    added = [t.content for t in whole.get_added_tokens_decoder().values()]
-    cache = cached(f"library {path}", lambda: library_encoder(path))
 
-    def encode(text: str | None) -> np.ndarray:
-        text = text or ""
-        if any(token in text for token in added):
-            ids = np.array(whole.encode(text, add_special_tokens=False).ids, dtype=np.int32)
-        else:
-            ids, _ = cache.encode_texts([text])
-        return np.append(ids, np.int32(end_id))
+    def encode(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        whole, added = _library(path)
+        known = cached(f"library {path}", lambda: library_encoder(path))
+        at = 0
+        for group in batches(frame["text"]):
+            texts = [t or "" for t in group]
+            plain = ["" if any(token in t for token in added) else t for t in texts]
+            ids, counts = known.encode_texts(plain)
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            parts = [
+                part if p is t else np.array(whole.encode(t, add_special_tokens=False).ids, dtype=np.int32)
+                for part, p, t in zip(parts, plain, texts)
+            ]
+            ended = [np.append(part, np.int32(end_id)) for part in parts]
+            yield frame[["shard", "key"]].iloc[at : at + len(group)].assign(ids=pd.Series(ended, dtype="object", index=frame.index[at : at + len(group)]))
+            at += len(group)
 
     return encode
 
 
+@cache
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+
 def write_tokens(
     df: DataFrame,
     base: str,
@@ -201,43 +223,39 @@ def write_tokens(
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     weights = checkpointed(rows.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")))
     bounds = range_bounds(weights, "key", "n", shard_bytes)
-    dealt = rows.withColumn("shard", shard_of(F.col("key"), bounds)).repartition(len(bounds) + 1, "shard")
+    dealt = rows.withColumn("shard", shard_of(F.col("key"), bounds)).repartitionById(len(bounds) + 1, F.col("shard"))
     ordered = dealt.sortWithinPartitions("shard", "key", F.xxhash64("text"))
     return write_shards(
-        ordered, base, ".pfor", lambda stream, shard, part: TokenFile(stream, text_encoder(path, end_id), percentile), roll_bytes
+        ordered, base, ".pfor", lambda stream, shard, part: TokenFile(stream, percentile), roll_bytes, frame_encoder(path, end_id)
     )
 
 
 
 
-def read_tokens(manifest: DataFrame, base: str) -> DataFrame:
-    """(key, start, ids) of every document of the listed files; ``start``: ids of all documents before it.
+def read_tokens(manifest: DataFrame, base: str, with_ids: bool = True) -> DataFrame:
+    """(key, start, n_tokens, ids_crc32, ids) of every document of the listed files, the ids if they are wanted.
+
+    ``start``: ids of all documents before it. The checksum is that of the ids as little-endian unsigned 32-bit integers.
 
     Only the manifest, a row for each file, is summed up in order.
     """
     before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base_ids", F.coalesce(F.sum("units").over(before), F.lit(0)))
 
+    schema = "key long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    names = [column.split()[0] for column in schema.split(", ")]
+
     def load(stream, row) -> Iterator[pd.DataFrame]:
         rows, held, at = [], 0, int(row.base_ids)
         for key, ids in read_documents(stream):
-            rows.append((key, at, ids.astype(np.int32)))
+            found = (key, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+            rows.append((*found, ids.astype(np.int32)) if with_ids else found)
             at += len(ids)
             held += len(ids)
             if held > 1 << 20:
-                yield pd.DataFrame(rows, columns=["key", "start", "ids"]).astype({"key": "Int64"})
+                yield pd.DataFrame(rows, columns=names).astype({"key": "Int64"})
                 rows, held = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=["key", "start", "ids"]).astype({"key": "Int64"})
-
-    return read_shards(placed, base, load, "key long, start long, ids array<int>", ["base_ids"])
-
-
-def ids_crc32(ids: Column) -> Column:
-    """The CRC-32 of ids as little-endian unsigned 32-bit integers."""
-
-    @F.pandas_udf("long")
-    def of(batch: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(i).astype("<u4").tobytes()) for i in batch], dtype="int64")
+            yield pd.DataFrame(rows, columns=names).astype({"key": "Int64"})
 
-    return of(ids)
+    return read_shards(placed, base, load, schema, ["base_ids"])
