@@ -48,12 +48,12 @@ SCOPES = frozenset("article main body html td th div section table blockquote as
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "items", "hash", "has_text")
+    __slots__ = ("tag", "names", "role", "hidden", "items", "hash", "has_text", "has_main")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag, self.names, self.role, self.hidden = tag, "", "", False
         self.items: list[Node | str] = []
-        self.hash, self.has_text = 0, False
+        self.hash, self.has_text, self.has_main = 0, False, False
         if attributes.strip():
             for name, *values in _ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), html.unescape("".join(values)).lower()
@@ -147,33 +147,31 @@ def mark(root: Node) -> list[int]:
     """Sets the hash of every element with text outside the main content, and returns the different ones.
 
     The hash covers kind, class, id and everything inside; it ignores other attributes and the width of blanks.
+    What holds main content at any depth has no hash, so a wrapper of the article never counts as template.
     """
     found: dict[int, None] = {}
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:
         node, ready = todo.pop()
         if node.is_main and not dropped(node, False):
-            node.hash = 0
+            node.hash, node.has_main = 0, True
             continue
         if not ready:
             todo.append((node, True))
             todo += [(child, False) for child in node.items if isinstance(child, Node)]
             continue
         state = xxhash.xxh64(f"{node.tag}\0{node.names}\0{node.role}".encode("utf-8", "surrogatepass"))
-        whole = True
         for item in node.items:
             if isinstance(item, Node):
-                whole &= item.hash != 0 or not item.is_main
+                node.has_main |= item.has_main
                 state.update(b"\1" + item.hash.to_bytes(8, "little", signed=True))
                 node.has_text |= item.has_text
             elif words := _SPACES.sub(" ", item).strip():
                 node.has_text = True
                 state.update(b"\2" + words.encode("utf-8", "surrogatepass"))
-        node.hash = int.from_bytes(state.digest(), "big", signed=True) if whole else 0
+        node.hash = 0 if node.has_main else int.from_bytes(state.digest(), "big", signed=True)
         if node is not root and node.hash and node.has_text and node.tag not in RAW:
             found[node.hash] = None
-        if not whole:
-            node.hash = 0
     return list(found)
 
 

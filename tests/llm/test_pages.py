@@ -64,6 +64,17 @@ def test_templates_of_a_host_go(spark):
     assert htmlmain.extract(pages_of(spark).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("main", ["article", "main"])
+def test_wrappers_of_the_article_are_no_template(spark, main):
+    head, foot = "<div class=top><p>Our site</p></div>", "<div><p>Imprint and contact</p></div>"
+    page = "<div id=page>{}<div id=content><div><{m}><p>Body {}</p></{m}></div></div>{}</div>"
+    rows = [(i, f"http://wrapped.example/{i}", page.format(head, i, foot, m=main)) for i in range(12)]
+    got = htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"Body {i}" for i in range(12)}
+    tree = parse(rows[0][2])
+    assert len(mark(tree)) == 4  # both constant boxes and their paragraphs, none of the wrappers
+
+
 def archive_rows(spark):
     rows = [(i, f"http://x/{i}\r\nForged: 1", f"page {i % 7} é" * (i % 5)) for i in range(60)]
     rows += [(3, "again", "page 3 é" * 3), (70, None, None), (71, "u", ""), (None, "u", "page 1 é"), (72, "u", "z" * 300_000)]
