@@ -24,22 +24,24 @@ def subtree_hashes(page: Column) -> Column:
     return of(page)
 
 
-PAGE = 0  # stands for the page itself among its subtrees, so that one count gives pages and subtrees
+def site_templates(pages: DataFrame, least_pages: int = 5) -> DataFrame:
+    """(site, hash): the subtrees on at least ``least_pages`` different pages of a site, however many it has.
+
+    ``pages`` has site, page (a digest of its content) and hashes; copies of a page count once, so a page that is
+    mirrored is no template of itself. Counts are combined before the shuffle: no site and no subtree is a hot task.
+    """
+    each = pages.dropDuplicates(["site", "page"]).select("site", F.explode("hashes").alias("hash"))
+    return each.groupBy("site", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages).select("site", "hash")
 
 
-def site_templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.005) -> DataFrame:
-    """(site, removed): the subtrees on at least ``least_pages`` pages and ``least_share`` of the pages of a site.
+def removed_subtrees(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """(site, page, removed): of every different page that has any, its own subtrees among the templates of its site.
 
-    ``pages`` has site and hashes. Counts are combined before the shuffle, so a site with a third of all pages
-    is no hot task. Of a site at most (mean subtrees a page / ``least_share``) can recur, however many pages
-    it has; that bounds the array.
+    An array holds hashes of one page, so it does not grow with the site. Template rows are dealt out with the
+    hash, and a hash that very many pages have is split by the join.
     """
-    each = pages.select("site", F.explode(F.array_append("hashes", F.lit(PAGE).cast("bigint"))).alias("hash"))
-    counts = each.groupBy("site", "hash").agg(F.count("*").alias("n"))
-    often = checkpointed(counts.where((F.col("n") >= least_pages) | (F.col("hash") == PAGE)))
-    total = often.where(F.col("hash") == PAGE).select("site", F.col("n").alias("pages"))
-    enough = often.where(F.col("hash") != PAGE).join(total, "site").where(F.col("n") >= F.col("pages") * least_share)
-    return enough.groupBy("site").agg(F.collect_list("hash").alias("removed"))
+    each = pages.dropDuplicates(["site", "page"]).select("site", "page", F.explode("hashes").alias("hash"))
+    return each.join(templates, ["site", "hash"]).groupBy("site", "page").agg(F.collect_set("hash").alias("removed"))
 
 
 def extract(
@@ -48,40 +50,36 @@ def extract(
     url: str = "url",
     page: str = "html",
     least_pages: int = 5,
-    least_share: float = 0.005,
 ) -> DataFrame:
     """(key, url, text), one row for each row of ``df``.
 
-    Per host, element subtrees are hashed and counted; those that recur are deleted wherever they stand on its
-    pages, except in an article or main element, which mirrors and quotations may share. Of what is left, the
-    article (else main, else the whole page) gives the text, without elements that are page parts by their
-    kind, role or class. Null pages have an empty text; pages without a host have no template. Repeated rows
-    are extracted each. Other columns are not carried. Pages are parsed twice and shuffled once, to the
-    templates of their host; adaptive execution splits a hot host there.
+    Per host, element subtrees are hashed and counted; those on ``least_pages`` different pages are deleted wherever
+    they stand on its pages, except in an article or main element, which mirrors and quotations may share. The
+    count is the same for hosts of any size. Of what is left, the article (else main, else the whole page) gives
+    the text, without elements that are page parts by their kind, role or class. Null pages have an empty text;
+    pages without a host have no template. Repeated rows are extracted each. Other columns are not carried.
+    Pages are shuffled once, to the removed subtrees of their content; adaptive execution splits many copies there.
     """
     host = url_host(F.coalesce("u", F.lit("")))
     rows = df.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(page), F.lit("")).alias("p"))
-    rows = rows.withColumn("site", F.when(host != "", F.xxhash64(host)))
-    named = rows.where("site IS NOT NULL").select("site", subtree_hashes(F.col("p")).alias("hashes"))
-    # written, so that the join deals out both sides itself, and can split a hot host
-    templates = checkpointed(site_templates(named, least_pages, least_share)).withColumnRenamed("site", "s")
-    # pages without a host are dealt by their content, where no template is looked up
-    joined = rows.join(templates, F.coalesce("site", F.xxhash64("p")) == F.col("s"), "left")
+    rows = rows.withColumns({"site": F.when(host != "", F.xxhash64(host)), "page": F.xxhash64("p")})
+    named = rows.where("site IS NOT NULL").select("site", "page", subtree_hashes(F.col("p")).alias("hashes"))
+    # written, so that the joins deal out both sides themselves, and can split a hot subtree or page
+    templates = checkpointed(site_templates(named, least_pages))
+    removed = checkpointed(removed_subtrees(named, templates)).withColumnsRenamed({"site": "s", "page": "d"})
+    joined = rows.join(removed, (F.col("site") == F.col("s")) & (F.col("page") == F.col("d")), "left")
 
     @F.pandas_udf("string")
-    def text(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        of, gone = None, frozenset()  # pages of a site mostly follow one another
-        for pages, sites, removed in parts:
+    def text(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for pages, removed in parts:
             out = []
-            for p, site, hashes in zip(pages, sites, removed):
+            for p, hashes in zip(pages, removed):
                 root = parse(p)
-                if hashes is None or pd.isna(site):
+                if hashes is None:
                     out.append(main_text(root))
                     continue
-                if site != of:
-                    of, gone = site, frozenset(hashes.tolist())
                 mark(root)
-                out.append(main_text(root, gone))
+                out.append(main_text(root, frozenset(hashes.tolist())))
             yield pd.Series(out, dtype="object")
 
-    return joined.select(F.col("k").alias(key), F.col("u").alias("url"), text("p", "site", "removed").alias("text"))
+    return joined.select(F.col("k").alias(key), F.col("u").alias("url"), text("p", "removed").alias("text"))

@@ -75,6 +75,16 @@ def test_wrappers_of_the_article_are_no_template(spark, main):
     assert len(mark(tree)) == 4  # both constant boxes and their paragraphs, none of the wrappers
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    notice = "<div class=x><p>Section closed for repairs</p></div>"
+    rows = [(i, "http://hot.example/", f"<body>{notice if i < 5 else ''}<div><p>Body {i}</p></div>") for i in range(2000)]
+    rows += [(2000 + i, f"http://hot.example/copy{i}", "<body><p>One page, many times</p>") for i in range(40)]
+    got = htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    text = {r.page_id: r.text for r in got}
+    assert all(text[i] == f"Body {i}" for i in range(2000))
+    assert all(text[2000 + i] == "One page, many times" for i in range(40)) and len(got) == 2040
+
+
 def archive_rows(spark):
     rows = [(i, f"http://x/{i}\r\nForged: 1", f"page {i % 7} é" * (i % 5)) for i in range(60)]
     rows += [(3, "again", "page 3 é" * 3), (70, None, None), (71, "u", ""), (None, "u", "page 1 é"), (72, "u", "z" * 300_000)]
