@@ -44,6 +44,8 @@ CLOSED_BY = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
+# Elements that may be a page part inside an article: no headings, list items, cells, quotations or parts of a sentence.
+BOXES = frozenset("address center details div dl fieldset figure hr ol p section table ul".split())
 SCOPES = frozenset("article main body html td th div section table blockquote aside header footer nav form li dd".split())
 
 
@@ -144,23 +146,22 @@ def dropped(node: Node, in_main: bool) -> bool:
 
 
 def mark(root: Node) -> list[int]:
-    """Sets the hash of every element with text outside the main content, and returns the different ones.
+    """Sets the hash of every element with text, and returns the different ones outside the main content.
 
     The hash covers kind, class, id and everything inside; it ignores other attributes and the width of blanks.
-    What holds main content at any depth has no hash, so a wrapper of the article never counts as template.
+    What holds main content at any depth has no hash, so a wrapper of the article never counts as template. Inside
+    the main content the same markup has another hash than outside.
     """
     found: dict[int, None] = {}
-    todo: list[tuple[Node, bool]] = [(root, False)]
+    todo: list[tuple[Node, bool, bool]] = [(root, False, False)]
     while todo:
-        node, ready = todo.pop()
-        if node.is_main and not dropped(node, False):
-            node.hash, node.has_main = 0, True
-            continue
+        node, ready, inside = todo.pop()
         if not ready:
-            todo.append((node, True))
-            todo += [(child, False) for child in node.items if isinstance(child, Node)]
+            node.has_main = node.is_main and not dropped(node, False)
+            todo.append((node, True, inside))
+            todo += [(child, False, inside or node.has_main) for child in node.items if isinstance(child, Node)]
             continue
-        state = xxhash.xxh64(f"{node.tag}\0{node.names}\0{node.role}".encode("utf-8", "surrogatepass"))
+        state = xxhash.xxh64(f"{node.tag}\0{node.names}\0{node.role}".encode("utf-8", "surrogatepass"), seed=int(inside))
         for item in node.items:
             if isinstance(item, Node):
                 node.has_main |= item.has_main
@@ -170,11 +171,52 @@ def mark(root: Node) -> list[int]:
                 node.has_text = True
                 state.update(b"\2" + words.encode("utf-8", "surrogatepass"))
         node.hash = 0 if node.has_main else int.from_bytes(state.digest(), "big", signed=True)
-        if node is not root and node.hash and node.has_text and node.tag not in RAW:
+        if node is not root and not inside and node.hash and node.has_text and node.tag not in RAW:
             found[node.hash] = None
     return list(found)
 
 
+def article_boxes(root: Node, least_words: int = 6) -> tuple[int, int, list[int], list[int]]:
+    """(article, sketch, boxes, brief) of the main elements of a marked tree.
+
+    ``article`` is a hash of their text. ``sketch`` is the smallest hash over their runs of three words: articles
+    that share most of their words mostly have the same, articles that share only a box do not. ``boxes`` are the
+    different hashes of elements that may be a page part by their kind, ``brief`` those of under ``least_words`` words.
+    """
+    boxes: dict[int, None] = {}
+    brief: dict[int, None] = {}
+    mains = [main for main in _mains(root, frozenset()) if main.is_main]
+    if not mains:
+        return 0, 0, [], []
+    todo = list(mains)
+    while todo:
+        node = todo.pop()
+        for child in node.items:
+            if isinstance(child, Node) and not dropped(child, True):
+                todo.append(child)
+                if child.tag in BOXES and child.hash and child.has_text:
+                    few = sum(len(t.split()) for t in _strings(child, least_words)) < least_words
+                    (brief if few else boxes)[child.hash] = None
+    text = main_text(root).encode("utf-8", "surrogatepass")
+    words = text.split()
+    runs = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [text]
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    return signed(xxhash.xxh64_intdigest(text)), signed(min(map(xxhash.xxh64_intdigest, runs))), list(boxes), list(brief)
+
+
+def _strings(node: Node, most: int) -> Iterator[str]:
+    """The first strings of an element with text, ``most`` at the most."""
+    todo: list[Node | str] = [node]
+    while todo and most:
+        item = todo.pop()
+        if isinstance(item, str):
+            if item.strip():
+                most -= 1
+                yield item
+        elif item.tag not in RAW:
+            todo += reversed(item.items)
+
+
 def _mains(root: Node, removed: frozenset[int]) -> list[Node]:
     """The outermost main elements that are not part of something dropped; else the whole page."""
     found, todo = [], [root]

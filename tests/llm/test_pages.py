@@ -85,6 +85,24 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
     assert all(text[2000 + i] == "One page, many times" for i in range(40)) and len(got) == 2040
 
 
+def test_boxes_in_many_different_articles_go(spark):
+    box = "<div class=x><p>Read all of our stories every single day</p></div>"
+    own = lambda i: " ".join(f"w{i * 31 + k * k}" for k in range(40))
+    page = "<body><article><h2>Background</h2><p>{}</p><p>Yes he said</p>{}<p>And <b>so on</b></p></article></body>"
+    rows = [(i, "http://boxes.example/", page.format(own(i), box)) for i in range(30)]
+    # near copies of one article share nearly everything, and quotations stand in few articles
+    rows += [(100 + i, "http://copies.example/", page.format(own(1) + f" copy{i}", box)) for i in range(60)]
+    rows += [(200 + i, "http://quotes.example/", page.format(own(i), box if i < 6 else "")) for i in range(30)]
+    # a short line of prose stands in fewer than half of the articles
+    rows += [(300 + i, "http://prose.example/", f"<article><p>{own(i)}</p>{'<p>Yes he said</p>' if i < 25 else ''}</article>") for i in range(80)]
+    got = htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    text, said = {r.page_id: r.text for r in got}, "Read all of our stories every single day"
+    assert all(text[i] == f"Background\n{own(i)}" for i in range(30))
+    assert all(text[100 + i] == f"Background\n{own(1)} copy{i}\nYes he said\n{said}\nAnd so on" for i in range(60))
+    assert all((said in text[200 + i]) == (i < 6) for i in range(30))
+    assert all(("Yes he said" in text[300 + i]) == (i < 25) for i in range(80))
+
+
 def archive_rows(spark):
     rows = [(i, f"http://x/{i}\r\nForged: 1", f"page {i % 7} é" * (i % 5)) for i in range(60)]
     rows += [(3, "again", "page 3 é" * 3), (70, None, None), (71, "u", ""), (None, "u", "page 1 é"), (72, "u", "z" * 300_000)]
