@@ -77,8 +77,10 @@ def measure(
 ) -> tuple:
     """One row of ``MEASURES``.
 
-    The text fails if its own ratio leaves the band of its length, or if more than ``bad_share`` of its
-    full chunks leave theirs. A null text is an empty one.
+    The text fails if its own ratio leaves the band of its length, or if more than ``bad_share`` of its bytes
+    are in chunks that leave theirs. The last chunk ends with the text: it is of full size and overlaps the one
+    before, but stands for the bytes after that one only. Texts below ``chunk_bytes`` have no chunk, as the band
+    of their length covers all of them. A null text is an empty one.
     """
     text = text or ""
     n_words, word_chars, n_symbols, n_dup, n_repeat = base_counts(text)
@@ -86,15 +88,17 @@ def measure(
     data = text.encode("utf-8", "surrogatepass")
     size = len(data)
     ratio = len(compressor.compress(data)) / size if size else None
-    chunks = size // chunk_bytes
-    low = high = 0
+    chunks = -(-size // chunk_bytes) if size >= chunk_bytes else 0
+    low = high = bad_bytes = 0
     for i in range(chunks):
-        share = len(compressor.compress(data[i * chunk_bytes : (i + 1) * chunk_bytes])) / chunk_bytes
+        end = min((i + 1) * chunk_bytes, size)
+        share = len(compressor.compress(data[end - chunk_bytes : end])) / chunk_bytes
         low += share < chunk.low
         high += share > chunk.high
+        bad_bytes += (end - i * chunk_bytes) * (not chunk.low <= share <= chunk.high)
     band = band_of(size, whole)
     fits = band is None or band.low <= ratio <= band.high
-    kept = not failed and fits and low + high <= bad_share * chunks
+    kept = not failed and fits and bad_bytes <= bad_share * size
     return n_words, word_chars, n_symbols, n_dup, n_repeat, failed, size, ratio, chunks, low, high, kept
 
 

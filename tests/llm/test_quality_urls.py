@@ -46,6 +46,21 @@ def test_bands_reject_repetition_and_noise():
     assert C.band_of(100, C.WHOLE) is None and C.band_of(900, C.WHOLE).from_bytes == 800
 
 
+def test_the_tail_is_measured_like_the_head():
+    import random
+
+    z, rng = zstandard.ZstdCompressor(level=3), random.Random(2)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(2000)]
+    prose = " ".join(rng.choice(vocabulary) for _ in range(1500))[:4096]
+    lines = ("one line " + "-" * 89 + "\n") * 35
+    assert len(prose) == 4096 and len(lines) > 3400
+    for text in (prose + lines, lines + prose):
+        m = dict(zip([p.split()[0] for p in C.MEASURES.split(", ")], C.measure(text, z, whole=())))
+        assert (m["base_failed"], m["n_chunks"], m["low_chunks"], m["kept"]) == (False, 2, 1, False)
+    whole = C.measure(prose, z)
+    assert whole[8:] == (1, 0, 0, True) and C.measure(prose + prose[:50], z)[-1]
+
+
 def test_every_row_is_measured(spark):
     got = C.compression_bands(documents(spark)).select("doc_id", "text", "quality.*").collect()
     assert len(got) == len(DOCS)
