@@ -27,6 +27,7 @@ FOUND = "id"
 
 # What an identifier of unknown form may look like: 6 to 64 characters with a digit.
 _PART = r"[A-Za-z0-9_@.+/-]"
+_GLUE = r"[^A-Za-z0-9_@.+/\x20\x09-\x0D-]"  # what may stand between a candidate and the rest of its word
 CANDIDATE = rf"(?<!{_PART})(?={_PART}*[0-9]){_PART}{{6,64}}+(?!{_PART})"
 
 _BLOCK = 128  # matches whose places are added up together
@@ -130,8 +131,43 @@ def _patterns(left: Column, right: Column) -> Column:
     return F.array(F.xxhash64(F.lit("left"), two, one), F.xxhash64(F.lit("both"), one, next_))
 
 
-def _slots(words: str) -> Column:
-    """The same ids for every word of a text."""
+def _glued(word: Column, before: Column, next_: Column, reach: int) -> Column:
+    """The same ids for every part of a word that could be a candidate next to other characters, as in ``id="x1"``.
+
+    Only ``reach`` characters around a part make its context, so a long word costs in proportion to its length.
+    """
+    alone = F.array().cast("array<bigint>")
+    joined = lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
+
+    def cut(word: Column) -> Column:
+        pieces, parts = word["pieces"], word["parts"]
+
+        def of(part: Column, i: Column) -> Column:
+            # pairs of a piece and a part have a character at least, so ``reach`` of them are enough
+            first = F.greatest(i - reach, F.lit(0))
+            ahead = F.zip_with(F.slice(pieces, first + 1, i - first), F.slice(parts, first + 1, i - first), joined)
+            after = F.zip_with(F.slice(parts, i + 2, F.lit(reach)), F.slice(pieces, i + 3, F.lit(reach)), joined)
+            left = F.right(F.concat(F.array_join(ahead, ""), F.get(pieces, i)), F.lit(reach))
+            right = F.left(F.concat(F.get(pieces, i + 1), F.array_join(after, "")), F.lit(reach))
+            right = F.when(right != "", right)
+            room = reach - 1 - F.length(left)
+            two = F.when(room > 0, F.right(before, room)).otherwise(F.lit(""))
+            inner = F.array(F.xxhash64(F.lit("left"), two, left), F.xxhash64(F.lit("both"), left, F.coalesce(right, next_)))
+            # the first part of a word shares its left slot with the word
+            outer = F.array(F.xxhash64(F.lit("both"), before, right))
+            return F.when(left != "", inner).when(right.isNotNull(), outer).otherwise(alone)
+
+        return F.flatten(F.transform(parts, of))
+
+    # in an array of one, so that a word is cut once and not for each of its parts
+    split = F.struct(
+        F.split(word, f"{_PART}+", -1).alias("pieces"), F.regexp_extract_all(word, F.lit(f"{_PART}+"), F.lit(0)).alias("parts")
+    )
+    return F.flatten(F.transform(F.array(split), cut))
+
+
+def _slots(words: str, reach: int = 80) -> Column:
+    """The same ids for every word of a text, and for the parts of words that hold other characters."""
     at = lambda i: F.coalesce(F.get(F.col(words), i), F.lit(""))
     each = F.transform(
         F.col(words),
@@ -139,7 +175,11 @@ def _slots(words: str) -> Column:
             F.xxhash64(F.lit("left"), at(i - 2), at(i - 1)), F.xxhash64(F.lit("both"), at(i - 1), at(i + 1))
         ),
     )
-    return F.flatten(each)
+    glued = F.transform(
+        F.col(words),
+        lambda w, i: F.when(w.rlike(_GLUE), _glued(w, at(i - 1), at(i + 1), reach)).otherwise(F.array().cast("array<bigint>")),
+    )
+    return F.concat(F.flatten(each), F.flatten(glued))
 
 
 def occurrences(df: DataFrame, key: str, text: str, reach: int = 80) -> DataFrame:
@@ -207,7 +247,7 @@ def known_identifiers(
     edges = checkpointed(
         uses.select(F.explode("patterns").alias("pattern"), "value", "seed")
         .groupBy("pattern", "value", "seed").agg(F.count("*").alias("n"))
-        .join(seen, "pattern")
+        .join(seen, "pattern", "left")  # without a counted slot a pattern has its own uses
     )
     known = None
     for _ in range(rounds):

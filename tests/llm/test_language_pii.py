@@ -135,6 +135,25 @@ def test_contexts_find_unseen_identifiers_only(mail):
     assert sum(len(r.email) + len(r.phone) for r in table) == 90
 
 
+def test_contexts_glued_to_an_identifier_count(spark):
+    rng = random.Random(7)
+    prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6))
+    forms = {"quoted": 'user key="{}" then', "bracketed": "owner (ID:{}), of", "pair": "login tel:{} at", "comma": "name said {}, so"}
+    rows, want = [], {}
+    for f, form in enumerate(forms.values()):
+        for i in range(30):
+            rows.append((1000 * f + i, f"{prose()} {form.format(f'bob{f}x{i}@mail.example.com')} {prose()}"))
+        for i in range(30, 36):
+            want[1000 * f + i] = [f"HANDLE-{f}{i}77"]
+            rows.append((1000 * f + i, f"{prose()} {form.format(want[1000 * f + i][0])} {prose()}"))
+    # slots that mostly hold other words do not make an identifier, glued or not
+    rows += [(9000 + i, f"{prose()} see <{'amy' + str(i) + '@mail.example.com' if i < 20 else prose()[:5]}> more") for i in range(200)]
+    rows += [(9900 + i, f"{prose()} see <chapter-{i}12> more") for i in range(5)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    texts = dict(rows)
+    assert {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.id] for r in found if r.id} == want
+
+
 def test_masking(mail):
     rows, df = mail
     got = pii.mask(df)
