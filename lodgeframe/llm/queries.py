@@ -11,6 +11,7 @@ from lodgeframe.llm import (
     bpe,
     compression,
     decontaminate,
+    exactdedup,
     htmlmain,
     language,
     pii,
@@ -248,3 +249,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = htmlmain.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op13_exact_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
