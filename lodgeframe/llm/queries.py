@@ -14,6 +14,7 @@ from lodgeframe.llm import (
     exactdedup,
     htmlmain,
     language,
+    negatives,
     pii,
     simhash,
     tokenfile,
@@ -261,3 +262,37 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 @query("op13_exact_dedup", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
+OP12_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS id,
+           CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER near AS INTEGER) AS rank, id AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW near AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER near <= 5
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select("vec_id", "embedding", changed.alias("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, vector="embedding")
