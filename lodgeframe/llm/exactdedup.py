@@ -11,11 +11,14 @@ from lodgeframe.session import checkpointed, scratch_path
 
 #: Bits of the table of repeated digests, in bitmaps of 32 768: 1 MB however many digests there are.
 MARK_BITS, BITMAP_BITS = 1 << 23, 1 << 15
+PARTITIONS = "spark.sql.shuffle.partitions"
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # files take the space they need, not some megabytes each in advance
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -52,7 +55,7 @@ def update_state(
     if not files:
         return None
     session = spark.newSession()
-    for name, value in STATE.items():
+    for name, value in {**STATE, PARTITIONS: spark.conf.get(PARTITIONS)}.items():
         session.conf.set(name, value)
     reader = session.readStream.schema(table.schema).option("maxFilesPerTrigger", -(-files // batches))
     # as a pattern, so that a table of one file can be streamed as well
