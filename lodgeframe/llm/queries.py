@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.llm import (
     bpe,
+    collocations,
     compression,
     decontaminate,
     exactdedup,
@@ -296,3 +297,42 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = vectors.select("vec_id", "embedding", changed.alias("label"))
     return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, vector="embedding")
+
+
+OP11_SQL = r"""
+WITH docs AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+    FROM documents
+),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM docs)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+    SELECT lang, m, w[i:i + m - 1] AS p
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) t(m) WHERE len(w) >= m)
+),
+f AS (SELECT lang, m, p, count(*) AS f FROM grams GROUP BY lang, m, p HAVING count(*) >= 100),
+cuts AS (SELECT lang, m, p, f AS a, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (
+    SELECT c.lang, c.m, c.p, c.a, c.k, x.f AS l, y.f AS r, n.n,
+           CAST((1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+    JOIN n ON n.lang = c.lang
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, p[i:i + q - 1] AS p, max(f) AS f
+    FROM (SELECT lang, p, f, q, unnest(range(1, m - q + 2)) AS i FROM f, range(2, 5) t(q) WHERE q < m) GROUP BY ALL
+),
+free AS (
+    SELECT w.*, array_to_string(w.p, ' ') AS phrase
+    FROM weakest w LEFT JOIN inside i ON i.lang = w.lang AND i.p = w.p WHERE i.f IS NULL OR 100 * i.f < 100 * w.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM free QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
