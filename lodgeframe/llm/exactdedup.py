@@ -136,9 +136,10 @@ def _texts_apart(rows: DataFrame, groups: DataFrame) -> DataFrame | None:
     repeated = groups.where("n > 1").select("digest", F.col("keep.at").alias("holder"))
     hits = checkpointed(_marked(rows, repeated).join(repeated, "digest"))
     held = hits.where(F.col("at") == F.col("holder")).select("digest", F.col("t").alias("bytes"))
-    differing = checkpointed(hits.join(held, "digest").where(F.col("t") != F.col("bytes")).select("digest").distinct())
+    # nothing is grouped by the digest on top of the join, or it could not split a hot one
+    differing = checkpointed(hits.join(held, "digest").where(F.col("t") != F.col("bytes")).select("digest"))
     if differing.isEmpty():
         return None
-    rest = checkpointed(hits.join(differing, "digest").select("k", "t", "at"))
+    rest = checkpointed(hits.join(differing.distinct(), "digest").select("k", "t", "at"))
     texts = rest.groupBy("t").agg(F.count("*").alias("n"), F.max(F.struct("k", "at")).alias("keep"))
     return rest.join(texts, "t").select("at", "n", "keep")
