@@ -16,6 +16,7 @@ from lodgeframe.session import checkpointed
 
 UNDETERMINED = "und"
 FILTER_BITS = 1 << 25  # 4 MB, whatever the corpus
+LEVELS = 3  # words of the phrases that are counted for the filter
 WIDE = "decimal(38,0)"
 SALTS = 64  # tasks among which a language's candidates are ranked first
 _GROUP, _HELD = 4 << 20, 4 << 20  # bytes of text at a time, windows held before they are counted
@@ -48,28 +49,31 @@ class Vocabulary(dict):
         return list(self)[1:]
 
 
-def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), dtype=np.uint64, count=len(words))
-
-
-def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return mix(left * _STEP + right)
+class Filter:
+    """Hashes of phrases that occur often enough; a bit table, so others may pass, but none of them is missed.
 
+    ``levels`` says up to which length phrases have been counted.
+    """
 
-class Filter:
-    """Hashes that are counted often enough; a bit table, so others may pass, but none of them is missed."""
+    def __init__(self, bits: int) -> None:
+        self.mask, self.levels = np.uint64(bits - 1), 0
+        self.table = np.zeros(max(1, bits // 64), dtype=np.uint64)
 
-    def __init__(self, bits: int, places: np.ndarray, words: np.ndarray) -> None:
-        self.mask = np.uint64(bits - 1)
-        self.table = np.zeros(bits // 64, dtype=np.uint64)
-        self.table[places] = words
+    def add(self, places: np.ndarray, words: np.ndarray) -> None:
+        """Bits of the next level."""
+        self.table[places] |= words
+        self.levels += 1
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes & self.mask
         return (self.table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def _next(flags: np.ndarray, k: int = 1) -> np.ndarray:
+    """What stands k places further on; nothing behind the end."""
+    return np.pad(flags[k:], (0, min(k, len(flags))))
+
+
 def _texts_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     """Runs of texts of one language, of about ``_GROUP`` bytes together; a longer text is a run of its own."""
     texts = batch.column("text").cast(pa.large_binary())
@@ -87,7 +91,7 @@ def _texts_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
 
 
 class Tally:
-    """Word numbers of texts of one language, until they are counted."""
+    """Word numbers of texts of one language, held until they are counted."""
 
     def __init__(self, lang: str) -> None:
         self.lang, self.vocabulary = lang, Vocabulary()
@@ -102,25 +106,50 @@ class Tally:
         raise NotImplementedError
 
 
-class Pairs(Tally):
-    """Counts of the hashes of words and of word pairs; a filter wants no more."""
+class Places:
+    """The words of a tally, with the phrases at each place that a filter lets through."""
+
+    def __init__(self, ids: np.ndarray, words: list[bytes], lang: str, often: Filter) -> None:
+        self.often = often
+        seed = xxhash.xxh64_intdigest(lang.encode())
+        digests = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), dtype=np.uint64, count=len(words))
+        self.single = np.append(digests, np.uint64(0))[ids]  # the last one is the gap
+        self.hashes, self.length = self.single, 1
+        self.open = ids >= 0  # whether a phrase of ``length`` words starts here, whose parts are often enough
+        self.passed: list[np.ndarray] = []
+
+    def lengthen(self) -> None:
+        """One word more."""
+        ok = self.open.copy()
+        ok[self.open] = self.often.has(self.hashes[self.open])
+        self.passed.append(ok)
+        self.open = ok & _next(ok)
+        at = np.flatnonzero(self.open)
+        longer = np.zeros_like(self.hashes)
+        longer[at] = mix(self.hashes[at] * _STEP + self.single[at + self.length])
+        self.hashes, self.length = longer, self.length + 1
+
+
+class Grams(Tally):
+    """Counts of the hashes of phrases of one word more than the filter knows, if their parts pass it."""
+
+    def __init__(self, lang: str, often: Filter) -> None:
+        super().__init__(lang)
+        self.often = often
 
     def counts(self) -> pa.RecordBatch:
-        ids = np.concatenate(self.held)
-        hashes = word_hashes(self.vocabulary.words(), self.lang)
-        both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-        pairs, n = np.unique(ids[:-1][both] * len(hashes) + ids[1:][both], return_counts=True)
-        left, right = np.divmod(pairs, max(1, len(hashes)))
-        singles = np.bincount(ids[ids >= 0], minlength=len(hashes))
-        h = np.concatenate([hashes, pair_hashes(hashes[left], hashes[right])]).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.concatenate([singles, n]).astype(np.int64))], ["h", "n"])
+        places = Places(np.concatenate(self.held), self.vocabulary.words(), self.lang, self.often)
+        for _ in range(self.often.levels):
+            places.lengthen()
+        h, n = np.unique(places.hashes[places.open], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
 class Windows(Tally):
     """Counts of the padded windows that start at each word.
 
-    A window ends with its piece, before ``order`` words are passed, or at the first pair that is too rare: no phrase
-    that is frequent enough reaches over it. Words that are too rare themselves are counted by one empty window.
+    A window ends with its piece, before ``order`` words are passed, or where a phrase in it is too rare: no phrase
+    that is frequent enough reaches over that. Words that are too rare themselves are counted by one empty window.
     """
 
     def __init__(self, lang: str, order: int, often: Filter) -> None:
@@ -129,15 +158,14 @@ class Windows(Tally):
 
     def _lengths(self, ids: np.ndarray, words: list[bytes]) -> np.ndarray:
         """The words of the window that starts at each place; none at gaps and rare words."""
-        hashes = word_hashes(words, self.lang)
-        known = np.append(self.often.has(hashes), False)[ids]  # the last one is the gap
-        linked = np.zeros(len(ids), dtype=bool)
-        at = np.flatnonzero(known[:-1] & known[1:])
-        linked[at] = self.often.has(pair_hashes(hashes[ids[at]], hashes[ids[at + 1]]))
-        out, goes_on = np.zeros(len(ids), dtype=np.int8), known
-        for k in range(self.order):
+        places = Places(ids, words, self.lang, self.often)
+        for _ in range(self.often.levels):
+            places.lengthen()
+        out, last = sum(ok.astype(np.int8) for ok in places.passed[: self.order]), places.passed[-1]
+        goes_on = last
+        for k in range(1, self.order - self.often.levels + 1):
+            goes_on = goes_on & _next(last, k)
             out += goes_on
-            goes_on = goes_on & np.pad(linked[k:], (0, min(k, len(ids))))
         return out
 
     def counts(self) -> pa.RecordBatch:
@@ -182,13 +210,20 @@ def _tallies(make: Callable[[str], Tally]) -> Callable[[Iterator[pa.RecordBatch]
     return tally
 
 
-def frequent_filter(texts: DataFrame, least: int, bits: int = FILTER_BITS) -> Filter:
-    """The words and pairs of words that occur ``least`` times in a language, as a bit table of a fixed size."""
-    counts = texts.mapInArrow(_tallies(Pairs), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    place = F.shiftright(F.col("h").bitwiseAND(F.lit(bits - 1)), 6).alias("place")
-    words = counts.groupBy(place).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("word"))
-    found = words.toArrow()  # bits / 64 rows at most
-    return Filter(bits, found["place"].to_numpy(), found["word"].to_numpy().view(np.uint64))
+def frequent_filter(texts: DataFrame, least: int, levels: int = LEVELS, bits: int = FILTER_BITS) -> Filter:
+    """The phrases of up to ``levels`` words that occur ``least`` times in a language, as a bit table of a fixed size.
+
+    A scan for each length; a phrase is counted only where both its parts of one word less passed before.
+    """
+    often = Filter(bits)
+    for _ in range(levels):
+        grams = texts.mapInArrow(_tallies(lambda lang: Grams(lang, often)), "h long, n long")
+        counts = grams.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        place = F.shiftright(F.col("h").bitwiseAND(F.lit(bits - 1)), 6).alias("place")
+        words = counts.groupBy(place).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("word"))
+        found = words.toArrow()  # bits / 64 rows at most
+        often.add(found["place"].to_numpy(), found["word"].to_numpy().view(np.uint64))
+    return often
 
 
 def phrase_counts(texts: DataFrame, order: int, least: int, often: Filter) -> DataFrame:
@@ -232,7 +267,7 @@ def collocations(
     """
     body, name = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED))
     texts = df.select(body.alias("text"), name.alias("lang"))
-    counts = checkpointed(phrase_counts(texts, order, least, frequent_filter(texts, least, filter_bits)))
+    counts = checkpointed(phrase_counts(texts, order, least, frequent_filter(texts, least, min(LEVELS, order), filter_bits)))
     phrases = counts.where("m > 0").select("lang", "m", "words", F.array_join("words", " ").alias("phrase"), F.col("n").alias("a"))
     # a phrase of one word more occurs as often as any longer one at least, so these decide for all
     shorter = F.array(*(F.array_join(F.slice("words", first, F.col("m") - 1), " ") for first in (1, 2)))
