@@ -105,7 +105,9 @@ def cut_equal(df: DataFrame, value: str, n: int) -> DataFrame:
 def cut_equal_median(df: DataFrame, by_value: str, value: str, n: int = 10) -> DataFrame:
     """Median of ``value`` per equal-width interval of ``by_value``; empty intervals give 0."""
     ends = _known(df, by_value)
-    rows = _cut(df.select(by_value, value), by_value, ends, n)
+    # filtered before the binning, so that the bin is never null and is computed once
+    known = df.select(by_value, value).where(number(by_value).isNotNull())
+    rows = _cut(known, by_value, ends, n).withColumn("bin", F.coalesce("bin", F.lit(0)))
     medians = exact_quantiles(rows, value, {"median": 0.5}, ["bin"], {"n": F.count(F.lit(1))})
     # Both sides hold at most n rows.
     lo, hi = F.col("_e.lo"), F.col("_e.hi")

@@ -1,19 +1,16 @@
-"""Exact quantiles with linear interpolation: one plan for any number of groups, rows and values.
+"""Exact quantiles with linear interpolation: one lazy plan for any number of groups, rows and values.
 
-Equal values of a group are counted first (combined before the shuffle). The counted values are put in
-order over (group, value) in slices of even size, so that a hot group spans many slices and no task grows
-with it. Running counts inside a slice, and what a group has in earlier slices (a table with at most two
-rows for each slice), give every rank.
+The two ranks around each quantile are found by ``selection``: histograms whose bins are refined until the values are left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.operators.ordered import SLICE, sliced
+from lodgeframe.operators.selection import ALL, holds, select_ranks
 
 _NAME = "_column"
 
@@ -23,70 +20,23 @@ def number(c: str | Column) -> Column:
     return F.nanvl((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(None).cast("double"))
 
 
-def _ranked(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Counted values (``_v``, ``_m``) with ``_seen``, the rows of the group up to and with the value, and ``_n``."""
-    rows = sliced(cells, [*by, "_v"])
-    inside = Window.partitionBy(SLICE, *by)
-    running = inside.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({"_seen": F.sum("_m").over(running), "_n": F.sum("_m").over(inside)})
-    parts = rows.groupBy(SLICE, *by).agg(F.max("_n").alias("_part"))
-    # Only the first and the last group of a slice can go on in another one.
-    key = F.struct(*by) if by else F.lit(0)
-    ends = parts.groupBy(SLICE).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
-    cut = (
-        parts.join(ends, SLICE)
-        .where((key == F.col("_first")) | (key == F.col("_last")))
-        .select(SLICE, *by, "_part")
-    )
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    earlier = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = cut.select(
-        SLICE,
-        *by,
-        F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_earlier"),
-        F.sum("_part").over(group).alias("_total"),
-    )
-    joined = rows.join(carried, [SLICE, *by], "left")
-    return joined.select(
-        *by,
-        "_v",
-        "_m",
-        (F.col("_seen") + F.coalesce("_earlier", F.lit(0))).alias("_seen"),
-        F.coalesce("_total", "_n").alias("_n"),
-    )
-
-
-def _position(n: Column, q: float) -> tuple[Column, Column]:
-    """0-based rank below the quantile and the distance from it to the next rank."""
-    position = (n - 1) * F.lit(float(q))
-    return F.floor(position), position - F.floor(position)
-
-
-def _between(a: Column, b: Column, part: Column) -> Column:
-    return a + F.coalesce(b - a, F.lit(0.0)) * part
-
-
 def _picked(values: DataFrame, quantiles: Mapping[str, float], by: list[str]) -> DataFrame:
     """The quantiles of ``_v`` per group. Only the few rows that hold a wanted rank are grouped again."""
-    cells = values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_m"))
-    ranked = _ranked(cells, by)
-    first = F.col("_seen") - F.col("_m")
-    wanted, picks = F.lit(False), []
-    for i, q in enumerate(quantiles.values()):
-        rank, part = _position(F.col("_n"), q)
-        here, next_ = (first <= rank) & (F.col("_seen") > rank), (first <= rank + 1) & (F.col("_seen") > rank + 1)
-        wanted = wanted | here | next_
-        picks += [
-            F.max(F.when(here, F.col("_v"))).alias(f"_a{i}"),
-            F.max(F.when(next_, F.col("_v"))).alias(f"_b{i}"),
-            F.max(part).alias(f"_p{i}"),
-        ]
-    out = ranked.where(wanted).groupBy(*by).agg(*picks)
-    named = [
-        _between(F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_p{i}")).alias(name)
-        for i, name in enumerate(quantiles)
-    ]
-    return out.select(*by, *named)
+    places = [f"(({ALL} - 1) * {float(q)!r}D)" for q in quantiles.values()]
+    around = [(f"floor({place})", f"floor({place}) + 1") for place in places]
+    found = select_ranks(values, by, [rank for pair in around for rank in pair])
+    picks = []
+    for i, (place, pair) in enumerate(zip(places, around)):
+        picks += [F.expr(f"max(CASE WHEN {holds(rank)} THEN _v END)").alias(f"_{side}{i}") for side, rank in zip("ab", pair)]
+        picks.append(F.expr(f"max({place} - floor({place}))").alias(f"_p{i}"))
+    named = [F.expr(f"_a{i} + coalesce(_b{i} - _a{i}, 0.0D) * _p{i}").alias(name) for i, name in enumerate(quantiles)]
+    return found.groupBy(*by).agg(*picks).select(*by, *named)
+
+
+def _grouped(df: DataFrame, by: list[str]) -> DataFrame:
+    """The rows with all group keys. Keys that are never null are not asked: a filter would compute them once more."""
+    asked = [c for c in by if df.schema[c].nullable]
+    return df.dropna(subset=asked) if asked else df
 
 
 def exact_quantiles(
@@ -102,7 +52,7 @@ def exact_quantiles(
     Groups without any value keep their row, with null quantiles.
     """
     by, extras = list(by), dict(extras or {})
-    base = df.dropna(subset=by) if by else df
+    base = _grouped(df, by)
     own = base.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, agg in extras.items()]
     )
@@ -124,7 +74,7 @@ def group_medians(
     The columns are stacked, so all of them take one pass.
     """
     by, extras = list(by), dict(extras or {})
-    base = df.dropna(subset=by)
+    base = _grouped(df, by)
     own = base.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, agg in extras.items()]
     )

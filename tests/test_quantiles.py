@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lodgeframe.operators import quantiles as Q
-from tests.helpers import rows
+from lodgeframe.operators import selection as S
+from tests.helpers import plan, rows
 
 WANTED = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q95": 0.95, "q100": 1.0}
 
@@ -97,3 +98,47 @@ def test_slices_that_cut_groups(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     for key, numbers in expected(frame).items():
         np.testing.assert_allclose(got[key], numbers, rtol=1e-12)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.7e9 + i * 1e-6 for i in range(5000)],  # all in one bin of the first round
+        [2.0**k for k in range(-1074, 1024)] + [-(2.0**k) for k in range(-1074, 1024)],
+        [np.nextafter(2.0**k, side) for k in range(-60, 60) for side in (0.0, np.inf)],
+        [-np.inf, np.inf, -1.7976931348623157e308, 1.7976931348623157e308, 0.0, -0.0, 5e-324],
+        [0.1] * 4000 + [0.2] * 3 + [-0.1] * 4000,
+    ],
+)
+def test_ranks_of_any_range(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values], "_v double").repartition(5)
+    ranks = sorted({0, len(values) // 3, len(values) // 2, len(values) - 1})
+    found = S.select_ranks(df, [], [str(r) for r in ranks]).collect()
+    ordered = sorted(values)
+    assert sorted({r["_v"] for r in found}) == sorted({ordered[r] for r in ranks})
+    assert all(r["_n"] == len(values) and r["_seen"] == sum(v <= r["_v"] for v in values) for r in found)
+
+
+def test_bins_never_fall(spark):
+    rng = np.random.default_rng(1)
+    values = np.sort(np.concatenate([np.exp(rng.normal(size=4000) * 40) * rng.choice([-1, 1], 4000), 2.0 ** np.arange(-80, 80)]))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").coalesce(1)
+    bins = [r.b for r in df.select("v", S.octave_bin("v").alias("b")).orderBy("v").collect()]
+    assert bins == sorted(bins) and len(set(bins)) > 3000
+
+
+def test_nothing_runs_while_the_frame_is_built(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("v"))
+    spark.sparkContext.setJobGroup("build", "quantiles")
+    Q.exact_quantiles(df, "v", WANTED, ["k"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
+
+
+def test_a_hot_group_is_not_one_task(spark):
+    """The values of a group are never brought together: windows run over bins and what is left of them."""
+    df = spark.range(200_000).select(F.lit("hot").alias("k"), F.sqrt("id").alias("v"))
+    table = Q.exact_quantiles(df, "v", {"m": 0.5}, ["k"])
+    assert rows(table) == [("hot", pytest.approx(np.median(np.sqrt(np.arange(200_000))), rel=1e-12))]
+    assert "RangePartitioning" not in plan(table)
