@@ -87,3 +87,56 @@ def interval_join(df: DataFrame, date: str, windows: DataFrame) -> DataFrame:
         F.explode(F.sequence("start", "end")).alias(date), F.col("label").alias("event")
     )
     return df.join(days, date)
+
+_SECOND = 1_000_000  # microseconds, the unit of bins over timestamps
+
+
+def _place(df: DataFrame, column: str) -> tuple[Column, int]:
+    """A column as a whole number that orders like it, and how many of them make one unit of a bin's width."""
+    kind = df.schema[column].dataType.typeName()
+    if kind == "timestamp":
+        return F.unix_micros(F.col(column)), _SECOND
+    if kind == "timestamp_ntz":  # by its fields: a zone's clock changes would put places out of order
+        day, second = F.unix_date(F.col(column).cast("date")).cast("long"), F.expr(f"extract(SECOND FROM `{column}`)")
+        return (day * 86400 + F.hour(column) * 3600 + F.minute(column) * 60) * _SECOND + (second * _SECOND).cast("long"), _SECOND
+    if kind == "date":
+        return F.unix_date(F.col(column)).cast("long"), 1
+    if kind in ("byte", "short", "integer", "long"):
+        return F.col(column).cast("long"), 1
+    raise TypeError(f"{column}: bins are laid over timestamps, dates and whole numbers, not over {kind}")
+
+
+def range_join(
+    df: DataFrame, at: str, windows: DataFrame, widths: Sequence[int], start: str = "start", end: str = "end"
+) -> DataFrame:
+    """One row per (row, window) with start <= at <= end, by bins: an equality join, then the test of the ends.
+
+    ``widths`` are bin widths from narrow to wide, in seconds for timestamps, days for dates, else in units of the
+    column. A window is laid on the narrowest bins that are as long as it is, so it has two rows at most; only windows
+    beyond the widest have more. A row has one key for each width. So minutes and years can stand in one table,
+    and rows grow with windows and widths, not with the length of a window. A bin that very many rows fall in
+    is split by the join. Nulls and windows that end before they start match nothing; columns of both sides stay,
+    and may not share names.
+    """
+    point, unit = _place(df, at)
+    first, other = _place(windows, start)
+    last, _ = _place(windows, end)
+    if unit != other or df.schema[at].dataType != windows.schema[start].dataType:
+        raise TypeError(f"{at} and {start} are of different kinds")
+    if not widths or any(w <= 0 for w in widths) or list(widths) != sorted(set(widths)):
+        raise ValueError("widths must be positive and grow")
+    wide = [w * unit for w in widths]
+
+    def bin_of(place: Column, width: Column) -> Column:
+        return place - F.pmod(place, width)
+
+    keys = F.array(*(F.struct(F.lit(i).alias("width"), bin_of(point, F.lit(w)).alias("bin")) for i, w in enumerate(wide)))
+    level = F.lit(len(wide) - 1)
+    for i in reversed(range(len(wide) - 1)):
+        level = F.when(last - first <= wide[i], F.lit(i)).otherwise(level)
+    width = F.element_at(F.array(*map(F.lit, wide)), F.col("_level") + 1).cast("long")
+    laid = windows.where(last >= first).withColumn("_level", level)
+    laid = laid.withColumn("_bin", F.explode(F.sequence(bin_of(first, width), bin_of(last, width), width)))
+    keyed = df.where(point.isNotNull()).withColumn("_key", F.explode(keys))
+    same = (F.col("_key.width") == F.col("_level")) & (F.col("_key.bin") == F.col("_bin"))
+    return keyed.join(laid, same & F.col(at).between(F.col(start), F.col(end))).drop("_key", "_level", "_bin")

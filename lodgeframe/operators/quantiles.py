@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.operators.selection import ALL, holds, select_ranks
+from lodgeframe.operators.sizing import attach_by_key
 
 _NAME = "_column"
 
@@ -58,7 +59,7 @@ def exact_quantiles(
     )
     found = _picked(base.select(*by, number(value).alias("_v")).where("_v is not null"), quantiles, by)
     if by:
-        return own.join(found, by, "left").select(*by, *quantiles, *extras)
+        return attach_by_key(own, found, by).select(*by, *quantiles, *extras)
     picked = found.select(F.struct(*quantiles).alias("q")).scalar()
     return own.select(*[picked[name].alias(name) for name in quantiles], *extras)
 
@@ -88,7 +89,7 @@ def group_medians(
     wide = found.groupBy(*by).agg(
         *[F.max(F.when(F.col(_NAME) == name, F.col("_median"))).alias(name) for name in medians]
     )
-    return own.join(wide, by, "left").select(*by, *medians, *extras)
+    return attach_by_key(own, wide, by).select(*by, *medians, *extras)
 
 
 def quantile_row(

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodgeframe.operators.sizing import attach_by_key
+
 PER_OCTAVE, PARTS = 1024, 4096
 COUNT, SEEN, ALL = "_m", "_seen", "_n"  # rows of a cell, rows up to and with it, rows of the group
 
@@ -71,9 +73,9 @@ def select_ranks(values: DataFrame, by: Sequence[str], ranks: Sequence[str]) ->
     bins = _binned(placed, [*group, "_bin"]).withColumn(ALL, F.sum(COUNT).over(whole))
     held = _holding(bins, group, "_bin", ranks, "0")
     held = held.select(*group, "_bin", "_lo", "_hi", (F.col(SEEN) - F.col(COUNT)).alias("_from"), ALL)
-    left = placed.join(held, [*group, "_bin"]).withColumn("_part", part_bin("_v", "_lo", "_hi"))
+    left = attach_by_key(placed, held, [*group, "_bin"], "inner").withColumn("_part", part_bin("_v", "_lo", "_hi"))
     parts = _binned(left.drop("_lo", "_hi"), [*group, "_bin", "_part"], ["_from", ALL])
     narrow = _holding(parts, [*group, "_bin"], "_part", ranks, "_from")
     narrow = narrow.select(*group, "_bin", "_part", (F.col(SEEN) - F.col(COUNT)).alias("_ahead"))
-    few = left.join(narrow, [*group, "_bin", "_part"])
+    few = attach_by_key(left, narrow, [*group, "_bin", "_part"], "inner")
     return _holding(few, [*group, "_bin", "_part"], "_v", ranks, "_ahead").select(*by, "_v", COUNT, SEEN, ALL)

@@ -17,8 +17,17 @@ SALTS = 32
 
 
 def attach_by_key(detail: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Bring a one-row-per-key table back to the detail rows; null keys match nothing."""
-    return detail.join(table, list(keys), how)
+    """Bring a one-row-per-key table back to the detail rows; null keys match nothing.
+
+    The table's keys get names of their own first. Where it comes from the detail rows itself, both sides would else
+    share columns, and Spark rewrites the whole plan of one side to tell them apart, which takes seconds for deep plans.
+    """
+    own = [f"_key_{i}" for i in range(len(keys))]
+    named = table.select(*(F.col(k).alias(o) for k, o in zip(keys, own)), *(c for c in table.columns if c not in keys))
+    same = F.lit(True)
+    for k, o in zip(keys, own):
+        same = same & (F.col(k) == F.col(o))
+    return detail.join(named, same, how).drop(*own)
 
 
 def spread_join(

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from lodgeframe.functions import clean as C
 from lodgeframe.functions import dates as D
 from lodgeframe.operators import aggregates as A
-from lodgeframe.operators.lookups import event_windows, interval_join
+from lodgeframe.operators.lookups import event_windows, interval_join, range_join
 from lodgeframe.operators.sizing import one_row
 from lodgeframe.operators.windows import centred_means
-from lodgeframe.queries.registry import Tables, query, r6, text
+from lodgeframe.queries.registry import Tables, query, r6, shaped, text
 
 DAYS = [
     "o_orderkey",
@@ -192,6 +192,44 @@ def interval_join_query(t: Tables) -> DataFrame:
     return joined.select(text("day").alias("day"), "event", r6("rate").alias("rate"))
 
 
+@query(
+    "range_join_minutes",
+    """WITH w AS (SELECT event_id AS window_id, user_id AS buyer, ts AS opens, ts + INTERVAL 10 MINUTE AS closes
+      FROM events WHERE event_type = 'purchase')
+    SELECT window_id, buyer, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 6) AS value
+    FROM events JOIN w ON ts BETWEEN opens AND closes GROUP BY window_id, buyer""",
+)
+def range_join_minutes(t: Tables) -> DataFrame:
+    """What happens in the ten minutes from each purchase on."""
+    bought = t.events.where("event_type = 'purchase'")
+    windows = bought.selectExpr("event_id AS window_id", "user_id AS buyer", "ts AS opens", "ts + INTERVAL 10 MINUTES AS closes")
+    found = range_join(t.events, "ts", windows, [600], "opens", "closes")
+    sums = found.groupBy("window_id", "buyer").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.sum("value").alias("value"))
+    return sums.withColumn("value", r6("value"))
+
+
+SEASON = (
+    "n_nationkey AS season",
+    "make_date(CAST(1995 + n_nationkey % 6 AS INT), CAST(1 + n_nationkey % 12 AS INT), 1) AS opens",
+    "make_date(CAST(1995 + n_nationkey % 6 + n_nationkey % 3 AS INT), CAST(1 + n_nationkey % 12 AS INT), CAST(1 + n_nationkey AS INT)) AS closes",
+)
+
+
+@query(
+    "range_join_years",
+    f"""WITH w AS ({shaped('nation', SEASON)}), d AS (SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders)
+    SELECT season, count(*) AS n, round(avg(o_totalprice), 6) AS price, CAST(min(day) AS VARCHAR) AS first_day
+    FROM d JOIN w ON day BETWEEN opens AND closes GROUP BY season""",
+)
+def range_join_years(t: Tables) -> DataFrame:
+    """Orders in seasons of some days to two years, which overlap; bins of a month, a quarter and a year."""
+    windows = t.nation.selectExpr(*SEASON)
+    orders = t.orders.selectExpr("o_orderkey", "o_totalprice", "CAST(o_orderdate AS DATE) AS day")
+    found = range_join(orders, "day", windows, [30, 90, 365], "opens", "closes")
+    sums = found.groupBy("season").agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("price"), F.min("day").alias("day"))
+    return sums.select("season", "n", r6("price").alias("price"), text("day").alias("first_day"))
+
+
 @query(
     "date_parts",
     """SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
