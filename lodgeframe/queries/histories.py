@@ -16,6 +16,7 @@ from lodgeframe.session import scratch_path
 from lodgeframe.sources.sinks import avro_schema, payload_columns, peek_records, write_records
 from lodgeframe.sources.tables import read_csv, write_csv
 from lodgeframe.streaming.publish import publish_stream
+from lodgeframe.streaming.unique import unique_stream
 
 
 @query(
@@ -206,3 +207,21 @@ def stream(t: Tables) -> DataFrame:
     gold = spark.read.parquet(f"{base}/gold").drop("batch_id", "value")
     errors = spark.read.text(f"{base}/errors").select(F.lit(1).alias("n_errors"))
     return gold.withColumn("n_errors", F.lit(0)).unionByName(errors, allowMissingColumns=True)
+
+
+@query(
+    "unique_stream",
+    """WITH e AS (SELECT user_id || '-' || event_type AS key, epoch_us(ts) // 3600000000 AS hour FROM events),
+    w AS (SELECT key, unnest([hour, hour - 1]) AS hour FROM e)
+    SELECT DISTINCT 'key=' || key AS variable, 'Duplicate key found in the stream' AS message
+    FROM (SELECT key FROM w GROUP BY key, hour HAVING count(*) > 1)""",
+)
+def unique_over_the_stream(t: Tables) -> DataFrame:
+    """Dead letters of users that do the same thing twice within an hour."""
+    spark, base = t.spark, scratch_path(t.spark, "unique")
+    files = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.path)
+    source = files.select("event_id", "ts", F.concat_ws("-", "user_id", "event_type").alias("key"))
+    unique_stream(source, "key", "ts", 3600, f"{base}/errors", f"{base}/progress").awaitTermination()
+    letters = spark.read.schema("value string").text(f"{base}/errors")
+    record = F.from_json("value", "variable string, message string")
+    return letters.select(record.alias("r")).select("r.variable", "r.message").distinct()
