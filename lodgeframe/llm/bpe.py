@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Callable, Iterator
-from itertools import chain, pairwise, repeat
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,7 @@ class PieceCache:
     When more than ``most`` are held, those met once go, and then all but the half met most.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = CACHE_ENTRIES) -> None:
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], most: int = CACHE_ENTRIES) -> None:
         self.encode, self.most = encode, most
         self._set([], np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 
@@ -112,10 +113,14 @@ class PieceCache:
         unseen = np.flatnonzero(place < 0).tolist()
         if unseen:
             new = list(dict.fromkeys([pieces[i] for i in unseen]))
-            lists = self.encode(new)
+            # taken one by one: lists of all new ones at once keep the garbage collector busy
+            fresh, sizes = array("i"), array("q")
+            for found in self.encode(new):
+                fresh.extend(found)
+                sizes.append(len(found))
             self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
-            self.ids = np.concatenate((self.ids, np.array(list(chain.from_iterable(lists)), dtype=np.int32)))
-            self.sizes = np.concatenate((self.sizes, np.array(list(map(len, lists)), dtype=np.int64)))
+            self.ids = np.concatenate((self.ids, np.frombuffer(fresh, dtype=np.int32)))
+            self.sizes = np.concatenate((self.sizes, np.frombuffer(sizes, dtype=np.int64)))
             self.hits = np.concatenate((self.hits, np.zeros(len(new), dtype=np.int64)))
             place[unseen] = [self.places[pieces[i]] for i in unseen]
         self.hits += np.bincount(place, minlength=len(self.hits))
@@ -128,7 +133,7 @@ class PieceCache:
         return ids, np.diff(bounds)
 
 
-def cached(name: str, encode: Callable[[], Callable[[list[str]], list[list[int]]]]) -> PieceCache:
+def cached(name: str, encode: Callable[[], Callable[[list[str]], Iterable[list[int]]]]) -> PieceCache:
     return held(name, lambda: PieceCache(encode()))
 
 
@@ -238,4 +243,4 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def _merger(path: str, ranks: dict[bytes, int]) -> PieceCache:
-    return cached(f"ranks {path}", lambda: lambda new: [merge(p.encode("utf-8", "surrogatepass"), ranks) for p in new])
+    return cached(f"ranks {path}", lambda: lambda new: (merge(p.encode("utf-8", "surrogatepass"), ranks) for p in new))

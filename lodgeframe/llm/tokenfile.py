@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -44,10 +44,7 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
         packed: list[bytes] = [b""] * rows
         for width in np.unique(widths):
             of = np.flatnonzero(widths == width)
-            kind = "<u2" if width <= 16 else "<u4"
-            wide = np.unpackbits(deltas[of].astype(kind).view(np.uint8), axis=1, bitorder="little")
-            bits = wide.reshape(len(of), n, -1)[:, :, :width].reshape(len(of), -1)
-            for row, data in zip(of, np.packbits(bits, axis=1, bitorder="little")):
+            for row, data in zip(of, _pack(deltas[of], int(width))):
                 packed[row] = data.tobytes()
         high = deltas >> widths[:, None].astype(np.uint32)
         for row in range(rows):
@@ -57,17 +54,49 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
     return out
 
 
+def _pack(deltas: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of every number, row by row, without gaps; the first number has the lowest bits.
+
+    Up to 16 bits, eight numbers are put together in two words by shifts; the first ``width`` bytes are theirs.
+    """
+    rows, n = deltas.shape
+    if width > 16:
+        wide = np.unpackbits(deltas.astype("<u4").view(np.uint8), axis=1, bitorder="little")
+        bits = wide.reshape(rows, n, -1)[:, :, :width].reshape(rows, -1)
+        return np.packbits(bits, axis=1, bitorder="little")
+    if width == 0:
+        return np.zeros((rows, 0), dtype=np.uint8)
+    low = np.zeros((rows, -(-n // 8) * 8), dtype=np.uint64)
+    low[:, :n] = deltas & np.uint32((1 << width) - 1)
+    pairs = low[:, 0::2] | low[:, 1::2] << np.uint64(width)
+    fours = pairs[:, 0::2] | pairs[:, 1::2] << np.uint64(2 * width)
+    first, second = fours[:, 0::2], fours[:, 1::2]
+    words = np.empty((rows, first.shape[1], 2), dtype="<u8")
+    if width == 16:
+        words[:, :, 0], words[:, :, 1] = first, second
+    else:
+        words[:, :, 0] = first | second << np.uint64(4 * width)
+        words[:, :, 1] = second >> np.uint64(64 - 4 * width)
+    return words.view(np.uint8)[:, :, :width].reshape(rows, -1)[:, : (n * width + 7) // 8]
+
+
+@cache
+def _bit_places(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of every number of a full block: the byte its bits begin in, and the place in that byte."""
+    at = np.arange(BLOCK, dtype=np.int64) * width
+    return at >> 3, (at & 7).astype(np.uint64)
+
+
 def unpack_block(data: memoryview, n: int) -> np.ndarray:
     low, width, exceptions = _HEAD.unpack_from(data)
     at = _HEAD.size
     places = np.frombuffer(data, "<u2", exceptions, at)
     high = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
     at += 6 * exceptions
-    size = (n * width + 7) // 8
-    kind = "<u2" if width <= 16 else "<u4"
-    wide = np.zeros((n, 16 if width <= 16 else 32), dtype=np.uint8)
-    wide[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little", count=n * width).reshape(n, width)
-    out = np.packbits(wide, axis=1, bitorder="little").view(kind)[:, 0].astype(np.int64)
+    # the eight bytes from each byte on; a number of up to 32 bits lies in those from its first byte
+    words = np.ndarray((len(data) - at + 1,), dtype="<u8", buffer=bytes(data[at:]) + bytes(8), strides=(1,))
+    first, shift = _bit_places(width)
+    out = (words[first[:n]] >> shift[:n] & np.uint64((1 << width) - 1)).astype(np.int64)
     out[places] += high.astype(np.int64) << width
     return out + low
 
@@ -143,7 +172,7 @@ def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
         yield (None if key == -(1 << 63) else key), ids[:length]
 
 
-def library_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+def library_encoder(path: str) -> Callable[[list[str]], Iterable[list[int]]]:
     """Ids of many pre-tokens by the model of the tokenizers library."""
     model, alphabet = _library(path)[0].model, _byte_letters()
     mark = "\U0010fffd"  # between pre-tokens, so that all are spelled in byte letters at once
@@ -151,12 +180,12 @@ def library_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     def letters(text: str) -> str:
         return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(alphabet)
 
-    def encode(pieces: list[str]) -> list[list[int]]:
+    def encode(pieces: list[str]) -> Iterable[list[int]]:
         spelled = letters(mark.join(pieces)).split(letters(mark))
         if len(spelled) != len(pieces):  # the mark is in a text
             spelled = [letters(piece) for piece in pieces]
         tokenize = model.tokenize
-        return [[token.id for token in tokenize(word)] for word in spelled]
+        return ([token.id for token in tokenize(word)] for word in spelled)
 
     return encode
 
@@ -230,8 +259,6 @@ def write_tokens(
     )
 
 
-
-
 def read_tokens(manifest: DataFrame, base: str, with_ids: bool = True) -> DataFrame:
     """(key, start, n_tokens, ids_crc32, ids) of every document of the listed files, the ids if they are wanted.
 
