@@ -17,11 +17,12 @@ from lodgeframe.llm.shards import range_bounds, read_shards, shard_of, write_sha
 from lodgeframe.llm.wordspan import batches
 from lodgeframe.session import checkpointed
 
-MAGIC = b"PFOR0001"
+MAGIC = b"PFOR0002"
 BLOCK = 1024
 PERCENTILE = 90
 SHARD_BYTES, ROLL_BYTES = 32 << 20, 256 << 20
 _HEAD = struct.Struct("<IBH")  # of a block: minimum, width, number of exceptions
+_TAIL = struct.Struct("<QQQQQ8s")  # where the keys begin, documents, those without a key, blocks, ids
 
 
 def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
@@ -102,11 +103,14 @@ def unpack_block(data: memoryview, n: int) -> np.ndarray:
 
 
 class TokenFile:
-    """MAGIC, the blocks, then: keys and lengths of the documents, block starts, and a tail that says where they are."""
+    """MAGIC, the blocks, then: keys and lengths of the documents, block starts, and a tail that says where they are.
+
+    Documents without a key come first; the tail says how many they are.
+    """
 
     def __init__(self, stream, percentile: int = PERCENTILE) -> None:
         self.stream, self.percentile = stream, percentile
-        self.records = self.units = 0
+        self.records = self.units = self.unkeyed = 0
         self._held: list[np.ndarray] = []
         self._waiting = 0
         self._keys: list[int] = []
@@ -117,7 +121,10 @@ class TokenFile:
 
     def add(self, row) -> None:
         ids = row.ids
-        self._keys.append(-(1 << 63) if pd.isna(row.key) else int(row.key))
+        if row.unkeyed and self.unkeyed < self.records:
+            raise ValueError("documents without a key come first")
+        self.unkeyed += bool(row.unkeyed)
+        self._keys.append(int(row.key))
         self._lengths.append(len(ids))
         self.records += 1
         self.units += len(ids)
@@ -141,7 +148,7 @@ class TokenFile:
     def close(self) -> None:
         self._flush(True)
         tail = [np.array(x, dtype=kind).tobytes() for x, kind in ((self._keys, "<i8"), (self._lengths, "<u8"), (self._starts, "<u8"))]
-        end = struct.pack("<QQQQ8s", self._bytes, self.records, len(self._starts), self.units, MAGIC)
+        end = _TAIL.pack(self._bytes, self.records, self.unkeyed, len(self._starts), self.units, MAGIC)
         for data in (*tail, end):
             self.stream.write(data)
             self._bytes += len(data)
@@ -151,8 +158,8 @@ class TokenFile:
 def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
     """(key, ids) of every document of a file in order, block by block from the index."""
     size = stream.size()
-    stream.seek(size - 40)
-    at, documents, blocks, total, magic = struct.unpack("<QQQQ8s", stream.read(40))
+    stream.seek(size - _TAIL.size)
+    at, documents, unkeyed, blocks, total, magic = _TAIL.unpack(stream.read(_TAIL.size))
     if magic != MAGIC:
         raise ValueError("not a token file")
     stream.seek(at)
@@ -160,7 +167,7 @@ def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
     lengths = np.frombuffer(stream.read(8 * documents), "<u8").astype(np.int64)
     starts = np.append(np.frombuffer(stream.read(8 * blocks), "<u8"), np.uint64(at)).astype(np.int64)
     held, ready, block = [], 0, 0
-    for key, length in zip(keys.tolist(), lengths.tolist()):
+    for i, (key, length) in enumerate(zip(keys.tolist(), lengths.tolist())):
         while ready < length:
             stream.seek(int(starts[block]))
             data = memoryview(stream.read(int(starts[block + 1] - starts[block])))
@@ -169,7 +176,7 @@ def read_documents(stream) -> Iterator[tuple[int | None, np.ndarray]]:
             block += 1
         ids = held[0] if len(held) == 1 else np.concatenate(held) if held else np.zeros(0, dtype=np.int64)
         held, ready = [ids[length:]], ready - length
-        yield (None if key == -(1 << 63) else key), ids[:length]
+        yield (None if i < unkeyed else key), ids[:length]
 
 
 def library_encoder(path: str) -> Callable[[list[str]], Iterable[list[int]]]:
@@ -218,7 +225,7 @@ def frame_encoder(path: str, end_id: int) -> Callable[[pd.DataFrame], Iterator[p
                 for part, p, t in zip(parts, plain, texts)
             ]
             ended = [np.append(part, np.int32(end_id)) for part in parts]
-            yield frame[["shard", "key"]].iloc[at : at + len(group)].assign(ids=pd.Series(ended, dtype="object", index=frame.index[at : at + len(group)]))
+            yield frame[["shard", "key", "unkeyed"]].iloc[at : at + len(group)].assign(ids=pd.Series(ended, dtype="object", index=frame.index[at : at + len(group)]))
             at += len(group)
 
     return encode
@@ -253,7 +260,9 @@ def write_tokens(
     weights = checkpointed(rows.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")))
     bounds = range_bounds(weights, "key", "n", shard_bytes)
     dealt = rows.withColumn("shard", shard_of(F.col("key"), bounds)).repartitionById(len(bounds) + 1, F.col("shard"))
-    ordered = dealt.sortWithinPartitions("shard", "key", F.xxhash64("text"))
+    # a null among whole numbers would make them floating-point numbers on the way to Python
+    keyed = dealt.select("shard", F.coalesce("key", F.lit(0)).alias("key"), F.col("key").isNull().alias("unkeyed"), "text")
+    ordered = keyed.sortWithinPartitions("shard", F.desc("unkeyed"), "key", F.xxhash64("text"))
     return write_shards(
         ordered, base, ".pfor", lambda stream, shard, part: TokenFile(stream, percentile), roll_bytes, frame_encoder(path, end_id)
     )

@@ -101,7 +101,7 @@ def test_token_files(spark):
 
     path = vocabulary("byte_bpe_50k.json")
     known = Tokenizer.from_file(path)
-    more = [(9, "a <|endoftext|> b")] + [(1000 - i, prose(i, 900)) for i in range(60)]
+    more = [(9, "a <|endoftext|> b"), (-(1 << 63), "smallest"), ((1 << 62) + 1, "no floating-point number")] + [(1000 - i, prose(i, 900)) for i in range(60)]
     df = documents(spark).unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     # small shards and files, so that several of both are made
     base = scratch_path(spark, "tokens")
