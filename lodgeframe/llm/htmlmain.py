@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.llm.htmltree import article_boxes, main_text, mark, parse
 from lodgeframe.llm.url_filter import url_host
-from lodgeframe.session import checkpointed
+from lodgeframe.session import checkpointed, scratch_path
 
 
 def subtree_hashes(page: Column) -> Column:
@@ -39,6 +39,7 @@ def site_templates(pages: DataFrame, least_pages: int = 5) -> DataFrame:
     return each.groupBy("site", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages).select("site", "hash")
 
 
+NO_ARTICLE = 0  # the article's hash of a page without main content
 ARTICLE = 0  # stands for the article itself among its boxes, so that one count gives articles and boxes
 
 
@@ -50,7 +51,7 @@ def article_templates(pages: DataFrame, least_articles: int = 20, least_sketches
     copies of an article share stays. A brief box, which prose may repeat, has to be in half of a site's articles
     as well.
     """
-    found = pages.where("size(boxes) + size(brief) > 0").dropDuplicates(["site", "article"])
+    found = pages.where(F.col("article") != NO_ARTICLE).dropDuplicates(["site", "article"])
     marked = F.concat(
         F.array(F.struct(F.lit(ARTICLE).cast("bigint").alias("hash"), F.lit(False).alias("brief"))),
         F.transform("boxes", lambda h: F.struct(h.alias("hash"), F.lit(False).alias("brief"))),
@@ -69,10 +70,12 @@ def article_templates(pages: DataFrame, least_articles: int = 20, least_sketches
 def removed_subtrees(pages: DataFrame, templates: DataFrame) -> DataFrame:
     """(site, page, removed): of every different page that has any, its own subtrees among the templates of its site.
 
-    An array holds hashes of one page, so it does not grow with the site. Template rows are dealt out with the
-    hash, and a hash that very many pages have is split by the join.
+    Of a page with main content only that counts, so what stands outside it need not be looked for. An array holds
+    hashes of one page, so it does not grow with the site. Template rows are dealt out with the hash, and a hash that
+    very many pages have is split by the join.
     """
-    own = F.explode(F.concat("hashes", "boxes", "brief"))
+    outside = F.when(F.col("article") == NO_ARTICLE, F.col("hashes")).otherwise(F.array().cast("array<bigint>"))
+    own = F.explode(F.concat(outside, "boxes", "brief"))
     each = pages.dropDuplicates(["site", "page"]).select("site", "page", own.alias("hash"))
     return each.join(templates, ["site", "hash"]).groupBy("site", "page").agg(F.collect_set("hash").alias("removed"))
 
@@ -90,10 +93,11 @@ def extract(
     Per host, element subtrees are hashed and counted; those on ``least_pages`` different pages are deleted wherever
     they stand on its pages. The count is the same for hosts of any size. Inside an article or main element, where
     mirrors and quotations share paragraphs, only boxes go that stand in ``least_articles`` otherwise different
-    articles (see ``article_templates``). Of what is left, the article (else main, else the whole page) gives
+    articles (see ``article_templates``); paragraphs of prose without class, id and role always stay. Of what is left, the article (else main, else the whole page) gives
     the text, without elements that are page parts by their kind, role or class. Null pages have an empty text;
     pages without a host have no template. Repeated rows are extracted each. Other columns are not carried.
-    Pages are shuffled once, to the removed subtrees of their content; adaptive execution splits many copies there.
+    Only pages with removed subtrees have to meet them: where those are many, pages are shuffled once, and adaptive
+    execution splits many copies there.
     """
     host = url_host(F.coalesce("u", F.lit("")))
     rows = df.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(page), F.lit("")).alias("p"))
@@ -103,8 +107,10 @@ def extract(
     named = checkpointed(named)
     # written, so that the joins deal out both sides themselves, and can split a hot subtree or page
     templates = checkpointed(site_templates(named, least_pages).unionByName(article_templates(named, least_articles)))
-    removed = checkpointed(removed_subtrees(named, templates)).withColumnsRenamed({"site": "s", "page": "d"})
-    joined = rows.join(removed, (F.col("site") == F.col("s")) & (F.col("page") == F.col("d")), "left")
+    # a written table has a known size: Spark sends it to all pages where it is small, else it shuffles both
+    path = scratch_path(df.sparkSession, "removed")
+    removed_subtrees(named, templates).withColumnsRenamed({"site": "s", "page": "d"}).write.parquet(path)
+    joined = rows.join(df.sparkSession.read.parquet(path), (F.col("site") == F.col("s")) & (F.col("page") == F.col("d")), "left")
 
     @F.pandas_udf("string")
     def text(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

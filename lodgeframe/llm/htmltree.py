@@ -182,6 +182,7 @@ def article_boxes(root: Node, least_words: int = 6) -> tuple[int, int, list[int]
     ``article`` is a hash of their text. ``sketch`` is the smallest hash over their runs of three words: articles
     that share most of their words mostly have the same, articles that share only a box do not. ``boxes`` are the
     different hashes of elements that may be a page part by their kind, ``brief`` those of under ``least_words`` words.
+    Longer paragraphs without class, id and role are prose, however many articles share them, and no boxes.
     """
     boxes: dict[int, None] = {}
     brief: dict[int, None] = {}
@@ -196,7 +197,10 @@ def article_boxes(root: Node, least_words: int = 6) -> tuple[int, int, list[int]
                 todo.append(child)
                 if child.tag in BOXES and child.hash and child.has_text:
                     few = sum(len(t.split()) for t in _strings(child, least_words)) < least_words
-                    (brief if few else boxes)[child.hash] = None
+                    if few:
+                        brief[child.hash] = None
+                    elif child.tag != "p" or child.names.strip() or child.role:
+                        boxes[child.hash] = None
     text = main_text(root).encode("utf-8", "surrogatepass")
     words = text.split()
     runs = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [text]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -103,6 +104,62 @@ def test_boxes_in_many_different_articles_go(spark):
     assert all(("Yes he said" in text[300 + i]) == (i < 25) for i in range(80))
 
 
+def test_shared_prose_of_articles_stays(spark):
+    own = lambda i: " ".join(f"w{i * 37 + k * k}" for k in range(40))
+    said, sold = "All of them have this line of prose", "All of them have this line to sell"
+    page = "<article><p>{}</p><p>{}</p><p class=x>{}</p><p>end {}</p></article>"
+    rows = [(i, "http://prose.example/", page.format(own(i), said, sold, i)) for i in range(40)]
+    got = htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"{own(i)}\n{said}\nend {i}" for i in range(40)}
+
+
+def test_counts_of_subtrees(spark):
+    """Templates against counts in plain dictionaries, on random sets of subtrees with copies of pages."""
+    rng = random.Random(5)
+    rows = []
+    for page in range(400):
+        site, article = rng.choice([1, 1, 1, 2, 3]), rng.choice([0, rng.randrange(1, 150)])
+        boxes = rng.sample(range(100, 112), rng.randrange(4)) if article else []
+        brief = rng.sample(range(200, 206), rng.randrange(3)) if article else []
+        rows.append((site, page, rng.sample(range(1, 30), rng.randrange(6)), article, article % 40, boxes, brief))
+    rows += [(1, page, [1, 2], 0, 0, [], []) for page in [900] * 9]
+    # equal articles have equal boxes
+    known = {}
+    rows = [(*r[:4], r[4], *known.setdefault((r[0], r[3]), (r[5], r[6]))) for r in rows]
+    schema = "site long, page long, hashes array<long>, article long, sketch long, boxes array<long>, brief array<long>"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    seen = {}
+    for site, page, hashes, *_ in {(r[0], r[1]): r for r in rows}.values():
+        for h in hashes:
+            seen.setdefault((site, h), set()).add(page)
+    want = {k for k, pages in seen.items() if len(pages) >= 5}
+    outer = htmlmain.site_templates(df, 5)
+    assert {tuple(r) for r in outer.collect()} == want and want
+
+    of, articles = {}, {}
+    for site, _, _, article, sketch, boxes, brief in rows:
+        if article:
+            articles.setdefault(site, set()).add(article)
+            for h in [*boxes, *brief]:
+                of.setdefault((site, h), {})[article] = sketch
+    inner = {
+        (site, h)
+        for (site, h), found in of.items()
+        if len(found) >= 8 and 2 * len(set(found.values())) >= len(found) and (h < 200 or 2 * len(found) >= len(articles[site]))
+    }
+    templates = htmlmain.article_templates(df, 8)
+    assert {tuple(r) for r in templates.collect()} == inner and inner
+
+    all_of = want | inner
+    gone = {}
+    for site, page, hashes, article, _, boxes, brief in rows:
+        own = {h for h in [*([] if article else hashes), *boxes, *brief] if (site, h) in all_of}
+        if own:
+            gone[site, page] = own
+    got = htmlmain.removed_subtrees(df, outer.union(templates)).collect()
+    assert {(r.site, r.page): set(r.removed) for r in got} == gone and len(got) == len(gone)
+
+
 def archive_rows(spark):
     rows = [(i, f"http://x/{i}\r\nForged: 1", f"page {i % 7} é" * (i % 5)) for i in range(60)]
     rows += [(3, "again", "page 3 é" * 3), (70, None, None), (71, "u", ""), (None, "u", "page 1 é"), (72, "u", "z" * 300_000)]
