@@ -14,7 +14,7 @@ from lodgeframe.operators.windows import change_flags, monthly_changes
 from lodgeframe.queries.registry import Tables, query, r6, text
 from lodgeframe.session import scratch_path
 from lodgeframe.sources.sinks import avro_schema, payload_columns, peek_records, write_records
-from lodgeframe.sources.tables import read_csv, write_csv
+from lodgeframe.sources.tables import read_csv, read_stage, update_stage, write_csv, write_stage
 from lodgeframe.streaming.publish import publish_stream
 from lodgeframe.streaming.unique import unique_stream
 
@@ -148,6 +148,27 @@ def src_csv_roundtrip(t: Tables) -> DataFrame:
     return read_csv(t.spark, path, t.documents.schema)
 
 
+@query(
+    "stage_update",
+    """WITH o AS (SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderstatus, o_totalprice FROM orders),
+    again AS (SELECT * FROM o WHERE year % 2 = 1 AND o_orderstatus = 'F'),
+    stage AS (SELECT * FROM o WHERE year IS NULL OR year NOT IN (SELECT year FROM again) UNION ALL SELECT * FROM again),
+    rewritten AS (SELECT year, count(*) AS rewritten FROM again GROUP BY year)
+    SELECT year, count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi, any_value(rewritten) AS rewritten
+    FROM stage LEFT JOIN rewritten USING (year) GROUP BY year""",
+)
+def stage_update(t: Tables) -> DataFrame:
+    """Orders staged by year; of odd years only finished orders are handed over again, which replaces those years."""
+    path = scratch_path(t.spark, "orders")
+    orders = t.orders.select(F.year("o_orderdate").alias("year"), "o_orderstatus", "o_totalprice")
+    write_stage(orders, path, ["year"])
+    again = orders.where((F.col("year") % 2 == 1) & (F.col("o_orderstatus") == "F"))
+    rewritten = update_stage(again, path, ["year"]).withColumnRenamed("n", "rewritten")
+    prices = [F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi")]
+    years = read_stage(t.spark, path).groupBy("year").agg(F.count(F.lit(1)).alias("n"), *prices)
+    return years.join(rewritten, "year", "left")
+
+
 @query(
     "sink_roundtrip",
     "SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id, event_type, value FROM events",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodgeframe.session import scratch_path
+
 
 def read_csv(
     spark: SparkSession,
@@ -54,6 +56,24 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return path
 
 
+def update_stage(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Replace the partitions of a stage that ``df`` has rows of, and return (partition columns, n): what was rewritten.
+
+    All other partitions stay as they are, so a rerun of one month writes that month only. The rows are written
+    aside first: ``df`` may read the stage that it updates, a run that fails leaves the stage as it was, and readers
+    can meet a change only while finished files are moved in. An empty ``df`` changes nothing. Null and the
+    empty text are one partition, as in all folders that Spark names by value.
+    """
+    if not partition_by:
+        raise ValueError("a stage is updated by its partition columns")
+    spark = df.sparkSession
+    aside = scratch_path(spark, "stage")
+    df.write.partitionBy(*partition_by).parquet(aside)
+    rows = spark.read.schema(df.schema).parquet(aside).select(*[f"`{c}`" for c in df.columns])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return rows.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
+
+
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -42,6 +42,29 @@ def test_partitioned_stage_prunes(spark, tmp_path):
     assert rows(got.select("id")) == [(1,)]
 
 
+def test_a_rerun_replaces_its_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    first = spark.createDataFrame([(1, "a", "01"), (2, "b", "02"), (3, "c", "02"), (4, "d", None)], "id long, v string, month string")
+    assert rows(tables.update_stage(first, path, ["month"])) == rows(first.groupBy("month").agg(F.count("*").alias("n")))
+    kept = {p.name: p.read_bytes() for p in (tmp_path / "stage" / "month=01").glob("*.parquet")}
+    again = spark.createDataFrame([(2, "new", "02"), (5, "e", "03")], first.schema)
+    assert sorted(tuple(r) for r in tables.update_stage(again, path, ["month"]).collect()) == [("02", 1), ("03", 1)]
+    stage = spark.read.schema(first.schema).parquet(path)
+    want = [(1, "a", "01"), (2, "new", "02"), (4, "d", None), (5, "e", "03")]
+    assert sorted(tuple(r) for r in stage.collect()) == want
+    assert {p.name: p.read_bytes() for p in (tmp_path / "stage" / "month=01").glob("*.parquet")} == kept
+
+    # rows that are read from the stage itself, no rows at all, a run that fails
+    tables.update_stage(stage.where("month = '02'").withColumn("v", F.upper("v")), path, ["month"])
+    assert tables.update_stage(stage.limit(0), path, ["month"]).count() == 0
+    with pytest.raises(Exception, match="broken"):
+        tables.update_stage(stage.withColumn("v", F.raise_error(F.lit("broken")).cast("string")), path, ["month"])
+    stage = spark.read.schema(first.schema).parquet(path)
+    assert sorted(tuple(r) for r in stage.collect()) == [(1, "a", "01"), (2, "NEW", "02"), (4, "d", None), (5, "e", "03")]
+    with pytest.raises(ValueError):
+        tables.update_stage(first, path, [])
+
+
 def test_avro_schema(spark):
     df = spark.createDataFrame([], "a bigint, b int, c double, d boolean, e string, f array<string>, g timestamp, h date, i float, j decimal(5,2)")
     got = json.loads(sinks.avro_schema(df, "gold", "ns"))
