@@ -60,8 +60,8 @@ def update_stage(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataF
     """Replace the partitions of a stage that ``df`` has rows of, and return (partition columns, n): what was rewritten.
 
     All other partitions stay as they are, so a rerun of one month writes that month only. The rows are written
-    aside first: ``df`` may read the stage that it updates, a run that fails leaves the stage as it was, and readers
-    can meet a change only while finished files are moved in. An empty ``df`` changes nothing. Null and the
+    aside first: ``df`` may read the stage that it updates, rows that cannot be computed leave the stage as it was, and
+    readers can meet a change only while finished folders are moved in, one by one. An empty ``df`` changes nothing. Null and the
     empty text are one partition, as in all folders that Spark names by value.
     """
     if not partition_by:
