@@ -45,7 +45,7 @@ def test_partitioned_stage_prunes(spark, tmp_path):
 def test_a_rerun_replaces_its_partitions_only(spark, tmp_path):
     path = str(tmp_path / "stage")
     first = spark.createDataFrame([(1, "a", "01"), (2, "b", "02"), (3, "c", "02"), (4, "d", None)], "id long, v string, month string")
-    assert rows(tables.update_stage(first, path, ["month"])) == rows(first.groupBy("month").agg(F.count("*").alias("n")))
+    assert {tuple(r) for r in tables.update_stage(first, path, ["month"]).collect()} == {("01", 1), ("02", 2), (None, 1)}
     kept = {p.name: p.read_bytes() for p in (tmp_path / "stage" / "month=01").glob("*.parquet")}
     again = spark.createDataFrame([(2, "new", "02"), (5, "e", "03")], first.schema)
     assert sorted(tuple(r) for r in tables.update_stage(again, path, ["month"]).collect()) == [("02", 1), ("03", 1)]
@@ -57,6 +57,7 @@ def test_a_rerun_replaces_its_partitions_only(spark, tmp_path):
     # rows that are read from the stage itself, no rows at all, a run that fails
     tables.update_stage(stage.where("month = '02'").withColumn("v", F.upper("v")), path, ["month"])
     assert tables.update_stage(stage.limit(0), path, ["month"]).count() == 0
+    stage = spark.read.schema(first.schema).parquet(path)  # the files that were replaced are gone
     with pytest.raises(Exception, match="broken"):
         tables.update_stage(stage.withColumn("v", F.raise_error(F.lit("broken")).cast("string")), path, ["month"])
     stage = spark.read.schema(first.schema).parquet(path)
