@@ -64,6 +64,34 @@ def _scale(deviation: Column, noise: Noise) -> Column:
     return F.when(unknown, F.lit(noise.fallback)).otherwise(deviation) * F.lit(noise.share)
 
 
+def _fill(df: DataFrame, stats: DataFrame, names: list[str], keys: list[str], noise: Noise | None) -> DataFrame:
+    """Fills nulls from a table of (keys, _m0, _s0, _m1, ...): medians and, where noise wants them, deviations."""
+    joined = attach_by_key(df, stats, keys)
+    filled = {}
+    for i, name in enumerate(names):
+        spread = _scale(F.col(f"_s{i}"), noise) if noise is not None and noise.fixed is None else None
+        filled[name] = _filled(name, F.col(f"_m{i}"), spread, noise)
+    return joined.withColumns(filled).select(*df.columns)
+
+
+def impute_counted(
+    df: DataFrame,
+    targets: str | Sequence[str],
+    group: str | Sequence[str],
+    statistics: DataFrame,
+    noise: Noise | None = None,
+) -> DataFrame:
+    """``impute_median`` from the table of ``counted_statistics``, which serves many imputations at once."""
+    keys, names = _keys(group), [targets] if isinstance(targets, str) else list(targets)
+    own = statistics.where(F.col("_column").isin(names)).dropna(subset=keys)
+    picks = [
+        F.max(F.when(F.col("_column") == name, F.col(c))).alias(f"{short}{i}")
+        for i, name in enumerate(names)
+        for short, c in (("_m", "_median"), ("_s", "_spread"))
+    ]
+    return _fill(df, own.groupBy(*keys).agg(*picks), names, keys, noise)
+
+
 def impute_median(
     df: DataFrame,
     targets: str | Sequence[str],
@@ -86,13 +114,7 @@ def impute_median(
     if noise is not None and noise.fixed is None:
         spreads = {f"_s{i}": F.stddev_samp(F.col(n).cast("double")) for i, n in enumerate(names)}
     medians = {f"_m{i}": name for i, name in enumerate(names)}
-    stats = group_medians(base, medians, keys, spreads)
-    joined = attach_by_key(df, stats, keys)
-    filled = {}
-    for i, name in enumerate(names):
-        spread = _scale(F.col(f"_s{i}"), noise) if spreads else None
-        filled[name] = _filled(name, F.col(f"_m{i}"), spread, noise)
-    out = joined.withColumns(filled).select(*df.columns)
+    out = _fill(df, group_medians(base, medians, keys, spreads), names, keys, noise)
     if global_fallback:
         rest = {name: quantile_row(out, name, {"m": 0.5})["m"] for name in names}
         out = out.withColumns({n: F.coalesce(n, m) for n, m in rest.items()})

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.operators.selection import ALL, holds, select_ranks
+from lodgeframe.operators.selection import ALL, COUNT, holds, select_counted, select_ranks
 from lodgeframe.operators.sizing import attach_by_key
 
 _NAME = "_column"
@@ -21,11 +21,11 @@ def number(c: str | Column) -> Column:
     return F.nanvl((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(None).cast("double"))
 
 
-def _picked(values: DataFrame, quantiles: Mapping[str, float], by: list[str]) -> DataFrame:
+def _picked(values: DataFrame, quantiles: Mapping[str, float], by: list[str], select=select_ranks) -> DataFrame:
     """The quantiles of ``_v`` per group. Only the few rows that hold a wanted rank are grouped again."""
     places = [f"(({ALL} - 1) * {float(q)!r}D)" for q in quantiles.values()]
     around = [(f"floor({place})", f"floor({place}) + 1") for place in places]
-    found = select_ranks(values, by, [rank for pair in around for rank in pair])
+    found = select(values, by, [rank for pair in around for rank in pair])
     picks = []
     for i, (place, pair) in enumerate(zip(places, around)):
         picks += [F.expr(f"max(CASE WHEN {holds(rank)} THEN _v END)").alias(f"_{side}{i}") for side, rank in zip("ab", pair)]
@@ -92,6 +92,41 @@ def group_medians(
     return attach_by_key(own, wide, by).select(*by, *medians, *extras)
 
 
+def count_values(df: DataFrame, groupings: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(_column, keys, _v, _m): how many rows of a group have each value, for many columns grouped in their own ways.
+
+    ``groupings`` maps a column to its group keys; keys that are not its own are null. One aggregate over one scan
+    serves all groupings, combined before its shuffle: what is left are values, not rows. Null and NaN are counted as null.
+    """
+    keys = list(dict.fromkeys(k for by in groupings.values() for k in by))
+    cells = [
+        F.struct(
+            F.lit(name).alias(_NAME),
+            *(F.col(k) if k in by else F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys),
+            number(name).alias("_v"),
+        )
+        for name, by in groupings.items()
+    ]
+    return df.select(F.inline(F.array(*cells))).groupBy(_NAME, *keys, "_v").agg(F.count(F.lit(1)).alias(COUNT))
+
+
+def counted_statistics(cells: DataFrame) -> DataFrame:
+    """(_column, keys, _median, _spread): exact median and sample deviation of every group of ``count_values``.
+
+    Null values take no part; groups without any other are left out. The deviation of a single value is null.
+    """
+    by = [c for c in cells.columns if c not in ("_v", COUNT)]
+    # Fields of a struct compare with null equal to null, so one key serves groups with keys of their own.
+    known = cells.where("_v is not null").select(F.struct(*by).alias("_g"), "_v", COUNT)
+    medians = _picked(known, {"_median": 0.5}, ["_g"], select_counted)
+    means = known.groupBy("_g").agg((F.sum(F.col("_v") * F.col(COUNT)) / F.sum(COUNT)).alias("_mean"))
+    off = F.col("_v") - F.col("_mean")
+    rows = F.sum(COUNT)
+    spread = F.when(rows > 1, F.sqrt(F.sum(off * off * F.col(COUNT)) / (rows - 1)))
+    spreads = attach_by_key(known, means, ["_g"], "inner").groupBy("_g").agg(spread.alias("_spread"))
+    return attach_by_key(medians, spreads, ["_g"], "inner").select("_g.*", "_median", "_spread")
+
+
 def quantile_row(
     df: DataFrame,
     value: str,

@@ -66,7 +66,12 @@ def select_ranks(values: DataFrame, by: Sequence[str], ranks: Sequence[str]) ->
     """
     group = list(by) or ["_all"]
     rows = values if by else values.withColumn("_all", F.lit(0))
-    cells = rows.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias(COUNT))
+    return select_counted(rows.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias(COUNT)), group, ranks).select(*by, "_v", COUNT, SEEN, ALL)
+
+
+def select_counted(cells: DataFrame, by: Sequence[str], ranks: Sequence[str]) -> DataFrame:
+    """The same from values that are counted already: ``cells`` holds ``by``, ``_v`` and ``_m``, a value once a group."""
+    group = list(by)
     placed = cells.withColumn("_bin", octave_bin("_v"))
     # a group has a bounded number of bins, whatever it has in rows
     whole = Window.partitionBy(*group)
@@ -78,4 +83,4 @@ def select_ranks(values: DataFrame, by: Sequence[str], ranks: Sequence[str]) ->
     narrow = _holding(parts, [*group, "_bin"], "_part", ranks, "_from")
     narrow = narrow.select(*group, "_bin", "_part", (F.col(SEEN) - F.col(COUNT)).alias("_ahead"))
     few = attach_by_key(left, narrow, [*group, "_bin", "_part"], "inner")
-    return _holding(few, [*group, "_bin", "_part"], "_v", ranks, "_ahead").select(*by, "_v", COUNT, SEEN, ALL)
+    return _holding(few, [*group, "_bin", "_part"], "_v", ranks, "_ahead").select(*group, "_v", COUNT, SEEN, ALL)

@@ -13,8 +13,10 @@ from lodgeframe.functions.clean import clean_currency, clip, cond_assign, map_bo
 from lodgeframe.functions.dates import days_since
 from lodgeframe.functions.text import categorize_text, clean_text, keyword_flag, list_size, parse_list, printed_list
 from lodgeframe.operators.encode import categories, one_hot_list
-from lodgeframe.operators.impute import Noise, impute_median, impute_mode
+from lodgeframe.operators.impute import Noise, impute_counted
 from lodgeframe.operators.quality import Rule, ranges
+from lodgeframe.operators.quantiles import count_values, counted_statistics
+from lodgeframe.operators.sizing import attach_by_key
 from lodgeframe.operators.tables import (
     drop_columns,
     log1p_columns,
@@ -134,19 +136,30 @@ def typed(raw: DataFrame, city: City = City()) -> DataFrame:
 def clean(raw: DataFrame, city: City = City()) -> DataFrame:
     """Types and imputations.
 
-    All group statistics are read from one typed copy of the few columns they need, so the raw table is
-    parsed once for them and once for the result.
+    All statistics come from one count of values over one scan of the typed columns; what is written of it is a row
+    a group, so whatever follows reads a small table instead of repeating the count.
     """
     base = typed(raw, city)
     size, status, reply = "accommodates", "host_is_superhost", "host_response_time"
     acceptance, response = "host_acceptance_rate", "host_response_rate"
     noise = Noise("id", seed=city.noise_seed)
-    known = checkpointed(base.select(size, "bedrooms", "beds", status, acceptance, reply, response))
-    df = impute_median(base, ["bedrooms", "beds"], size, source=known)
-    df = impute_median(df, acceptance, status, noise, source=known)
-    df = impute_mode(df, reply, status, source=known)
-    timed = impute_mode(known.select(status, reply, response), reply, status)
-    df = impute_median(df, response, [status, reply], noise, source=timed)
+    cells = count_values(base, {"bedrooms": [size], "beds": [size], acceptance: [status], response: [status, reply]})
+    times = cells.where((F.col("_column") == response) & F.col(reply).isNotNull()).groupBy(status, reply).agg(F.sum("_m").alias("_m"))
+    modes = times.groupBy(status).agg(F.min_by(reply, F.struct(-F.col("_m"), F.col(reply))).alias("_mode"))
+    # the response rate is grouped by filled reply times; they are filled on the counts
+    late = F.when(F.col("_column") == response, F.coalesce(reply, "_mode")).otherwise(F.col(reply))
+    timed = attach_by_key(cells, modes, [status]).withColumn(reply, late).drop("_mode")
+    recounted = timed.groupBy("_column", size, status, reply, "_v").agg(F.sum("_m").alias("_m"))
+    named = counted_statistics(recounted)
+    every = named.unionByName(
+        modes.where(F.col(status).isNotNull()).select(F.lit("mode").alias("_column"), status, F.col("_mode").alias(reply)), True
+    )
+    known = checkpointed(every)
+    df = impute_counted(base, ["bedrooms", "beds"], size, known)
+    df = impute_counted(df, acceptance, status, known, noise)
+    filling = known.where("_column = 'mode'").select(status, F.col(reply).alias("_mode"))
+    df = attach_by_key(df, filling, [status]).withColumn(reply, F.coalesce(reply, "_mode")).drop("_mode")
+    df = impute_counted(df, response, [status, reply], known, noise)
     rates = {c: clip(F.col(c), 0.0, 100.0) / F.lit(100.0) for c in (response, acceptance)}
     return df.withColumns({**rates, **{c: map_bool(F.col(c)) for c in present(df, FLAG_COLUMNS)}})
 

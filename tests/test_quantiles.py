@@ -142,3 +142,31 @@ def test_a_hot_group_is_not_one_task(spark):
     table = Q.exact_quantiles(df, "v", {"m": 0.5}, ["k"])
     assert rows(table) == [("hot", pytest.approx(np.median(np.sqrt(np.arange(200_000))), rel=1e-12))]
     assert "RangePartitioning" not in plan(table)
+
+
+def test_counted_statistics_of_many_groupings(spark):
+    nan = float("nan")
+    rows = [(i, i % 3 if i % 5 else None, "ab"[i % 2], [1.5 * (i % 7), None, nan][0 if i % 4 else i % 3], float(i) if i != 9 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, size int, `kind` string, x double, y double")
+    cells = Q.count_values(df, {"x": ["size"], "y": ["size", "kind"]})
+    got = {(r["_column"], r["size"], r["kind"]): (r["_median"], r["_spread"]) for r in Q.counted_statistics(cells).collect()}
+    frame = df.toPandas()
+    want = {}
+    for size, part in frame.groupby("size", dropna=False):
+        size = None if size != size else int(size)
+        want["x", size, None] = (part.x.median(), part.x.std())
+        for kind, piece in part.groupby("kind"):
+            want["y", size, kind] = (piece.y.median(), piece.y.std())
+    assert got.keys() == want.keys()
+    for key, (median, spread) in want.items():
+        assert got[key][0] == median and abs(got[key][1] - spread) < 1e-9
+    single = spark.createDataFrame([(1, "a", 4.0), (2, "a", None)], "size int, kind string, x double")
+    only = Q.counted_statistics(Q.count_values(single, {"x": ["size"]})).collect()
+    assert [(r["size"], r["_median"], r["_spread"]) for r in only] == [(1, 4.0, None)]
+    assert Q.counted_statistics(Q.count_values(single.limit(0), {"x": ["size"]})).collect() == []
+
+
+def test_counted_statistics_count_in_one_scan(spark):
+    df = spark.range(50).selectExpr("id % 4 AS a", "id % 3 AS b", "CAST(id AS DOUBLE) AS x", "CAST(id * 2 AS DOUBLE) AS y")
+    plan = Q.count_values(df, {"x": ["a"], "y": ["b"]})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Aggregate") == 1
