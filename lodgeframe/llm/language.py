@@ -17,8 +17,8 @@ from lodgeframe.llm.wordspan import batches
 
 UNDETERMINED = "und"
 GAP, UNKNOWN, PAD, LETTERS = 0, 1, 2, 3  # symbols; letters of the samples follow
-MOST_SYMBOLS = 256
-LANE = 256  # symbols parsed in step; a phrase ends where a lane ends
+DENSE = 64  # symbols of a language, its most frequent letters, whose transitions are looked up without a search
+LANE = 256  # symbols parsed in step; phrases run on from lane to lane
 
 
 @dataclass(frozen=True)
@@ -61,36 +61,119 @@ def fit(
     return Samples(tuple(sorted(texts.items())))
 
 
-def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """next[state, symbol] of the automaton of all substrings, -1 where there is none; state 0 is the empty one."""
-    n = len(symbols)
-    nxt = np.full((2 * n + 2, width), -1, dtype=np.int32)
-    link, length = [-1] * (2 * n + 2), [0] * (2 * n + 2)
-    last, size = 0, 1
+def suffix_automaton(symbols: np.ndarray) -> list[dict[int, int]]:
+    """The transitions of the automaton of all substrings, by state; state 0 is the empty one."""
+    nxt: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
     for c in symbols.tolist():
-        cur = size
-        size += 1
-        length[cur] = length[last] + 1
+        cur = len(nxt)
+        nxt.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         p = last
-        while p >= 0 and nxt[p, c] < 0:
-            nxt[p, c] = cur
+        while p >= 0 and c not in nxt[p]:
+            nxt[p][c] = cur
             p = link[p]
-        if p < 0:
-            link[cur] = 0
-        else:
-            q = int(nxt[p, c])
+        if p >= 0:
+            q = nxt[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone = size
-                size += 1
-                length[clone], link[clone], nxt[clone] = length[p] + 1, link[q], nxt[q]
-                while p >= 0 and nxt[p, c] == q:
-                    nxt[p, c] = clone
+                clone = len(nxt)
+                nxt.append(dict(nxt[q]))
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p >= 0 and nxt[p].get(c) == q:
+                    nxt[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    return nxt[:size]
+    return nxt
+
+
+class Transitions:
+    """The automaton of one sample as arrays: a table for the most frequent symbols, sorted keys for all others.
+
+    A sample of n symbols has at most 2n states and 3n transitions, so a language takes at most 2n * DENSE * 4 bytes
+    for the table (17 MB for 32 768 characters) and 12 bytes for each other transition, whatever its alphabet.
+    """
+
+    def __init__(self, sample: np.ndarray, width: int) -> None:
+        states = suffix_automaton(sample)
+        self.width, self.dense = width, min(width, DENSE)
+        of = np.repeat(np.arange(len(states)), [len(s) for s in states])
+        symbol = np.fromiter((c for s in states for c in s), dtype=np.int64, count=len(of))
+        to = np.fromiter((t for s in states for t in s.values()), dtype=np.int32, count=len(of))
+        table = np.full((len(states), self.dense), -1, dtype=np.int32)
+        near = symbol < self.dense
+        table[of[near], symbol[near]] = to[near]
+        table[:, UNKNOWN], table[:, PAD] = -1, np.arange(len(states))
+        self.flat = table.ravel()
+        keys = of[~near] * width + symbol[~near]
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], to[~near][order]
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next states, -1 where there is none."""
+        if self.width <= self.dense:
+            return self.flat[state * self.dense + symbol]
+        far = np.flatnonzero(symbol >= self.dense)
+        out = self.flat[state * self.dense + np.where(symbol < self.dense, symbol, UNKNOWN)]
+        if len(far) and len(self.keys):
+            wanted = state[far] * self.width + symbol[far]
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            out[far] = np.where(self.keys[at] == wanted, self.to[at], -1)
+        return out
+
+    def walk(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after a symbol each, and whether a phrase starts with it.
+
+        The longest match goes on, or ends before the symbol; a symbol that the sample lacks is a phrase by itself.
+        """
+        to = self.step(state, symbol)
+        failed = np.flatnonzero(to < 0)
+        starts = state == 0
+        if len(failed):
+            starts[failed] = True
+            to[failed] = np.maximum(self.step(np.zeros(len(failed), dtype=np.int64), symbol[failed]), 0)
+        return to.astype(np.int64), starts & (symbol != PAD)
+
+    def phrases(self, square: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        """The number of phrases that start in each lane (column); ``follows`` tells lanes that go on with the one before.
+
+        All lanes are parsed from their start first. Then the last match of a lane runs on into the next one until both
+        parses start a phrase at the same symbol, from where they agree. Where they never do, the next lane is done
+        again with the state that arrives there, so the result is that of parsing the whole text in one go.
+        """
+        lanes = square.shape[1]
+        begun = np.zeros(square.shape, dtype=bool)
+        state = np.zeros(lanes, dtype=np.int64)
+        for i, row in enumerate(square):
+            state, begun[i] = self.walk(state, row)
+        alone, end = state, state.copy()  # the states after each lane: parsed by itself, and as far as known
+        counts = begun.sum(0)
+        total, arrived = counts.copy(), np.zeros(lanes, dtype=np.int64)
+        redo = np.flatnonzero(follows)
+        redo = redo[end[redo - 1] != 0]
+        while len(redo):
+            arrived[redo] = end[redo - 1]
+            total[redo], end[redo] = counts[redo], alone[redo]
+            on, state = redo, arrived[redo]
+            for i, row in enumerate(square):
+                state, starts = self.walk(state, row[on])
+                first = begun[i, on]
+                total[on] += starts.astype(np.int64) - first
+                apart = ~(starts & first)
+                on, state = on[apart], state[apart]
+                if not len(on):
+                    break
+            end[on] = state
+            # only a lane whose end has changed changes what arrives in the next one
+            after = redo + 1
+            after = after[after < lanes]
+            redo = after[follows[after] & (end[after - 1] != arrived[after])]
+        return total
 
 
 class Parser:
@@ -98,22 +181,25 @@ class Parser:
 
     def __init__(self, samples: Samples) -> None:
         self.names = [name for name, _ in samples.texts]
-        seen = Counter(c for _, text in samples.texts for c in text.lower() if c.isalpha())
-        letters = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: MOST_SYMBOLS - LETTERS])
-        self.width = LETTERS + len(letters)
-        self.symbol = np.full(0x110000, GAP, dtype=np.uint8)
+        own = [Counter(c for c in text.lower() if c.isalpha()) for _, text in samples.texts]
+        letters = sorted(set().union(*own))
+        self.symbol = np.full(0x110000, GAP, dtype=np.int32)
         self.symbol[code_point_classes() == LETTER] = UNKNOWN
         for i, c in enumerate(letters):
             for form in {c, c.upper(), c.title()}:
                 if len(form) == 1:
                     self.symbol[ord(form)] = LETTERS + i
-        self.tables, self.bits = [], []
-        for _, text in samples.texts:
+        number = {c: LETTERS + i for i, c in enumerate(letters)}
+        self.local, self.parsers, self.bits = [], [], []
+        for (_, text), seen in zip(samples.texts, own):
+            # symbols of the language: its own letters, the most frequent ones first
+            local = np.full(LETTERS + len(letters), UNKNOWN, dtype=np.int64)
+            local[[GAP, PAD]] = GAP, PAD
+            for i, c in enumerate(sorted(seen, key=lambda c: (-seen[c], c))):
+                local[number[c]] = LETTERS + i
             coded, _ = self._coded([text])
-            table = suffix_automaton(coded, self.width)
-            table[:, PAD] = np.arange(len(table))
-            table[:, UNKNOWN] = -1
-            self.tables.append(table)
+            self.local.append(local)
+            self.parsers.append(Transitions(local[coded], LETTERS + len(seen)))
             self.bits.append(np.log2(max(len(coded), 2)))
 
     def _coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,33 +221,17 @@ class Parser:
         lanes = -(-sizes // LANE)
         before = np.cumsum(lanes) - lanes
         inside = np.arange(len(symbols)) - np.repeat(ends - sizes, sizes)
-        square = np.full((LANE, int(lanes.sum())), PAD, dtype=np.intp)
+        square = np.full((LANE, int(lanes.sum())), PAD, dtype=np.int32)
         square[inside % LANE, np.repeat(before, sizes) + inside // LANE] = symbols
         text_of = np.repeat(np.arange(len(texts)), lanes)
-        out = np.zeros((len(texts), len(self.tables)))
-        for k, (table, bits) in enumerate(zip(self.tables, self.bits)):
-            phrases = self._phrases(table, square)
+        follows = np.zeros(len(text_of), dtype=bool)
+        follows[1:] = text_of[1:] == text_of[:-1]
+        out = np.zeros((len(texts), len(self.parsers)))
+        for k, (parser, local, bits) in enumerate(zip(self.parsers, self.local, self.bits)):
+            phrases = parser.phrases(local[square], follows)
             out[:, k] = np.bincount(text_of, weights=phrases, minlength=len(texts)) * bits / np.maximum(sizes, 1)
         return out, lettered
 
-    def _phrases(self, table: np.ndarray, square: np.ndarray) -> np.ndarray:
-        """The number of longest matches of every lane (column). A symbol unknown to the language is one by itself."""
-        flat = table.ravel()
-        state = np.zeros(square.shape[1], dtype=np.intp)
-        phrases = np.zeros(square.shape[1], dtype=np.int64)
-        for row in square:
-            to = flat[state * self.width + row]
-            failed = np.flatnonzero(to < 0)
-            if len(failed):
-                # the match ends before this symbol; where it was empty, the symbol itself is the phrase
-                phrases[failed] += 1
-                again = flat[row[failed]]
-                lost = (state[failed] != 0) & (again < 0)
-                phrases[failed[lost]] += 1
-                to[failed] = np.maximum(again, 0)
-            state = to.astype(np.intp)
-        return phrases + (state != 0)
-
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language of every text, and how much cheaper it is than the second (0 to 1)."""
         none = np.array([t is None for t in texts])

@@ -24,10 +24,10 @@ def spoken(lang: str, seed: int, n: int) -> str:
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=40), st.lists(st.integers(0, 3), min_size=1, max_size=40))
 def test_automaton_knows_exactly_the_substrings(text, query):
-    table = L.suffix_automaton(np.array(text), 4)
+    states = L.suffix_automaton(np.array(text))
     state, inside = 0, True
     for i, c in enumerate(query):
-        state = int(table[state, c]) if inside else -1
+        state = states[state].get(c, -1) if inside else -1
         inside = inside and state >= 0
         part = query[: i + 1]
         assert inside == any(text[k : k + len(part)] == part for k in range(len(text)))
@@ -46,12 +46,33 @@ def plain_phrases(text: str, sample: str) -> int:
 
 
 def test_parser_counts_longest_matches():
-    sample, rng = spoken("aa", 1, 300), random.Random(3)
-    parser = L.Parser(L.Samples((("aa", sample),)))
-    for _ in range(40):
-        text = spoken(rng.choice(["aa", "bb"]), rng.randrange(9), rng.randint(1, 12))[: L.LANE]
-        costs, _ = parser.costs([text])
-        assert round(costs[0, 0] * len(text) / parser.bits[0]) == plain_phrases(text, sample)
+    """Whole texts of many lanes, in several languages, against longest matches found by search."""
+    rng = random.Random(3)
+    many = "".join(chr(0x4E00 + i) for i in range(3 * L.DENSE))
+    drawn = "".join(rng.choice(many) for _ in range(900))
+    samples = {"aa": spoken("aa", 1, 300), "bb": spoken("bb", 2, 300), "cc": drawn, "dd": "xyxx xy" * 9}
+    parser = L.Parser(L.Samples(tuple(samples.items())))
+    texts = [spoken(rng.choice(["aa", "bb"]), rng.randrange(9), rng.randint(1, 400)) for _ in range(12)]
+    # phrases over many lanes, phrases that never fall in step with the lanes, letters outside the dense table
+    texts += [samples["aa"], samples["aa"] * 3, "x" * 2000, "xyx" * 700, drawn * 2, drawn[5:700] + "q" + drawn[9:800], "q" * 600, "x"]
+    assert max(map(len, texts)) > 4 * L.LANE and len(set(many)) > L.DENSE
+    texts = [" ".join(t.split()) for t in texts]
+    costs, lettered = parser.costs(texts)
+    assert lettered.all()
+    names, _ = parser.predict(texts)
+    for row, text, name in zip(costs, texts, names):
+        want = [plain_phrases(text, sample) * bits / len(text) for sample, bits in zip(samples.values(), parser.bits)]
+        assert np.allclose(row, want, rtol=1e-12, atol=0)
+        assert name == list(samples)[int(np.argmin(want))]
+    alone = np.vstack([parser.costs([t])[0] for t in texts])
+    assert np.allclose(alone, costs)
+
+
+def test_every_letter_of_a_sample_counts():
+    """More letters than any fixed alphabet would hold, told apart by the rare ones."""
+    wide = {n: "".join(chr(0x4E00 + 2 * i + k) for i in range(2000)) for k, n in enumerate(["even", "odd"])}
+    parser = L.Parser(L.Samples(tuple(wide.items())))
+    assert parser.predict([wide["odd"][1500:1600], wide["even"][1900:]])[0] == ["odd", "even"]
 
 
 def test_held_out_accuracy_and_rejection(spark):
