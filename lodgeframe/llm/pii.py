@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgeframe.llm.names import free_name
 from lodgeframe.session import checkpointed
 
 # The base patterns. Possessive repeats and the conditions at the start find the same matches
@@ -311,16 +312,17 @@ def mask(df: DataFrame, key: str = "doc_id", text: str = "text", **scoring) -> D
     All columns stay, rows without spans are unchanged.
     """
     found = find_pii(df, key, text, **scoring)
+    k, r, own, at_, done_ = (free_name(n, df.columns) for n in ("_k", "_r", "_own", "_spans", "_masked"))
 
     def named(kind: str) -> Callable[[Column], Column]:
         return lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("stop"), F.lit(kind.upper()).alias("kind"))
 
     spans = F.sort_array(F.concat(*(
-        F.transform(F.col(k), named(k)) for k in (*BASE, FOUND)
+        F.transform(F.col(kind), named(kind)) for kind in (*BASE, FOUND)
     )))
-    hits = found.where(" OR ".join(f"size({k}) > 0" for k in (*BASE, FOUND))).select(
-        F.col(key).alias("_k"), F.col("r").alias("_r"), spans.alias("_spans")
-    ).dropDuplicates(["_k", "_r"])
+    hits = found.where(" OR ".join(f"size({kind}) > 0" for kind in (*BASE, FOUND))).select(
+        F.col(key).alias(k), F.col("r").alias(r), spans.alias(at_)
+    ).dropDuplicates([k, r])
 
     def put(acc: Column, s: Column) -> Column:
         end = -s["stop"]
@@ -335,9 +337,9 @@ def mask(df: DataFrame, key: str = "doc_id", text: str = "text", **scoring) -> D
         rest = F.substring(F.col(text), acc["at"] + 1, F.length(F.col(text)))
         return F.concat(F.array_join(acc["out"], ""), rest)
 
-    masked = F.aggregate("_spans", start, put, done)
-    joined = df.withColumn("_own", F.xxhash64(text)).join(
-        hits, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_r")), "left"
+    masked = F.aggregate(at_, start, put, done)
+    joined = df.withColumn(own, F.xxhash64(text)).join(
+        hits, F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(r)), "left"
     )
-    changed = joined.withColumn("_masked", F.when(F.col("_spans").isNotNull(), masked).otherwise(F.col(text)))
-    return changed.select(*(F.col("_masked").alias(text) if c == text else F.col(c) for c in df.columns))
+    changed = joined.withColumn(done_, F.when(F.col(at_).isNotNull(), masked).otherwise(F.col(text)))
+    return changed.select(*(F.col(done_).alias(text) if c == text else F.col(c) for c in df.columns))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.llm.components import components
+from lodgeframe.llm.names import free_name
 from lodgeframe.session import checkpointed, scratch_path
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -175,9 +176,13 @@ def near_duplicates(
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of one document of each component: that with the smallest key. All columns stay.
 
-    Rows without a key stay too, since nothing can refer to them. Of rows that repeat a key one stays.
+    Rows without a key stay too, since nothing can refer to them. Of rows that repeat a key one stays, always the same:
+    that whose content, all columns together, has the lowest SHA-256.
     """
     found = near_duplicates(df, key, text)
-    kept = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    named = df.where(F.col(key).isNotNull()).join(kept, F.col(key) == F.col("_kept"), "left_semi")
-    return named.dropDuplicates([key]).unionByName(df.where(F.col(key).isNull()))
+    kept, row = free_name("_kept", df.columns), free_name("_row", df.columns)
+    names = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(kept)).distinct()
+    named = df.where(F.col(key).isNotNull()).join(names, F.col(key) == F.col(kept), "left_semi")
+    whole = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
+    one = named.groupBy(key).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(row)).select(f"{row}.*")
+    return one.unionByName(df.where(F.col(key).isNull()))

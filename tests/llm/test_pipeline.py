@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lodgeframe.llm import simhash
 from lodgeframe.llm.queries import QUERIES, SQL, vocabulary
 from tests.llm.test_language_pii import PLAIN, plain_spans
 from tests.llm.test_similarity import plain_components, plain_contamination, plain_print
@@ -60,3 +62,25 @@ def test_stages_keep_the_columns(spark):
 def test_registry():
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert set(SQL) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_columns_with_names_of_the_stages_own_stay(spark):
+    own = ["_own", "_r", "_k", "_spans", "_masked", "_kept", "_row", "_p"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    more = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in own})
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        got = stage(spark, more, SF)
+        assert got.columns == more.columns, name
+        rows = {r.doc_id: r for r in got.collect()}
+        assert all(r[c] == f"{c}{k}" for k, r in rows.items() for c in own), name
+        plain = {r.doc_id: r.text for r in stage(spark, docs, SF).collect()}
+        assert {k: r.text for k, r in rows.items()} == plain, name
+    told = corpus_pipeline.by_language(spark, more, SF)
+    assert told.columns == more.columns and all(r["_p"] == f"_p{r.doc_id}" for r in told.collect())
+
+
+def test_of_rows_that_share_a_key_always_the_same_stays(spark):
+    rows = [(1, f"text number {i} of the key, with words of its own {i * 7}", None if i % 2 else i) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = [simhash.keep_one(df.orderBy(F.rand(seed)).repartition(seed + 1)).collect() for seed in range(3)]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]
