@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.llm import bpe, decontaminate, language, pii, simhash
+from lodgeframe.llm.names import free_name
 from lodgeframe.llm.queries import vocabulary
 from lodgeframe.session import scratch_path
 
@@ -18,11 +19,12 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``lang`` becomes the predicted one. Nothing is learned from the held-out fold.
     """
     samples = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
-    told = docs.withColumn("_p", language.language(spark, F.col("text"), samples))
+    p = free_name("_p", docs.columns)
+    told = docs.withColumn(p, language.language(spark, F.col("text"), samples))
     if not samples.texts:  # nothing labelled: only whether there is a letter can be told
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    kept = told.where(F.col("_p.lang") != language.UNDETERMINED)
-    return kept.withColumn("lang", F.col("_p.lang")).drop("_p")
+    kept = told.where(F.col(p)["lang"] != language.UNDETERMINED)
+    return kept.withColumn("lang", F.col(p)["lang"]).drop(p)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +35,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents; a few quoted words do not make one contaminated."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_k"), F.col("row_hash").alias("_r")).distinct()
-    own = docs.withColumn("_own", F.xxhash64("text"))
-    return own.join(bad, F.col("doc_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_r")), "left_anti").drop("_own")
+    k, r, own = (free_name(n, docs.columns) for n in ("_k", "_r", "_own"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias(k), F.col("row_hash").alias(r)).distinct()
+    told = docs.withColumn(own, F.xxhash64("text"))
+    return told.join(bad, F.col("doc_id").eqNullSafe(F.col(k)) & (F.col(own) == F.col(r)), "left_anti").drop(own)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
