@@ -19,7 +19,7 @@ from lodgeframe.session import checkpointed
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
-SHARD_BYTES, ROLL_BYTES = 64 << 20, 256 << 20
+SHARD_BYTES, ROLL_BYTES = 64 << 20, 8 << 20  # a shard of payload, compressed several roll sizes large
 
 
 def digest(data: bytes) -> str:
