@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeframe.functions.dates import good_friday
+from lodgeframe.operators.ordered import SLICE, sliced, with_previous
 from lodgeframe.operators.sizing import attach_by_key
 
 
@@ -140,3 +141,101 @@ def range_join(
     keyed = df.where(point.isNotNull()).withColumn("_key", F.explode(keys))
     same = (F.col("_key.width") == F.col("_level")) & (F.col("_key.bin") == F.col("_bin"))
     return keyed.join(laid, same & F.col(at).between(F.col(start), F.col(end))).drop("_key", "_level", "_bin")
+
+
+def totals_after(
+    df: DataFrame,
+    at: str,
+    windows: DataFrame,
+    length: int,
+    sums: Mapping[str, str] | None = None,
+    distinct: Mapping[str, str] | None = None,
+    start: str = "start",
+    count: str = "n",
+) -> DataFrame:
+    """The windows with ``count``, sums and numbers of different values of the rows with start <= at <= start + length.
+
+    The aggregate of ``range_join`` for windows of one length, in seconds for timestamps, days for dates, else in units
+    of the column, without a row for each pair: the work grows with rows and windows, however many rows a window holds.
+    Windows without rows and null starts are left out, as by the join; null values count for ``count`` only.
+
+    Over bins as long as a window, each window is the end of a bin and the beginning of the next, so its sums are
+    two running sums put together and nothing is subtracted. A value's row stands for the starts it is the first to
+    be met from: after the value's row before it, and ``length`` before itself at most. Those stretches are disjoint, so the
+    stretches that are open at a start are the different values of its window. Running sums are sliced.
+    """
+    sums, distinct = dict(sums or {}), dict(distinct or {})
+    point, unit = _place(df, at)
+    first, other = _place(windows, start)
+    if unit != other or df.schema[at].dataType != windows.schema[start].dataType:
+        raise TypeError(f"{at} and {start} are of different kinds")
+    if length <= 0:
+        raise ValueError("length must be positive")
+    wide = F.lit(length * unit).cast("long")
+    held, kinds = ["_n", *(f"_v{i}" for i in range(len(sums)))], [f"_c{i}" for i in range(len(distinct))]
+
+    values = {f"_v{i}": F.col(c) for i, c in enumerate(sums.values())}
+    named = {f"_d{i}": F.col(c) for i, c in enumerate(distinct.values())}
+    points = df.select(point.alias("_p"), *(c.alias(k) for k, c in (values | named).items())).where("_p IS NOT NULL")
+    starts = windows.select(first.alias("_p")).where("_p IS NOT NULL")
+    tables = [
+        points.select("_p", F.lit(1).cast("long").alias("_n"), *values),
+        starts.select("_p", F.lit(True).alias("_from")),
+        starts.select((F.col("_p") + wide).alias("_p"), F.lit(True).alias("_to")),
+    ]
+    for value, kind in zip(named, kinds):
+        met = with_previous(points.select(value, "_p").where(F.col(value).isNotNull()).distinct(), value, ["_p"], ["_p"])
+        opened = F.greatest(F.col("_p") - wide, F.col("prev._p") + 1)
+        tables += [
+            met.select(opened.alias("_p"), F.lit(1).cast("long").alias(kind)),
+            met.select((F.col("_p") + 1).alias("_p"), F.lit(-1).cast("long").alias(kind)),
+        ]
+    every = tables[0]
+    for table in tables[1:]:
+        every = every.unionByName(table, True)
+    marks = every.groupBy("_p").agg(*(F.sum(c).alias(c) for c in (*held, *kinds)), *(F.max(c).alias(c) for c in ("_from", "_to")))
+    rows = sliced(marks.withColumn("_bin", F.col("_p") - F.pmod("_p", wide)), ["_p"])
+
+    def both(a: Column, b: Column) -> Column:
+        return F.coalesce(a + b, a, b)
+
+    # What other slices hold of a bin; only the first and the last bin of a slice go on in others.
+    parts = rows.groupBy(SLICE, "_bin").agg(*(F.sum(c).alias(c) for c in held))
+    same = Window.partitionBy("_bin")
+    sides = {
+        "_before": same.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1),
+        "_after": same.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1),
+    }
+    carried = parts.select(
+        F.col(SLICE), "_bin", F.count(F.lit(1)).over(same).alias("_parts"),
+        *(F.sum(c).over(w).alias(side + c) for side, w in sides.items() for c in held),
+    ).where("_parts > 1").drop("_parts")
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(SLICE).agg(F.lit(0).alias("_none"), *(F.sum(c).alias(c) for c in kinds))
+    offsets = offsets.select(SLICE, *(F.sum(c).over(earlier).alias(f"_offset{c}") for c in kinds))
+
+    inside = Window.partitionBy(SLICE, "_bin")
+    up, down, through = inside.orderBy("_p"), inside.orderBy(F.desc("_p")), Window.partitionBy(SLICE).orderBy("_p")
+    upto, downto, sofar = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) for w in (up, down, through))
+    run = rows.withColumns(
+        {
+            **{f"_open{c}": F.sum(c).over(sofar) for c in kinds},
+            **{f"_upto{c}": F.sum(c).over(upto) for c in held},
+            **{f"_downto{c}": F.sum(c).over(downto) for c in held},
+        }
+    )
+    run = run.where("_from OR _to").join(F.broadcast(carried), [SLICE, "_bin"], "left").join(F.broadcast(offsets), SLICE)
+    begun = [both(F.col(f"_downto{c}"), F.col(f"_after{c}")).alias(c) for c in held]
+    ended = [both(F.col(f"_upto{c}"), F.col(f"_before{c}")).alias(c) for c in held]
+    opened = [both(F.col(f"_open{c}"), F.col(f"_offset{c}")).alias(c) for c in kinds]
+    unknown = [F.lit(None).cast("long").alias(c) for c in kinds]
+    halves = F.array(
+        F.when(F.col("_from"), F.struct(F.col("_p").alias("_at"), *begun, *opened)),
+        F.when(F.col("_to"), F.struct((F.col("_p") - wide).alias("_at"), *ended, *unknown)),
+    )
+    met = run.select(F.inline(F.array_compact(halves))).groupBy("_at").agg(
+        F.sum("_n").alias(count),
+        *(F.sum(f"_v{i}").alias(name) for i, name in enumerate(sums)),
+        *(F.coalesce(F.max(c), F.lit(0)).alias(name) for c, name in zip(kinds, distinct)),
+    )
+    return attach_by_key(windows.withColumn("_at", first), met.where(F.col(count) > 0), ["_at"], "inner").drop("_at")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lodgeframe.functions import clean as C
 from lodgeframe.functions import dates as D
 from lodgeframe.operators import aggregates as A
-from lodgeframe.operators.lookups import event_windows, interval_join, range_join
-from lodgeframe.operators.sizing import one_row
+from lodgeframe.operators.lookups import event_windows, interval_join, range_join, totals_after
+from lodgeframe.operators.sizing import attach_by_key, one_row
 from lodgeframe.operators.windows import centred_means
 from lodgeframe.queries.registry import Tables, query, r6, shaped, text
 
@@ -200,12 +200,18 @@ def interval_join_query(t: Tables) -> DataFrame:
     FROM events JOIN w ON ts BETWEEN opens AND closes GROUP BY window_id, buyer""",
 )
 def range_join_minutes(t: Tables) -> DataFrame:
-    """What happens in the ten minutes from each purchase on."""
+    """What happens in the ten minutes from each purchase on, from running totals: no row for each pair is made."""
     bought = t.events.where("event_type = 'purchase'")
     windows = bought.selectExpr("event_id AS window_id", "user_id AS buyer", "ts AS opens", "ts + INTERVAL 10 MINUTES AS closes")
-    found = range_join(t.events, "ts", windows, [600], "opens", "closes")
-    sums = found.groupBy("window_id", "buyer").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.sum("value").alias("value"))
-    return sums.withColumn("value", r6("value"))
+    found = totals_after(t.events, "ts", windows.drop("closes"), 600, {"value": "value"}, {"users": "user_id"}, "opens")
+    keys = ["window_id", "buyer"]
+    sums = found.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("users").alias("users"), F.sum("value").alias("value"))
+    # an id that came more than once, or none, has many windows: the users of all of them together are looked up
+    shared = windows.groupBy(*keys).agg(F.min("opens").alias("a"), F.max("opens").alias("b")).where("a < b").select(F.struct(*keys).alias("key"))
+    joint = windows.withColumn("key", F.struct(*keys)).join(shared, "key", "left_semi").select("key", "opens", "closes")
+    users = range_join(t.events.select("ts", "user_id"), "ts", joint, [600], "opens", "closes").groupBy("key").agg(F.count_distinct("user_id").alias("together"))
+    sums = attach_by_key(sums.withColumn("key", F.struct(*keys)), users, ["key"])
+    return sums.select(*keys, "n", F.coalesce("together", "users").alias("users"), r6("value").alias("value"))
 
 
 SEASON = (
