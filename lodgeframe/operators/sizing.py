@@ -42,6 +42,15 @@ def spread_join(
     return dealt.join(copies, [*keys, SALT])
 
 
+def spread_rows(df: DataFrame, each: int = 4) -> DataFrame:
+    """The rows dealt over ``each`` tasks a core, for work that takes long on each row.
+
+    A file's row group, or a file that cannot be split, is read by one task, and all that follows stays with it. Pass only
+    the columns that are needed: each row is shuffled once.
+    """
+    return df.repartition(each * max(2, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def one_row(df: DataFrame, **aggregates: Column) -> Column:
     """Global aggregates as one struct column: a scalar subquery, so no join is planned."""
     fields = F.struct(*[agg.alias(name) for name, agg in aggregates.items()])
