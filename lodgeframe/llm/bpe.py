@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lodgeframe.llm.held import held
-from lodgeframe.llm.pretoken import pretokens
+from lodgeframe.llm.pretoken import distinct_pretokens
 from lodgeframe.llm.wordspan import batches
 
 CACHE_ENTRIES = 400_000
@@ -108,7 +108,7 @@ class PieceCache:
         """The ids of all texts in a row, and the number of ids of each."""
         if len(self.places) > self.most:
             self._shrink()
-        pieces, counts = pretokens(texts)
+        pieces, kinds, counts = distinct_pretokens(texts)
         place = np.fromiter(map(self.places.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         unseen = np.flatnonzero(place < 0).tolist()
         if unseen:
@@ -123,6 +123,7 @@ class PieceCache:
             self.sizes = np.concatenate((self.sizes, np.frombuffer(sizes, dtype=np.int64)))
             self.hits = np.concatenate((self.hits, np.zeros(len(new), dtype=np.int64)))
             place[unseen] = [self.places[pieces[i]] for i in unseen]
+        place = place[kinds]
         self.hits += np.bincount(place, minlength=len(self.hits))
         sizes = self.sizes[place]
         ends = np.cumsum(sizes)

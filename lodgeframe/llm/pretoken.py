@@ -24,6 +24,9 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_BLANKS, JOINS, ONE_LEFT, TWO_LEFT =
 # What may follow an apostrophe in a contraction.
 SHORT_TAILS, LONG_TAILS = "stmd", ("re", "ve", "ll")
 
+_PACKED = 8  # characters in a word
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(_PACKED + 1)], dtype=np.uint64)
+
 
 @cache
 def code_point_classes() -> np.ndarray:
@@ -118,10 +121,8 @@ def _symbols(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return symbols
 
 
-def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """All pre-tokens in order, and their number in each text. Texts together are the slices, nothing is lost."""
-    if not texts:
-        return [], np.zeros(0, dtype=np.int64)
+def _begins(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The joined texts, their code points, where pre-tokens and ends begin, where texts end, pre-tokens of each text."""
     joined = "\0".join(texts) + "\0"  # where a text ends is known by place, not by this character
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     ends = np.cumsum([len(t) + 1 for t in texts]) - 1
@@ -131,28 +132,55 @@ def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
     before = np.concatenate((np.array([FRESH], dtype=np.uint8), states[:-1]))
     begin = begins[before, symbols]
     starts = np.flatnonzero(begin)
-    real = symbols[starts] != S_END
-    counts = np.diff(np.searchsorted(starts[real], np.concatenate(([0], ends))))
-    return _cut(joined, points, begin, symbols == S_END), counts
+    end = symbols == S_END
+    counts = np.diff(np.searchsorted(starts[~end[starts]], np.concatenate(([0], ends))))
+    return joined, points, begin, end, counts
 
 
-def _cut(joined: str, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[str]:
-    """The slices that begin where marked, without ends of texts.
+def distinct_pretokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Pre-tokens, the number of the one at each place, and how many places each text has.
 
-    A private code point that no text has is put between them, then all are split at once.
+    Equal ones of up to 16 code points below 256 are told by their packed characters and come once; all others come as
+    often as they occur. So few strings are made.
     """
-    kept = ~end
-    first = begin & kept
-    starts = np.flatnonzero(first)
-    if not len(starts):
-        return []
-    used = set(points[points >= 0xF0000].tolist())
-    mark = next((c for c in range(0x10FFFD, 0xF0000, -1) if c not in used), None)
-    if mark is None:
-        stops = np.append(np.flatnonzero(begin)[1:], len(points))[first[begin]]
-        return [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
-    first[starts[0]] = False  # nothing stands before the first slice
-    place = np.cumsum(first[kept]) + np.arange(int(kept.sum()))
-    out = np.full(int(place[-1]) + 1, mark, dtype=np.uint32)
-    out[place] = points[kept]
-    return out.tobytes().decode("utf-32-le", "surrogatepass").split(chr(mark))
+    if not texts:
+        return [], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    joined, points, begin, end, counts = _begins(texts)
+    at = np.flatnonzero(begin)
+    real = ~end[at]
+    starts, stops = at[real], np.append(at[1:], len(points))[real]
+    sizes = stops - starts
+    # a zero would be taken for the padding behind a piece
+    wide = np.flatnonzero((points == 0) & ~end | (points > 255))
+    packed = sizes <= 2 * _PACKED
+    if len(wide):
+        packed &= np.searchsorted(wide, starts) == np.searchsorted(wide, stops)
+    letters = np.append(points.astype(np.uint8), np.zeros(2 * _PACKED, dtype=np.uint8))
+    words = np.ndarray((len(points) + _PACKED,), dtype="<u8", buffer=letters, strides=(1,))
+    kinds, first, known = np.empty(len(starts), dtype=np.int64), [], 0
+    for of in (np.flatnonzero(packed & (sizes <= _PACKED)), np.flatnonzero(packed & (sizes > _PACKED))):
+        if not len(of):
+            continue
+        size = np.minimum(sizes[of], _PACKED)
+        kind, places = _numbered(words[starts[of]] & _MASKS[size])
+        if sizes[of[0]] > _PACKED:
+            rest, more = _numbered(words[starts[of] + _PACKED] & _MASKS[sizes[of] - _PACKED])
+            kind, places = _numbered((kind * len(more) + rest).astype(np.uint64))
+        kinds[of] = kind + known
+        first.append(of[places])
+        known += len(places)
+    others = np.flatnonzero(~packed)
+    kinds[others] = np.arange(known, known + len(others))
+    chosen = np.concatenate((*first, others)).astype(np.int64)
+    pieces = [joined[a:b] for a, b in zip(starts[chosen].tolist(), stops[chosen].tolist())]
+    return pieces, kinds, counts
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of equal keys, and a place of each."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    out = np.empty(len(keys), dtype=np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out, order[new]
