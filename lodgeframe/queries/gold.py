@@ -315,7 +315,7 @@ LISTING_REST = (
 
 
 def listings_gold(t: Tables) -> DataFrame:
-    """The raw view takes many times its three columns of the tables, so these are dealt over all cores before it."""
+    """The raw view is many times as wide as the columns it is made of, so these are dealt over all cores before it."""
     raw = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return listings.gold(spread_rows(raw).selectExpr(*LISTINGS_RAW))
 
