@@ -151,7 +151,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 def _encoded(batch: pa.RecordBatch, text: str, cache: PieceCache, length: np.ndarray) -> Iterator[pa.RecordBatch]:
     at = 0
-    for group in batches(batch.column(text).to_pylist()):
+    for group in batches(t.as_py() for t in batch.column(text)):  # not the texts of a whole batch at once
         ids, counts = cache.encode_texts([t or "" for t in group])
         sizes = length[ids].astype(np.int64)
         ends = np.cumsum(sizes)

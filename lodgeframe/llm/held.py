@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
+
 Made = TypeVar("Made")
 _HELD: dict[Hashable, object] = {}
 
@@ -14,5 +16,6 @@ def held(name: Hashable, make: Callable[[], Made]) -> Made:
     models and caches of all of them together would outgrow its memory."""
     if name not in _HELD:
         _HELD.clear()
+        pa.default_memory_pool().release_unused()
         _HELD[name] = make()
     return _HELD[name]

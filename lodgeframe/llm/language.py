@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -193,7 +193,7 @@ class Parser:
         self.local, self.parsers, self.bits = [], [], []
         for (_, text), seen in zip(samples.texts, own):
             # symbols of the language: its own letters, the most frequent ones first
-            local = np.full(LETTERS + len(letters), UNKNOWN, dtype=np.int64)
+            local = np.full(LETTERS + len(letters), UNKNOWN, dtype=np.int32)
             local[[GAP, PAD]] = GAP, PAD
             for i, c in enumerate(sorted(seen, key=lambda c: (-seen[c], c))):
                 local[number[c]] = LETTERS + i
@@ -206,7 +206,7 @@ class Parser:
         """Symbols of all texts, runs of other characters being one gap, and their number in each text."""
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         symbols = self.symbol[points]
-        of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        of = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
         new = np.ones(len(points), dtype=bool)
         new[1:] = (symbols[1:] != GAP) | (symbols[:-1] != GAP) | (of[1:] != of[:-1])
         return symbols[new], np.bincount(of[new], minlength=len(texts))
@@ -214,16 +214,19 @@ class Parser:
     def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Bits a symbol of every text (rows) in every language, and whether the text has a letter."""
         symbols, sizes = self._coded(texts)
-        ends = np.cumsum(sizes)
-        lettered = np.bincount(
-            np.repeat(np.arange(len(texts)), sizes), weights=symbols != GAP, minlength=len(texts)
-        ).astype(bool)
         lanes = -(-sizes // LANE)
         before = np.cumsum(lanes) - lanes
-        inside = np.arange(len(symbols)) - np.repeat(ends - sizes, sizes)
-        square = np.full((LANE, int(lanes.sum())), PAD, dtype=np.int32)
-        square[inside % LANE, np.repeat(before, sizes) + inside // LANE] = symbols
+        # one index at a time: each of them is eight times as large as the text
+        at = np.arange(len(symbols))
+        at += np.repeat(before * LANE - (np.cumsum(sizes) - sizes), sizes)
+        laid = np.full(int(lanes.sum()) * LANE, PAD, dtype=np.int32)
+        laid[at] = symbols
+        del at, symbols
+        laid = laid.reshape(-1, LANE)
         text_of = np.repeat(np.arange(len(texts)), lanes)
+        lettered = np.bincount(text_of, weights=((laid != GAP) & (laid != PAD)).any(1), minlength=len(texts)).astype(bool)
+        square = np.ascontiguousarray(laid.T)
+        del laid
         follows = np.zeros(len(text_of), dtype=bool)
         follows[1:] = text_of[1:] == text_of[:-1]
         out = np.zeros((len(texts), len(self.parsers)))
@@ -247,6 +250,13 @@ class Parser:
         return names, np.where(known, np.clip(score, 0, 1), 0.0)
 
 
+def _told(parser: Parser, texts: pa.Array) -> Iterator[pa.Array]:
+    """Predictions of a batch, which may be all texts of a task: only those of one group are strings at a time."""
+    for group in batches(t.as_py() for t in texts):
+        names, scores = parser.predict(group)
+        yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+
+
 def language(spark: SparkSession, text: Column, samples: Samples) -> Column:
     """A struct of every whole text: ``lang`` (``und`` for null and for texts without a letter) and ``score``.
 
@@ -255,17 +265,11 @@ def language(spark: SparkSession, text: Column, samples: Samples) -> Column:
     """
     shared = spark.sparkContext.broadcast(samples)
 
-    @F.pandas_udf("lang string, score double")
-    def of(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double")
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parser = held(shared.value, lambda: Parser(shared.value))
-        for texts in series:
-            names: list[str] = []
-            scores: list[float] = []
-            for group in batches(texts):
-                found, sure = parser.predict(group)
-                names += found
-                scores += sure.tolist()
-            yield pd.DataFrame({"lang": pd.Series(names, dtype="object"), "score": pd.Series(scores, dtype="float64")})
+        for texts in columns:
+            yield from _told(parser, texts)
 
     # else a filter on the result would run it once more
     return of.asNondeterministic()(text)

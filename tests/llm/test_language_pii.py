@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lodgeframe.llm import bpe, pii
 from lodgeframe.llm import language as L
-from lodgeframe.llm import pii
 from tests.helpers import plan
 from tests.llm.cases import DOCS, documents, empty
 
@@ -68,6 +70,29 @@ def test_parser_counts_longest_matches():
     assert np.allclose(alone, costs)
 
 
+def most_held(results) -> int:
+    tracemalloc.start()
+    for _ in results:
+        pass
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return held
+
+
+def test_no_batch_is_strings_as_a_whole():
+    """What workers hold beside a batch grows with a group of texts, not with the batch."""
+    text = " ".join(spoken(lang, 1, 800) for lang in ("aa", "bb", "cc"))
+    parser = L.Parser(L.Samples((("aa", spoken("aa", 1, 99)), ("bb", spoken("bb", 2, 99)))))
+    sizes = [2, 6]  # millions of characters
+    columns = [pa.array([None, *[text] * (n * 10**6 // len(text))]) for n in sizes]
+    assert [sum(len(part) for part in L._told(parser, c)) for c in columns] == list(map(len, columns))
+    told = [most_held(L._told(parser, c)) for c in columns]
+    cache, length = bpe.PieceCache(lambda new: ([0] for _ in new)), np.array([1], dtype=np.int32)
+    parts = [pa.RecordBatch.from_pydict({"text": c}) for c in columns]
+    coded = [most_held(bpe._encoded(part, "text", cache, length)) for part in (parts[0], *parts)][1:]
+    assert told[1] - told[0] < 2e6 and coded[1] - coded[0] < 2e6
+
+
 def test_every_letter_of_a_sample_counts():
     """More letters than any fixed alphabet would hold, told apart by the rare ones."""
     wide = {n: "".join(chr(0x4E00 + 2 * i + k) for i in range(2000)) for k, n in enumerate(["even", "odd"])}
