@@ -19,7 +19,9 @@ FILTER_BITS = 1 << 25  # 4 MB, whatever the corpus
 LEVELS = 3  # words of the phrases that are counted for the filter
 WIDE = "decimal(38,0)"
 SALTS = 64  # tasks among which a language's candidates are ranked first
+TASKS = 2  # tasks a core that count: each of them sends what it has of every frequent phrase
 _GROUP, _HELD = 4 << 20, 4 << 20  # bytes of text at a time, windows held before they are counted
+_SENT = 3 << 18  # rows of counts held before they are summed up and, if that leaves many, sent on
 _MARK = b"."  # stands for all that ends a piece, so it is in no word
 _FROM = b"".join(bytes([b]) for b in range(65, 91)) + b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_FROM, bytes(range(97, 123)) + _MARK * 10)
@@ -190,12 +192,26 @@ class Windows(Tally):
         return pa.RecordBatch.from_arrays([pa.array([self.lang] * len(n), pa.string()), *columns, pa.array(n)], names)
 
 
+def _summed(counts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """A row for each key of all batches."""
+    if len(counts) < 2:
+        return counts
+    table = pa.Table.from_batches(counts)
+    keys = [name for name in table.column_names if name != "n"]
+    summed = table.group_by(keys, use_threads=False).aggregate([("n", "sum")]).select([*keys, "n_sum"])
+    return summed.rename_columns([*keys, "n"]).combine_chunks().to_batches()
+
+
 def _tallies(make: Callable[[str], Tally]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The counts of a task by language, sent on whenever its tallies hold ``_HELD`` words together."""
+    """The counts of a task by language, taken whenever its tallies hold ``_HELD`` words together.
+
+    They are summed up before they are sent, so a task sends a phrase once; where it has more than ``_SENT`` / 2 of them,
+    as often as its rows fill ``_SENT``.
+    """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[str, Tally] = {}
-        size = 0
+        size, counts = 0, []
         for batch in batches:
             for lang, texts in _texts_by_lang(batch):
                 found = tallies.get(lang) or tallies.setdefault(lang, make(lang))
@@ -203,9 +219,14 @@ def _tallies(make: Callable[[str], Tally]) -> Callable[[Iterator[pa.RecordBatch]
                 found.add(texts)
                 size += found.size - before
                 if size >= _HELD:
-                    yield from (t.counts() for t in tallies.values())
+                    counts += [t.counts() for t in tallies.values()]
                     tallies, size = {}, 0
-        yield from (t.counts() for t in tallies.values())
+                    if sum(map(len, counts)) > _SENT:
+                        counts = _summed(counts)
+                        if sum(map(len, counts)) > _SENT // 2:
+                            yield from counts
+                            counts = []
+        yield from _summed([*counts, *(t.counts() for t in tallies.values())])
 
     return tally
 
@@ -266,7 +287,9 @@ def collocations(
     memory of a task grows with its longest text only.
     """
     body, name = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED))
-    texts = df.select(body.alias("text"), name.alias("lang"))
+    # each task sends every frequent phrase it has, so tasks must not grow in number with the corpus as phrases do
+    tasks = TASKS * df.sparkSession.sparkContext.defaultParallelism
+    texts = df.select(body.alias("text"), name.alias("lang")).coalesce(tasks)
     counts = checkpointed(phrase_counts(texts, order, least, frequent_filter(texts, least, min(LEVELS, order), filter_bits)))
     phrases = counts.where("m > 0").select("lang", "m", "words", F.array_join("words", " ").alias("phrase"), F.col("n").alias("a"))
     # a phrase of one word more occurs as often as any longer one at least, so these decide for all

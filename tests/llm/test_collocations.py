@@ -102,6 +102,33 @@ def test_products_beyond_64_bits(spark):
     assert tuple(df.select(C._weakest().alias("c")).first().c) == (1000 * (1 << 107) // ((1 << 60) * ((1 << 50) + 1)), 2, 1 << 60, (1 << 50) + 1)
 
 
+def test_a_task_sends_a_phrase_once(monkeypatch):
+    """However often its words are counted; if it has too many phrases to hold, they go in parts without a loss."""
+    monkeypatch.setattr(C, "_HELD", 20)
+    docs = [("a b c, a b", lang) for lang in ("en", "fr") for _ in range(50)]
+    batch = pa.RecordBatch.from_pydict({"text": [d[0] for d in docs], "lang": [d[1] for d in docs]})
+    often = C.Filter(64)
+    often.add(np.array([0]), np.array([2**64 - 1], dtype=np.uint64))
+    want = {(lang, *w): 50 for lang in ("en", "fr") for w in (("a", "b", "c"), ("b", "c"), ("c",), ("a", "b"), ("b",))}
+    for sent, once in ((1 << 20, True), (8, False)):
+        monkeypatch.setattr(C, "_SENT", sent)
+        parts = C._tallies(lambda lang: C.Windows(lang, 3, often))(iter([batch.slice(k, 1) for k in range(len(docs))]))
+        rows = [r for part in parts for r in part.to_pylist() if r["n"]]
+        found = Counter()
+        for r in rows:
+            found[tuple(v for k, v in r.items() if k != "n" and v is not None)] += r["n"]
+        assert found == want and (len(rows) == len(want)) == once
+
+
+def test_tasks_do_not_grow_with_partitions(monkeypatch, spark):
+    df = spark.createDataFrame([("a b", "en")] * 200, "text string, lang string").repartition(100)
+    seen = []
+    count = C.frequent_filter
+    monkeypatch.setattr(C, "frequent_filter", lambda texts, *more: seen.append(texts.rdd.getNumPartitions()) or count(texts, *more))
+    assert got(df) == [("en", 1, "a b", 200, 200, 200, 400, 2000)]
+    assert seen == [C.TASKS * spark.sparkContext.defaultParallelism]
+
+
 def test_long_text_in_small_groups(monkeypatch, spark):
     monkeypatch.setattr(C, "_GROUP", 50)
     batch = pa.RecordBatch.from_pydict({"text": ["x" * 60, "y z", "", "w " * 30, "v"], "lang": ["en", "en", "fr", "en", "en"]})
