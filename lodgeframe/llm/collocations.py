@@ -19,7 +19,7 @@ FILTER_BITS = 1 << 25  # 4 MB, whatever the corpus
 LEVELS = 3  # words of the phrases that are counted for the filter
 WIDE = "decimal(38,0)"
 SALTS = 64  # tasks among which a language's candidates are ranked first
-TASKS = 2  # tasks a core that count: each of them sends what it has of every frequent phrase
+TASKS = 2  # tasks a core that count windows: each of them sends what it has of every frequent phrase
 _GROUP, _HELD = 4 << 20, 4 << 20  # bytes of text at a time, windows held before they are counted
 _SENT = 3 << 18  # rows of counts held before they are summed up and, if that leaves many, sent on
 _MARK = b"."  # stands for all that ends a piece, so it is in no word
@@ -255,7 +255,9 @@ def phrase_counts(texts: DataFrame, order: int, least: int, often: Filter) -> Da
     """
     names = [f"w{k + 1}" for k in range(order)]
     schema = ", ".join(["lang string", *(f"{w} string" for w in names), "n long"])
-    windows = texts.mapInArrow(_tallies(lambda lang: Windows(lang, order, often)), schema)
+    # each task sends every frequent phrase it has, so tasks must not grow in number with the corpus as phrases do
+    dealt = texts.coalesce(TASKS * texts.sparkSession.sparkContext.defaultParallelism)
+    windows = dealt.mapInArrow(_tallies(lambda lang: Windows(lang, order, often)), schema)
     counted = windows.groupBy("lang", *names).agg(F.sum("n").alias("n"))
     summed = counted.rollup("lang", *names).agg(F.grouping_id().alias("id"), F.sum("n").alias("n"))
     # a bit for each column that is summed over: the last words of the window
@@ -287,9 +289,7 @@ def collocations(
     memory of a task grows with its longest text only.
     """
     body, name = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED))
-    # each task sends every frequent phrase it has, so tasks must not grow in number with the corpus as phrases do
-    tasks = TASKS * df.sparkSession.sparkContext.defaultParallelism
-    texts = df.select(body.alias("text"), name.alias("lang")).coalesce(tasks)
+    texts = df.select(body.alias("text"), name.alias("lang"))
     counts = checkpointed(phrase_counts(texts, order, least, frequent_filter(texts, least, min(LEVELS, order), filter_bits)))
     phrases = counts.where("m > 0").select("lang", "m", "words", F.array_join("words", " ").alias("phrase"), F.col("n").alias("a"))
     # a phrase of one word more occurs as often as any longer one at least, so these decide for all

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lodgeframe.llm import collocations as C
+from tests.helpers import plan
 from tests.llm.cases import DOCS, documents, empty
 
 
@@ -120,13 +121,10 @@ def test_a_task_sends_a_phrase_once(monkeypatch):
         assert found == want and (len(rows) == len(want)) == once
 
 
-def test_tasks_do_not_grow_with_partitions(monkeypatch, spark):
+def test_tasks_do_not_grow_with_partitions(spark):
     df = spark.createDataFrame([("a b", "en")] * 200, "text string, lang string").repartition(100)
-    seen = []
-    count = C.frequent_filter
-    monkeypatch.setattr(C, "frequent_filter", lambda texts, *more: seen.append(texts.rdd.getNumPartitions()) or count(texts, *more))
-    assert got(df) == [("en", 1, "a b", 200, 200, 200, 400, 2000)]
-    assert seen == [C.TASKS * spark.sparkContext.defaultParallelism]
+    counted = C.phrase_counts(df, 2, 100, C.Filter(64))
+    assert f"Coalesce {C.TASKS * spark.sparkContext.defaultParallelism}" in plan(counted)
 
 
 def test_long_text_in_small_groups(monkeypatch, spark):
