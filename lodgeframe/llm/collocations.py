@@ -20,8 +20,9 @@ LEVELS = 3  # words of the phrases that are counted for the filter
 WIDE = "decimal(38,0)"
 SALTS = 64  # tasks among which a language's candidates are ranked first
 TASKS = 2  # tasks a core that count windows: each of them sends what it has of every frequent phrase
-_GROUP, _HELD = 4 << 20, 4 << 20  # bytes of text at a time, windows held before they are counted
-_SENT = 3 << 18  # rows of counts held before they are summed up and, if that leaves many, sent on
+_GROUP, _HELD = 1 << 20, 1 << 20  # bytes of text at a time, words held before they are counted
+_SENT = 1 << 20  # rows of counts held before they are summed up and, if that leaves many, sent on
+_BATCH = 1 << 16  # rows sent at a time: strings are made for so many only
 _MARK = b"."  # stands for all that ends a piece, so it is in no word
 _FROM = b"".join(bytes([b]) for b in range(65, 91)) + b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_FROM, bytes(range(97, 123)) + _MARK * 10)
@@ -93,20 +94,55 @@ def _texts_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
 
 
 class Tally:
-    """Word numbers of texts of one language, held until they are counted."""
+    """Word numbers of texts of one language, held until they are counted, and the counts so far: numbers only."""
 
     def __init__(self, lang: str) -> None:
         self.lang, self.vocabulary = lang, Vocabulary()
         self.held: list[np.ndarray] = []
         self.size = 0
+        self.taken: list[pa.RecordBatch] = []
 
     def add(self, texts: list[bytes]) -> None:
         self.held.append(self.vocabulary.numbers(texts))
         self.size += len(self.held[-1])
 
+    def take(self) -> None:
+        """Counts the words that are held, and lets go of them and of their vocabulary."""
+        if self.held:
+            ids, words = np.concatenate(self.held), self.vocabulary.words()
+            self.held, self.size, self.vocabulary = [], 0, Vocabulary()
+            self.taken.append(self._count(ids, words))
+
+    def sum_up(self) -> None:
+        """A row for each key that was counted."""
+        if len(self.taken) > 1:
+            table, self.taken = pa.Table.from_batches(self.taken), []
+            keys = [name for name in table.column_names if name != "n"]
+            summed = table.group_by(keys, use_threads=False).aggregate([("n", "sum")]).select([*keys, "n_sum"])
+            self.taken = summed.rename_columns([*keys, "n"]).combine_chunks().to_batches()
+
+    def rows(self) -> int:
+        return sum(map(len, self.taken))
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        """All counts, a row for each key; ``_BATCH`` rows at a time."""
+        self.take()
+        self.sum_up()
+        taken, named = self.taken, self._naming()
+        self.taken = []
+        yield from (named(batch.slice(at, _BATCH)) for batch in taken for at in range(0, len(batch), _BATCH))
+
     def counts(self) -> pa.RecordBatch:
+        return pa.concat_batches(list(self.sent()))
+
+    def _count(self, ids: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
+        """Keys, as numbers that hold until the counts are sent, and n."""
         raise NotImplementedError
 
+    def _naming(self) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        """What makes counts as they are sent of those that are held."""
+        return lambda counts: counts
+
 
 class Places:
     """The words of a tally, with the phrases at each place that a filter lets through."""
@@ -139,8 +175,8 @@ class Grams(Tally):
         super().__init__(lang)
         self.often = often
 
-    def counts(self) -> pa.RecordBatch:
-        places = Places(np.concatenate(self.held), self.vocabulary.words(), self.lang, self.often)
+    def _count(self, ids: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
+        places = Places(ids, words, self.lang, self.often)
         for _ in range(self.often.levels):
             places.lengthen()
         h, n = np.unique(places.hashes[places.open], return_counts=True)
@@ -152,11 +188,13 @@ class Windows(Tally):
 
     A window ends with its piece, before ``order`` words are passed, or where a phrase in it is too rare: no phrase
     that is frequent enough reaches over that. Words that are too rare themselves are counted by one empty window.
+    The words of windows keep their numbers until the counts are sent, so sums need no strings.
     """
 
     def __init__(self, lang: str, order: int, often: Filter) -> None:
         super().__init__(lang)
         self.order, self.often = order, often
+        self.used = Vocabulary()
 
     def _lengths(self, ids: np.ndarray, words: list[bytes]) -> np.ndarray:
         """The words of the window that starts at each place; none at gaps and rare words."""
@@ -170,8 +208,7 @@ class Windows(Tally):
             out += goes_on
         return out
 
-    def counts(self) -> pa.RecordBatch:
-        ids, words = np.concatenate(self.held), self.vocabulary.words()
+    def _count(self, ids: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
         lengths = self._lengths(ids, words)
         rare = np.count_nonzero((ids >= 0) & (lengths == 0))
         parts, counts = [np.full((1, self.order), _GAP)], [np.array([rare])]
@@ -186,20 +223,23 @@ class Windows(Tally):
             parts.append(window)
             counts.append(n)
         table, n = np.concatenate(parts), np.concatenate(counts).astype(np.int64)
-        texts = pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
-        columns = [texts.take(pa.array(table[:, k], mask=table[:, k] < 0)) for k in range(self.order)]
+        own = np.full(len(words) + 1, _GAP, dtype=np.int32)  # the last one is the gap
+        found = np.unique(table[table >= 0])
+        own[found] = np.fromiter((self.used[words[i]] for i in found), dtype=np.int32, count=len(found))
+        table = own[table]
+        columns = [pa.array(table[:, k], mask=table[:, k] < 0) for k in range(self.order)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n)], [*(f"w{k + 1}" for k in range(self.order)), "n"])
+
+    def _naming(self) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        texts = pa.array([w.decode("utf-8", "replace") for w in self.used.words()], pa.string())
+        self.used = Vocabulary()
         names = ["lang", *(f"w{k + 1}" for k in range(self.order)), "n"]
-        return pa.RecordBatch.from_arrays([pa.array([self.lang] * len(n), pa.string()), *columns, pa.array(n)], names)
 
+        def named(counts: pa.RecordBatch) -> pa.RecordBatch:
+            *words, n = counts.columns
+            return pa.RecordBatch.from_arrays([pa.repeat(self.lang, len(n)), *(texts.take(w) for w in words), n], names)
 
-def _summed(counts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
-    """A row for each key of all batches."""
-    if len(counts) < 2:
-        return counts
-    table = pa.Table.from_batches(counts)
-    keys = [name for name in table.column_names if name != "n"]
-    summed = table.group_by(keys, use_threads=False).aggregate([("n", "sum")]).select([*keys, "n_sum"])
-    return summed.rename_columns([*keys, "n"]).combine_chunks().to_batches()
+        return named
 
 
 def _tallies(make: Callable[[str], Tally]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -211,22 +251,28 @@ def _tallies(make: Callable[[str], Tally]) -> Callable[[Iterator[pa.RecordBatch]
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[str, Tally] = {}
-        size, counts = 0, []
+        size = 0
         for batch in batches:
             for lang, texts in _texts_by_lang(batch):
                 found = tallies.get(lang) or tallies.setdefault(lang, make(lang))
                 before = found.size
                 found.add(texts)
                 size += found.size - before
-                if size >= _HELD:
-                    counts += [t.counts() for t in tallies.values()]
-                    tallies, size = {}, 0
-                    if sum(map(len, counts)) > _SENT:
-                        counts = _summed(counts)
-                        if sum(map(len, counts)) > _SENT // 2:
-                            yield from counts
-                            counts = []
-        yield from _summed([*counts, *(t.counts() for t in tallies.values())])
+                if size < _HELD:
+                    continue
+                for t in tallies.values():
+                    t.take()
+                size = 0
+                if sum(t.rows() for t in tallies.values()) > _SENT:
+                    for t in tallies.values():
+                        t.sum_up()
+                    if sum(t.rows() for t in tallies.values()) > _SENT // 2:
+                        for t in tallies.values():
+                            yield from t.sent()
+                        tallies = {}
+                    pa.default_memory_pool().release_unused()
+        for t in tallies.values():
+            yield from t.sent()
 
     return tally
 

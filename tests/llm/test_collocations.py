@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -127,6 +128,36 @@ def test_tasks_do_not_grow_with_partitions(spark):
     assert f"Coalesce {C.TASKS * spark.sparkContext.defaultParallelism}" in plan(counted)
 
 
+def everything():
+    often = C.Filter(64)
+    for _ in range(3):
+        often.add(np.array([0]), np.array([2**64 - 1], dtype=np.uint64))
+    return often
+
+
+def test_rows_are_sent_in_parts():
+    """Strings are made for some rows at a time; no more than those stand in a batch, and none is lost."""
+    words = [f"w{i}" for i in range(70_000)]
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(words)], "lang": ["en"]})
+    parts = list(C._tallies(lambda lang: C.Windows(lang, 1, everything()))(iter([batch] * 2)))
+    assert max(map(len, parts)) <= 1 << 16
+    rows = [r for part in parts for r in part.to_pylist() if r["n"]]
+    assert sorted((r["w1"], r["n"]) for r in rows) == sorted((w, 2) for w in words) and {r["lang"] for r in rows} == {"en"}
+
+
+@pytest.mark.parametrize("make", [lambda often: C.Windows("en", 5, often), lambda often: C.Grams("en", often)])
+def test_words_are_counted_a_part_at_a_time(make):
+    """What a task holds does not grow with its words: four million of them took 300 MB and more."""
+    batch = pa.RecordBatch.from_pydict({"text": ["a b c d e " * 10_000] * 2, "lang": ["en"] * 2})
+    often = everything()
+    tracemalloc.start()
+    parts = list(C._tallies(lambda lang: make(often))(batch for _ in range(45)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    assert sum(sum(part["n"].to_pylist()) for part in parts) == 45 * 2 * (50_000 if "w1" in parts[0].schema.names else 49_997)
+
+
 def test_long_text_in_small_groups(monkeypatch, spark):
     monkeypatch.setattr(C, "_GROUP", 50)
     batch = pa.RecordBatch.from_pydict({"text": ["x" * 60, "y z", "", "w " * 30, "v"], "lang": ["en", "en", "fr", "en", "en"]})
