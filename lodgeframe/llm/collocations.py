@@ -23,6 +23,7 @@ TASKS = 2  # tasks a core that count windows: each of them sends what it has of
 _GROUP, _HELD = 1 << 20, 1 << 20  # bytes of text at a time, words held before they are counted
 _SENT = 1 << 20  # rows of counts held before they are summed up and, if that leaves many, sent on
 _BATCH = 1 << 16  # rows sent at a time: strings are made for so many only
+_OWN = 1 << 8  # words or rows that the objects of a language count as, for texts of very many languages
 _MARK = b"."  # stands for all that ends a piece, so it is in no word
 _FROM = b"".join(bytes([b]) for b in range(65, 91)) + b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_FROM, bytes(range(97, 123)) + _MARK * 10)
@@ -122,7 +123,7 @@ class Tally:
             self.taken = summed.rename_columns([*keys, "n"]).combine_chunks().to_batches()
 
     def rows(self) -> int:
-        return sum(map(len, self.taken))
+        return sum(len(batch) + _OWN for batch in self.taken)
 
     def sent(self) -> Iterator[pa.RecordBatch]:
         """All counts, a row for each key; ``_BATCH`` rows at a time."""
@@ -254,7 +255,10 @@ def _tallies(make: Callable[[str], Tally]) -> Callable[[Iterator[pa.RecordBatch]
         size = 0
         for batch in batches:
             for lang, texts in _texts_by_lang(batch):
-                found = tallies.get(lang) or tallies.setdefault(lang, make(lang))
+                found = tallies.get(lang)
+                if found is None:
+                    found = tallies[lang] = make(lang)
+                    size += _OWN
                 before = found.size
                 found.add(texts)
                 size += found.size - before
@@ -332,7 +336,7 @@ def collocations(
 
     A null text has no words, a null language is ``und``. Repeated rows count each. Other columns are not read.
     Products are decimals of 38 digits. An empty table, or one without frequent phrases, gives an empty result. The
-    memory of a task grows with its longest text only.
+    memory of a task grows with its longest text only, also where nearly every row has a language of its own.
     """
     body, name = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED))
     texts = df.select(body.alias("text"), name.alias("lang"))

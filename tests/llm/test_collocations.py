@@ -158,6 +158,26 @@ def test_words_are_counted_a_part_at_a_time(make):
     assert sum(sum(part["n"].to_pylist()) for part in parts) == 45 * 2 * (50_000 if "w1" in parts[0].schema.names else 49_997)
 
 
+def test_many_languages_are_sent_before_they_pile_up(monkeypatch):
+    """A language of few words takes memory as well."""
+    monkeypatch.setattr(C, "_HELD", 1 << 12)
+    monkeypatch.setattr(C, "_SENT", 1 << 12)
+    read = []
+
+    def batches():
+        for i in range(100):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"text": ["a b", "b"], "lang": [f"l{i}", "en"]})
+
+    parts = C._tallies(lambda lang: C.Windows(lang, 1, everything()))(batches())
+    found = Counter()
+    for part in parts:
+        assert len(read) < 50 or found
+        for r in part.to_pylist():
+            found[r["lang"], r["w1"]] += r["n"]
+    assert +found == {("en", "b"): 100} | {(f"l{i}", w): 1 for i in range(100) for w in "ab"}
+
+
 def test_long_text_in_small_groups(monkeypatch, spark):
     monkeypatch.setattr(C, "_GROUP", 50)
     batch = pa.RecordBatch.from_pydict({"text": ["x" * 60, "y z", "", "w " * 30, "v"], "lang": ["en", "en", "fr", "en", "en"]})
